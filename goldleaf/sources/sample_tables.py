@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goldleaf.plans.trip_features import model_inputs
+from goldleaf.schemas import FEATURE_COLUMNS
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -129,3 +132,55 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
         (F.get_json_object("props", "$.k").cast("double") / 4).alias("trip_distance"),
         (F.floor(F.col("value") * 8) / 8).alias("fare_amount"),
     )
+
+
+def trip_inputs(spark: SparkSession, folder: str) -> DataFrame:
+    """Model inputs of all trips, also invalid ones, with trip number and pickup time."""
+    return trips(spark, folder).select("trip_id", "tpep_pickup_datetime", *model_inputs())
+
+
+CALL_SIZE = 5
+
+
+def payload_log(spark: SparkSession, folder: str) -> DataFrame:
+    """A log of model calls: five consecutive trips per call, rendered in four encodings by turns.
+
+    Fixed call numbers fail, are cut short, are missing, carry no records, or answer one
+    prediction too few.
+    """
+    inputs = trip_inputs(spark, folder).withColumn("request_id", F.floor(F.col("trip_id") / CALL_SIZE))
+    calls = inputs.groupBy("request_id").agg(
+        F.min("tpep_pickup_datetime").alias("request_time"),
+        # at most CALL_SIZE records per call
+        F.sort_array(F.collect_list(F.struct("trip_id", *FEATURE_COLUMNS))).alias("calls"),
+    )
+    record = F.transform("calls", lambda call: F.struct(*(call[name].alias(name) for name in FEATURE_COLUMNS)))
+    records = F.to_json(record)
+    names = F.to_json(F.array(*map(F.lit, FEATURE_COLUMNS)))
+    rows = F.transform(
+        "calls", lambda call: F.concat(F.lit("["), F.concat_ws(",", *(call[name].cast("string") for name in FEATURE_COLUMNS)), F.lit("]"))
+    )
+    table = F.concat(F.lit('{"columns":'), names, F.lit(',"data":['), F.concat_ws(",", rows), F.lit("]}"))
+    form = F.col("request_id") % 4
+    body = (
+        F.when(form == 0, F.concat(F.lit('{"dataframe_records":'), records, F.lit("}")))
+        .when(form == 1, F.concat(F.lit('{"dataframe_split":'), table, F.lit("}")))
+        .when(form == 2, F.concat(F.lit('{"instances":'), records, F.lit("}")))
+        .otherwise(F.concat(F.lit('{"inputs":'), records, F.lit("}")))
+    )
+    request = (
+        F.when(_every("request_id", 211, 3), F.concat(F.lit('{"inputs":[{"trip_dist'), F.col("request_id").cast("string")))
+        .when(_every("request_id", 223, 5), F.lit(None))
+        .when(_every("request_id", 227, 7), F.lit("{}"))
+        .otherwise(body)
+    )
+    fares = F.transform("calls", lambda call: F.lit(3.0) + F.lit(2.5) * call["trip_distance"])
+    answered = F.when(_every("request_id", 229, 11), F.slice(fares, 1, CALL_SIZE - 1)).otherwise(fares)
+    return calls.select(
+        "request_id",
+        request.alias("request"),
+        F.to_json(F.struct(answered.alias("predictions"))).alias("response"),
+        F.when(_every("request_id", 50), "500").otherwise("200").alias("status_code"),
+        "request_time",
+        F.when(F.col("request_id") % 3 != 2, F.lit("fare-model-1")).alias("served_entity_id"),
+    )
