@@ -14,6 +14,7 @@ from goldleaf.operators import distribution as dist
 from goldleaf.operators.distribution import COLUMN, ROWS, VALUE
 from goldleaf.plans.inference_log import LABEL_COUNT, known_labels
 from goldleaf.schemas import FEATURE_COLUMNS, LABEL, PREDICTION
+from goldleaf.sources.tables import stored
 
 GROUP = ["day", "model_id", COLUMN]
 NUMERIC = ("trip_distance", PREDICTION)
@@ -128,36 +129,24 @@ def _share(count: str, total: str) -> Column:
     return F.when(share > 0, share).otherwise(F.lit(EMPTY_SHARE))
 
 
-def _as_statistics(wide: DataFrame, names: list[str]) -> DataFrame:
-    return wide.unpivot(GROUP, names, "statistic", "drift")
+def _statistic(grouped: DataFrame, name: str) -> DataFrame:
+    return grouped.select(*GROUP, F.lit(name).alias("statistic"), F.col(name).alias("drift"))
 
 
-def _mean_shift(compared: DataFrame) -> DataFrame:
-    def mean(count: str) -> Column:
-        return F.sum(F.col(VALUE) * F.col(count)) / F.sum(count)
+def _mean(count: str) -> Column:
+    return F.sum(F.col(VALUE) * F.col(count)) / F.sum(count)
 
-    return compared.groupBy(*GROUP).agg((mean("n_now") - mean("n_base")).alias("mean_shift"))
 
-
-def _population_stability(compared: DataFrame) -> DataFrame:
+def _population_stability(compared: DataFrame, span: DataFrame) -> DataFrame:
     """Equal-width bins over the base's range; what lies outside falls into the outer bins. A bin
     empty on both sides adds nothing, so only bins with rows are looked at."""
-    span = compared.groupBy(*GROUP).agg(
-        F.min(F.when(F.col("n_base") > 0, F.col(VALUE))).alias("_low"),
-        F.max(F.when(F.col("n_base") > 0, F.col(VALUE))).alias("_high"),
-    )
     position = F.try_divide(F.col(VALUE) - F.col("_low"), F.col("_high") - F.col("_low"))
     binned = F.floor(F.coalesce(position, F.lit(0.0)) * PSI_BINS)
     bounded = F.greatest(F.lit(0), F.least(F.lit(PSI_BINS - 1), binned))
     bins = (
         compared.join(span, GROUP)
-        .groupBy(*GROUP, bounded.alias("_bin"))
-        .agg(
-            F.sum("n_now").alias("n_now"),
-            F.sum("n_base").alias("n_base"),
-            F.first("all_now").alias("all_now"),
-            F.first("all_base").alias("all_base"),
-        )
+        .groupBy(*GROUP, "all_now", "all_base", bounded.alias("_bin"))
+        .agg(F.sum("n_now").alias("n_now"), F.sum("n_base").alias("n_base"))
     )
     now, base = _share("n_now", "all_now"), _share("n_base", "all_base")
     return bins.groupBy(*GROUP).agg(F.sum((now - base) * F.log(now / base)).alias("psi"))
@@ -173,14 +162,24 @@ def numeric_drift(
     predictions: DataFrame, baseline: DataFrame | None = None, columns: tuple[str, ...] = NUMERIC
 ) -> DataFrame:
     """Per day, model and column: shift of the mean, population stability index, and the largest
-    distance between the two distribution functions."""
-    compared = _compared(predictions, columns, baseline)
-    wide = (
-        _mean_shift(compared)
-        .join(_population_stability(compared), GROUP)
-        .join(_kolmogorov_smirnov(compared), GROUP)
+    distance between the two distribution functions.
+
+    The counted values are stored before the statistics are taken from them, as each statistic
+    reads them anew.
+    """
+    compared = stored(_compared(predictions, columns, baseline), "value-counts")
+    in_base = F.when(F.col("n_base") > 0, F.col(VALUE))
+    summary = compared.groupBy(*GROUP).agg(
+        (_mean("n_now") - _mean("n_base")).alias("mean_shift"),
+        F.min(in_base).alias("_low"),
+        F.max(in_base).alias("_high"),
+    )
+    stability = _population_stability(compared, summary.select(*GROUP, "_low", "_high"))
+    return (
+        _statistic(summary, "mean_shift")
+        .unionByName(_statistic(stability, "psi"))
+        .unionByName(_statistic(_kolmogorov_smirnov(compared), "ks"))
     )
-    return _as_statistics(wide, ["mean_shift", "psi", "ks"])
 
 
 def categorical_drift(
@@ -194,4 +193,4 @@ def categorical_drift(
         (F.sum(F.abs(now - base)) / 2).alias("total_variation"),
         F.sum(surplus * surplus / expected).alias("chi_square"),
     )
-    return _as_statistics(wide, ["total_variation", "chi_square"])
+    return wide.unpivot(GROUP, ["total_variation", "chi_square"], "statistic", "drift")

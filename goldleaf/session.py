@@ -20,6 +20,8 @@ def local_session(cpus: int | str = 8, app_name: str = "goldleaf") -> SparkSessi
         .config("spark.sql.shuffle.partitions", str(cpus) if str(cpus).isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # small local inputs: let eight threads share what a cluster would call one partition
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .getOrCreate()
     )
 

@@ -148,7 +148,7 @@ def payload_log(spark: SparkSession, folder: str) -> DataFrame:
     Fixed call numbers fail, are cut short, are missing, carry no records, or answer one
     prediction too few.
     """
-    inputs = trip_inputs(spark, folder).withColumn("request_id", F.floor(F.col("trip_id") / CALL_SIZE))
+    inputs = trip_inputs(spark, folder).withColumn("request_id", F.expr(f"trip_id div {CALL_SIZE}"))
     calls = inputs.groupBy("request_id").agg(
         F.min("tpep_pickup_datetime").alias("request_time"),
         # at most CALL_SIZE records per call

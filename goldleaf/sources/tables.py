@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from goldleaf.session import run_folder
+
 
 def _quoted(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
@@ -80,3 +82,14 @@ def overwrite_table(df: DataFrame, table: str, path: str, layout: Layout = Layou
     if layout.properties:
         set_properties(spark, table, layout.properties)
     return spark.read.table(table)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The same rows read back from a new folder in the shared space.
+
+    For an intermediate result that several later steps read: it is computed once, its plan ends
+    there, and it outlives the executors that computed it.
+    """
+    folder = run_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
