@@ -6,10 +6,13 @@ them. Drift compares a model's day with its previous day, or with a fixed baseli
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from goldleaf.functions.measures import ratio
 from goldleaf.operators import distribution as dist
 from goldleaf.operators.distribution import COLUMN, ROWS, VALUE
 from goldleaf.plans.inference_log import LABEL_COUNT, known_labels
@@ -36,12 +39,29 @@ def volume(predictions: DataFrame) -> DataFrame:
     return _by_day(predictions).groupBy("day", "model_id").agg(F.count(F.lit(1)).alias("inferences"))
 
 
+def _label_errors(guesses: DataFrame, labels: DataFrame) -> DataFrame:
+    """Sums over all labels of a feature vector, per vector and predicted value."""
+    label = F.col(LABEL).cast("double")
+    error = F.col(PREDICTION).cast("double") - label
+    times = F.col(LABEL_COUNT)
+    relative = label != 0
+    return guesses.join(labels, list(FEATURE_COLUMNS)).groupBy(*FEATURE_COLUMNS, PREDICTION).agg(
+        F.sum(times).alias("_labels"),
+        F.sum(times * F.abs(error)).alias("_abs"),
+        F.sum(times * error * error).alias("_squares"),
+        F.sum(F.when(relative, times * F.abs(error) / F.abs(label)).otherwise(0.0)).alias("_relative"),
+        F.sum(F.when(relative, times).otherwise(0)).alias("_relative_labels"),
+        F.sum(times * label).alias("_label"),
+        F.sum(times * label * label).alias("_label_squares"),
+    )
+
+
 def quality(predictions: DataFrame, features: DataFrame) -> DataFrame:
     """Error metrics per day and model over every pair of a prediction and a matching trip.
 
-    Pairs are never written out: equal predictions and equal labels are counted first, and each
-    combination enters with the product of its counts. As trips with the same features get the
-    same prediction from a model, the join stays about as large as the list of known labels.
+    The pairs are never written out. A model gives trips with the same features the same fare,
+    so the different (features, predicted fare) are few; the error sums over all labels are
+    taken once for each of them, and each day's predictions look theirs up and weigh them.
     """
     asked = (
         _by_day(predictions)
@@ -49,44 +69,50 @@ def quality(predictions: DataFrame, features: DataFrame) -> DataFrame:
         .groupBy("day", "model_id", *FEATURE_COLUMNS, PREDICTION)
         .agg(F.count(F.lit(1)).alias("_asked"))
     )
-    pairs = asked.join(known_labels(features), list(FEATURE_COLUMNS))
-    label = F.col(LABEL).cast("double")
-    error = F.col(PREDICTION).cast("double") - label
-    weight = F.col("_asked").cast("double") * F.col(LABEL_COUNT)
-    sums = pairs.groupBy("day", "model_id").agg(
-        F.sum(F.col("_asked") * F.col(LABEL_COUNT)).alias("labeled"),
-        F.sum(weight).alias("_w"),
-        F.sum(weight * F.abs(error)).alias("_abs"),
-        F.sum(weight * error * error).alias("_squares"),
-        F.sum(F.when(label != 0, weight * F.abs(error) / F.abs(label))).alias("_relative"),
-        F.sum(F.when(label != 0, weight)).alias("_relative_w"),
-        F.sum(weight * label).alias("_label"),
-        F.sum(weight * label * label).alias("_label_squares"),
+    guess = [*FEATURE_COLUMNS, PREDICTION]
+    errors = _label_errors(asked.select(*guess).distinct(), known_labels(features))
+
+    def total(name: str) -> Column:
+        return F.sum(F.col("_asked") * F.col(name))
+
+    parts = ("_abs", "_squares", "_relative", "_relative_labels", "_label", "_label_squares")
+    sums = asked.join(errors, guess).groupBy("day", "model_id").agg(
+        total("_labels").alias("labeled"), *(total(name).alias(name) for name in parts)
     )
-    mse = F.col("_squares") / F.col("_w")
-    variance = F.col("_label_squares") / F.col("_w") - F.pow(F.col("_label") / F.col("_w"), F.lit(2))
+    size = F.col("labeled").cast("double")
+    mse = F.col("_squares") / size
+    variance = F.col("_label_squares") / size - F.pow(F.col("_label") / size, F.lit(2))
     return sums.select(
         "day",
         "model_id",
         "labeled",
-        (F.col("_abs") / F.col("_w")).alias("mae"),
+        (F.col("_abs") / size).alias("mae"),
         mse.alias("mse"),
         F.sqrt(mse).alias("rmse"),
-        F.try_divide("_relative", "_relative_w").alias("mape"),
+        ratio(F.col("_relative"), F.col("_relative_labels")).alias("mape"),
         (1 - mse / F.when(variance > 0, variance)).alias("r2"),
     )
 
 
+def _stored_counts(predictions: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Counts of values per day and model. They are read many times below, and are small beside
+    the log they come from, so they are stored rather than unpacked anew for each reading."""
+    return stored(dist.value_counts(_by_day(predictions), ["day", "model_id"], columns), "value-counts")
+
+
+def _stored_known_counts(predictions: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return _stored_counts(predictions, columns).filter(F.col(VALUE).isNotNull())
+
+
 def profiles(predictions: DataFrame) -> DataFrame:
     """One row per day, model and column (inputs and prediction)."""
-    counts = dist.value_counts(_by_day(predictions), ["day", "model_id"], [*FEATURE_COLUMNS, PREDICTION])
-    return dist.profile(counts, GROUP)
+    return dist.profile(_stored_counts(predictions, [*FEATURE_COLUMNS, PREDICTION]), GROUP)
 
 
 def _compared(predictions: DataFrame, columns: tuple[str, ...], baseline: DataFrame | None) -> DataFrame:
     """Counts of each value on a day and in what the day is compared with: ``n_now``, ``n_base``,
     and the totals of both. Null values are left to the profiles."""
-    counts = dist.value_counts(_by_day(predictions), ["day", "model_id"], columns).filter(F.col(VALUE).isNotNull())
+    counts = _stored_known_counts(predictions, columns)
     if baseline is None:
         sides = _against_previous_day(counts)
     else:
@@ -162,12 +188,8 @@ def numeric_drift(
     predictions: DataFrame, baseline: DataFrame | None = None, columns: tuple[str, ...] = NUMERIC
 ) -> DataFrame:
     """Per day, model and column: shift of the mean, population stability index, and the largest
-    distance between the two distribution functions.
-
-    The counted values are stored before the statistics are taken from them, as each statistic
-    reads them anew.
-    """
-    compared = stored(_compared(predictions, columns, baseline), "value-counts")
+    distance between the two distribution functions."""
+    compared = stored(_compared(predictions, columns, baseline), "compared-counts")
     in_base = F.when(F.col("n_base") > 0, F.col(VALUE))
     summary = compared.groupBy(*GROUP).agg(
         (_mean("n_now") - _mean("n_base")).alias("mean_shift"),

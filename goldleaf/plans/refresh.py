@@ -7,6 +7,7 @@ by column, from their own table.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,25 +61,34 @@ def refresh_sales(
     create_schema(spark, schema, folder)
     stored: dict[str, DataFrame] = {}
 
-    def store(name: str, df: DataFrame) -> None:
-        stored[name] = overwrite_table(df, f"{schema}.{name}", f"{folder}/{name}", layouts[name])
+    def store(**datasets: DataFrame) -> None:
+        """Write the datasets of one step side by side, so that the last tasks of one do not
+        leave the cluster idle."""
+        def write(name: str) -> DataFrame:
+            return overwrite_table(datasets[name], f"{schema}.{name}", f"{folder}/{name}", layouts[name])
 
-    store("bronze_transactions", bronze.bronze_transactions(sources.transactions))
-    store("bronze_customers", bronze.bronze_customers(sources.customers))
-    store("bronze_franchises", bronze.bronze_franchises(sources.franchises))
-    store("bronze_suppliers", bronze.bronze_suppliers(sources.suppliers))
-    store("silver_transactions", silver.silver_transactions(stored["bronze_transactions"]))
-    store("silver_customers", silver.silver_customers(stored["bronze_customers"]))
+        with ThreadPoolExecutor(max_workers=len(datasets)) as writers:
+            stored.update(zip(datasets, writers.map(write, datasets)))
+
+    store(
+        bronze_transactions=bronze.bronze_transactions(sources.transactions),
+        bronze_customers=bronze.bronze_customers(sources.customers),
+        bronze_franchises=bronze.bronze_franchises(sources.franchises),
+        bronze_suppliers=bronze.bronze_suppliers(sources.suppliers),
+    )
     store(
-        "silver_franchises",
-        silver.silver_franchises(stored["bronze_franchises"], stored["bronze_suppliers"]),
+        silver_transactions=silver.silver_transactions(stored["bronze_transactions"]),
+        silver_customers=silver.silver_customers(stored["bronze_customers"]),
+        silver_franchises=silver.silver_franchises(stored["bronze_franchises"], stored["bronze_suppliers"]),
     )
     sales = stored["silver_transactions"]
-    store("gold_daily_sales_summary", gold.daily_sales_summary(sales))
-    store("gold_customer_360", gold.customer_360(stored["silver_customers"], sales))
-    store("gold_product_performance", gold.product_performance(sales))
-    store("gold_franchise_performance", gold.franchise_performance(stored["silver_franchises"], sales))
-    store("gold_payment_analysis", gold.payment_analysis(sales))
+    store(
+        gold_daily_sales_summary=gold.daily_sales_summary(sales),
+        gold_customer_360=gold.customer_360(stored["silver_customers"], sales),
+        gold_product_performance=gold.product_performance(sales),
+        gold_franchise_performance=gold.franchise_performance(stored["silver_franchises"], sales),
+        gold_payment_analysis=gold.payment_analysis(sales),
+    )
     return stored
 
 

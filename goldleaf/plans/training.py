@@ -16,6 +16,7 @@ from pyspark.storagelevel import StorageLevel
 
 from goldleaf.functions.measures import ratio
 from goldleaf.schemas import FEATURE_COLUMNS, LABEL
+from goldleaf.session import ensure_checkpoints
 
 # The searched grid (trees, depth, learning rate), folds and seed.
 PARAMETER_GRID = {"maxIter": (100, 200), "maxDepth": (3, 5, 7), "stepSize": (0.05, 0.1)}
@@ -52,6 +53,7 @@ def search_fare_model(
     The rows stay distributed. Vectors are assembled once and kept while the search runs; give
     it a stored feature table, so that a lost partition is read again with the same rows.
     """
+    ensure_checkpoints(train.sparkSession)
     assembler = feature_vector()
     trees = GBTRegressor(labelCol=LABEL, featuresCol="features", predictionCol=RAW_PREDICTION, seed=seed)
     points = ParamGridBuilder()

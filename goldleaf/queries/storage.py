@@ -185,7 +185,7 @@ def _(spark, folder):
 def _(spark, folder):
     changes = sample.table(spark, folder, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority")
     history = versions_from_changes(
-        changes, ["o_custkey"], ["o_orderdate", "o_orderkey"], bucket=F.year("o_orderdate")
+        changes, ["o_custkey"], ["o_orderdate", "o_orderkey"], bucket=F.to_date("o_orderdate")
     )
     return naive_times(history)
 

@@ -22,6 +22,8 @@ def local_session(cpus: int | str = 8, app_name: str = "goldleaf") -> SparkSessi
         .config("spark.sql.adaptive.enabled", "true")
         # small local inputs: let eight threads share what a cluster would call one partition
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
+        # keep the generated code of a whole refresh, instead of compiling it for each run
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .getOrCreate()
     )
 
@@ -45,3 +47,9 @@ def shared_folder(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_folder(spark)}/goldleaf/{label}-{uuid.uuid4().hex}"
+
+
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Let iterative jobs cut their lineage in the shared folder, unless that is set up already."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))

@@ -84,6 +84,12 @@ def overwrite_table(df: DataFrame, table: str, path: str, layout: Layout = Layou
     return spark.read.table(table)
 
 
+def append_table(df: DataFrame, table: str, path: str) -> DataFrame:
+    """Add rows to a table of the same columns, creating it the first time."""
+    df.write.format("parquet").mode("append").option("path", path).saveAsTable(table)
+    return df.sparkSession.read.table(table)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The same rows read back from a new folder in the shared space.
 
