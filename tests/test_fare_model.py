@@ -1,3 +1,4 @@
+import uuid
 from datetime import datetime
 
 import pytest
@@ -6,9 +7,11 @@ from pyspark.sql import functions as F
 
 from goldleaf.functions.calendar import as_flag, is_rush_hour, is_weekend_day
 from goldleaf.operators.splitting import split_rows
-from goldleaf.plans import champion, scoring, training, trip_features
+from goldleaf.plans import champion, fare_jobs, scoring, training, trip_features
 from goldleaf.queries.fare_model import fixed_model
 from goldleaf.schemas import FEATURE_COLUMNS, LABEL
+from goldleaf.session import run_folder
+from goldleaf.sources import sample_tables as sample
 from tests.test_payloads import KNOWN
 
 
@@ -129,3 +132,22 @@ def test_gate_on_logged_errors(spark):
     verdict = lambda new, old: champion.compare_logged(runs, new, old).first().is_better
     assert verdict("b", "a") is True and verdict("a", "b") is False
     assert verdict("c", "a") is False and verdict("a", None) is True
+
+
+def test_train_compare_and_score_as_jobs(spark):
+    place = fare_jobs.Place(spark, f"t_{uuid.uuid4().hex[:10]}", run_folder(spark, "test"))
+    features = fare_jobs.store_features(place, sample.trips(spark, "/root/testdata/sf0.001"), ["trip_id"])
+    assert fare_jobs.champion_run(place) is None
+    with pytest.raises(ValueError, match="no champion"):
+        fare_jobs.score_features(place)
+    first = fare_jobs.train_and_compare(place, "run-1", {**SMALL_GRID, "maxIter": (2,)}, ["trip_id"]).first()
+    assert (first.champion_mae, first.is_better) == (None, True)
+    same = fare_jobs.train_and_compare(place, "run-2", {**SMALL_GRID, "maxIter": (2,)}, ["trip_id"]).first()
+    assert same.champion_mae == first.challenger_mae and same.is_better is False
+    assert fare_jobs.champion_run(place) == "run-1"
+    scored = fare_jobs.score_features(place)
+    assert scored.count() == features.count()
+    assert {r.model_version for r in scored.select("model_version").distinct().collect()} == {"run-1"}
+    runs = place.read(fare_jobs.RUNS)
+    assert runs.count() == 2 and runs.agg(F.max("training_samples")).first()[0] < features.count()
+    assert runs.orderBy("run_id").first().test_mae == pytest.approx(first.challenger_mae)

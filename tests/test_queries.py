@@ -12,7 +12,7 @@ ROWS_ONLY = {"train_fare_model"}
 # Plans that start by writing a table or running a stream.
 EAGER = {
     "train_fare_model", "materialize_roundtrip", "clustered_write_scan", "overwrite_new_schema", "run_row_counts",
-    "json_source_roundtrip", "stream_ingest_silver",
+    "json_source_roundtrip", "stream_ingest_silver", "monitoring_row_counts",
 }
 
 
