@@ -95,15 +95,25 @@ def refresh_monitoring(
     features: DataFrame,
     call_id: Column | None = None,
     baseline: DataFrame | None = None,
+    every_label: bool = False,
 ) -> dict[str, DataFrame]:
-    """Unpack the log once, then recompute the processed table and all metric tables from it."""
+    """Unpack the log once, then recompute the processed table and all metric tables from it.
+
+    The processed table has one row per prediction, with the mean fare of the matching trips and
+    their number; what fares those were is stored once per feature vector in ``known_labels``.
+    ``every_label`` lays the two together: one row per prediction and different fare, which for
+    a vector shared by many predictions and many fares is a far larger table. The metrics need
+    neither and are the same both ways.
+    """
     unpacked = place.store("inferences", inference_log.unpack_payloads(log, call_id))
+    labels = place.store("known_labels", inference_log.known_labels(features))
     metrics = {
-        "inference_processed": inference_log.join_ground_truth(unpacked, features),
+        "inference_processed": inference_log.join_labels(unpacked, labels, one_label=not every_label),
         "monitor_volume": monitoring.volume(unpacked),
-        "monitor_quality": monitoring.quality(unpacked, features),
+        "monitor_quality": monitoring.quality_against(unpacked, labels),
         "monitor_profile": monitoring.profiles(unpacked),
         "monitor_drift_numeric": monitoring.numeric_drift(unpacked, baseline),
         "monitor_drift_categorical": monitoring.categorical_drift(unpacked, baseline),
     }
-    return {"inferences": unpacked, **{name: place.store(name, df) for name, df in metrics.items()}}
+    tables = {name: place.store(name, df) for name, df in metrics.items()}
+    return {"inferences": unpacked, "known_labels": labels, **tables}

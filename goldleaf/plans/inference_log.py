@@ -71,28 +71,33 @@ def known_labels(features: DataFrame) -> DataFrame:
     )
 
 
-def mean_labels(features: DataFrame) -> DataFrame:
-    """One row per feature vector: its mean label and the number of labels."""
-    labels = known_labels(features)
+def mean_labels(labels: DataFrame) -> DataFrame:
+    """Known labels as one row per feature vector: the mean label and the number of labels."""
     weight = F.col(LABEL_COUNT)
     return labels.groupBy(*FEATURE_COLUMNS).agg(
         (F.sum(F.col(LABEL) * weight) / F.sum(weight)).alias(LABEL), F.sum(weight).alias(LABEL_COUNT)
     )
 
 
+def join_labels(predictions: DataFrame, labels: DataFrame, one_label: bool = False) -> DataFrame:
+    """Predictions beside known labels of their feature vector; null where none is known."""
+    chosen = mean_labels(labels) if one_label else labels
+    return predictions.join(chosen, list(FEATURE_COLUMNS), "left").select(
+        "timestamp", "date", "model_id", *FEATURE_COLUMNS, PREDICTION, "example_id", LABEL, LABEL_COUNT
+    )
+
+
 def join_ground_truth(predictions: DataFrame, features: DataFrame, one_label: bool = False) -> DataFrame:
     """Predictions with the fares of trips that have the same six features.
 
     Features are no key: a prediction may match several trips. By default it appears once per
     different fare, and ``label_count`` says how many trips had that fare (so summing with this
     weight equals a row per matching trip; ``expand_labels`` writes those rows out). With
-    ``one_label`` it appears once, with the mean fare. Predictions without a match keep a null
-    label; null features match nothing.
+    ``one_label`` it appears once, with the mean fare: the form whose size does not grow with
+    the number of trips per vector. Predictions without a match keep a null label; null features
+    match nothing.
     """
-    labels = mean_labels(features) if one_label else known_labels(features)
-    return predictions.join(labels, list(FEATURE_COLUMNS), "left").select(
-        "timestamp", "date", "model_id", *FEATURE_COLUMNS, PREDICTION, "example_id", LABEL, LABEL_COUNT
-    )
+    return join_labels(predictions, known_labels(features), one_label)
 
 
 def expand_labels(joined: DataFrame) -> DataFrame:

@@ -63,6 +63,11 @@ def quality(predictions: DataFrame, features: DataFrame) -> DataFrame:
     so the different (features, predicted fare) are few; the error sums over all labels are
     taken once for each of them, and each day's predictions look theirs up and weigh them.
     """
+    return quality_against(predictions, known_labels(features))
+
+
+def quality_against(predictions: DataFrame, labels: DataFrame) -> DataFrame:
+    """The same with the labels counted already."""
     asked = (
         _by_day(predictions)
         .filter(F.col(PREDICTION).isNotNull())
@@ -70,7 +75,7 @@ def quality(predictions: DataFrame, features: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_asked"))
     )
     guess = [*FEATURE_COLUMNS, PREDICTION]
-    errors = _label_errors(asked.select(*guess).distinct(), known_labels(features))
+    errors = _label_errors(asked.select(*guess).distinct(), labels)
 
     def total(name: str) -> Column:
         return F.sum(F.col("_asked") * F.col(name))

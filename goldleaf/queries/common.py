@@ -56,8 +56,8 @@ def silver_shops(spark: SparkSession, folder: str) -> DataFrame:
 TRANSACTIONS = """
 transactions AS (
   SELECT l_orderkey * 10 + l_linenumber AS "transactionID",
-         CASE WHEN l_orderkey % 97 <> 0 THEN o_custkey END AS "customerID",
-         l_suppkey AS "franchiseID",
+         CASE WHEN l_orderkey % 97 <> 0 AND o_custkey % 41 <> 0 THEN o_custkey END AS "customerID",
+         CASE WHEN l_suppkey <> 7 THEN l_suppkey END AS "franchiseID",
          l_shipdate + to_hours(CAST((l_orderkey * 7 + l_linenumber * 3) % 24 AS INTEGER)) AS "dateTime",
          p_name AS product,
          CAST(CASE WHEN l_partkey % 101 = 0 THEN 0 ELSE l_quantity END AS BIGINT) AS quantity,
@@ -67,7 +67,6 @@ transactions AS (
          '  ' || lower(o_orderpriority) || ' ' AS "paymentMethod",
          CASE WHEN l_orderkey % 89 <> 0 THEN 4000000000000000 + l_orderkey * 1000 + l_linenumber END AS "cardNumber"
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-  WHERE l_suppkey <> 7 AND o_custkey % 41 <> 0
 )"""
 
 CUSTOMERS = """
@@ -88,7 +87,7 @@ customers AS (
 FRANCHISES = """
 franchises AS (
   SELECT s_suppkey AS "franchiseID",
-         s_suppkey % 30 AS "supplierID",
+         CASE WHEN s_suppkey % 10 = 9 THEN -s_suppkey ELSE s_suppkey END AS "supplierID",
          s_name AS name,
          CASE WHEN s_suppkey % 11 <> 0 THEN 'City ' || CAST(s_suppkey AS VARCHAR) END AS city,
          n_name AS country,
@@ -101,7 +100,7 @@ franchises AS (
 SUPPLIERS = """
 suppliers AS (
   SELECT p_partkey AS "supplierID", p_name AS name, p_type AS ingredient, p_size % 2 = 0 AS approved
-  FROM part WHERE p_partkey < 27
+  FROM part
 )"""
 
 SILVER_TRANSACTIONS = """

@@ -170,7 +170,7 @@ def _(spark, folder):
     "expect_drop_transactions",
     with_tables(
         """SELECT "transactionID", "customerID", "franchiseID", quantity, "totalPrice" FROM transactions
-           WHERE "customerID" IS NOT NULL AND quantity > 0 AND "totalPrice" > 0""",
+           WHERE "customerID" IS NOT NULL AND "franchiseID" IS NOT NULL AND quantity > 0 AND "totalPrice" > 0""",
         TRANSACTIONS,
     ),
 )

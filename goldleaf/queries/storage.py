@@ -137,11 +137,11 @@ def _(spark, folder):
 
 _SNAPSHOTS = """
 WITH before AS (
-  SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 100 <> 1
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders
 ), after AS (
-  SELECT o_orderkey, CASE WHEN o_orderkey % 30 = 0 THEN NULL ELSE o_custkey END AS o_custkey,
+  SELECT CASE WHEN o_orderkey % 50 = 2 THEN -o_orderkey ELSE o_orderkey END AS o_orderkey, CASE WHEN o_orderkey % 30 = 0 THEN NULL ELSE o_custkey END AS o_custkey,
          CASE WHEN o_orderkey % 20 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_orderpriority
-  FROM orders WHERE o_orderkey % 50 <> 2
+  FROM orders
 )
 """
 
@@ -165,10 +165,10 @@ WHERE a.o_custkey IS DISTINCT FROM b.o_custkey OR a.o_orderstatus IS DISTINCT FR
 )
 def _(spark, folder):
     columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-    orders = sample.table(spark, folder, "orders").select(*columns)
-    before = orders.filter("o_orderkey % 100 <> 1")
-    after = orders.filter("o_orderkey % 50 <> 2").withColumns(
+    before = sample.table(spark, folder, "orders").select(*columns)
+    after = before.withColumns(
         {
+            "o_orderkey": F.expr("CASE WHEN o_orderkey % 50 = 2 THEN -o_orderkey ELSE o_orderkey END"),
             "o_custkey": F.expr("CASE WHEN o_orderkey % 30 <> 0 THEN o_custkey END"),
             "o_orderstatus": F.expr("CASE WHEN o_orderkey % 20 = 0 THEN 'X' ELSE o_orderstatus END"),
         }

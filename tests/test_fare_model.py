@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from goldleaf.functions.calendar import as_flag, is_rush_hour, is_weekend_day
 from goldleaf.operators.splitting import split_rows
-from goldleaf.plans import champion, fare_jobs, scoring, training, trip_features
+from goldleaf.plans import champion, fare_jobs, inference_log, scoring, training, trip_features
 from goldleaf.queries.fare_model import fixed_model
 from goldleaf.schemas import FEATURE_COLUMNS, LABEL
 from goldleaf.session import run_folder
@@ -151,3 +151,21 @@ def test_train_compare_and_score_as_jobs(spark):
     runs = place.read(fare_jobs.RUNS)
     assert runs.count() == 2 and runs.agg(F.max("training_samples")).first()[0] < features.count()
     assert runs.orderBy("run_id").first().test_mae == pytest.approx(first.challenger_mae)
+
+
+def test_monitoring_job_keeps_one_row_per_prediction(spark):
+    small = "/root/testdata/sf0.001"
+    log = sample.payload_log(spark, small)
+    features = trip_features.feature_table(sample.trips(spark, small))
+    made = {}
+    for every_label in (False, True):
+        place = fare_jobs.Place(spark, f"t_{uuid.uuid4().hex[:10]}", run_folder(spark, "test"))
+        made[every_label] = fare_jobs.refresh_monitoring(place, log, features, F.col("request_id"), every_label=every_label)
+    lean, full = made[False], made[True]
+    assert lean["inference_processed"].count() == lean["inferences"].count()
+    rebuilt = inference_log.join_labels(lean["inferences"], lean["known_labels"])
+    assert rebuilt.exceptAll(full["inference_processed"]).count() == 0
+    assert full["inference_processed"].count() == rebuilt.count()
+    for name in lean:
+        if name.startswith("monitor_"):
+            assert lean[name].exceptAll(full[name]).count() == 0

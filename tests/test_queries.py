@@ -3,7 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from goldleaf.plans import bronze, silver
 from goldleaf.queries import ORACLES, QUERIES
+from goldleaf.sources import sample_tables as sample
+from goldleaf.sources import tables
 from tools.check_oracle import compare, sql_connection
 
 SMALL = "/root/testdata/sf0.001"
@@ -48,12 +51,18 @@ def test_plan_has_no_cross_join_and_no_global_window(spark, name):
         assert "EvalPython" not in plan and "InPandas" not in plan
 
 
-def pushed(spark, name):
-    return QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
-
-
-def test_filters_and_columns_reach_the_scan(spark):
-    plan = pushed(spark, "agg_sum_count_avg")
+def test_only_needed_columns_are_read(spark):
+    plan = QUERIES["agg_sum_count_avg"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     lineitem = next(line for line in plan.splitlines() if "lineitem.parquet" in line)
+    assert "l_extendedprice" in lineitem
     assert "l_shipdate" not in lineitem and "l_discount" not in lineitem
-    assert "Not(EqualTo(l_suppkey,7))" in plan
+
+
+def test_quality_rules_reach_the_scan(spark):
+    stored = tables.stored(bronze.bronze_transactions(sample.sales_transactions(spark, SMALL)), "test")
+    plan = silver.silver_transactions(stored)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") : plan.index("ReadSchema")]
+    assert "IsNotNull(transactionID)" in pushed
+    # long lists are cut short in the text; the whole condition stands in the filter above the scan
+    for rule in ("isnotnull(transactionID", "isnotnull(customerID", "isnotnull(franchiseID", "quantity", "totalPrice"):
+        assert rule in plan[: plan.index("FileScan")]
