@@ -26,8 +26,6 @@ CATEGORICAL = ("pickup_hour", "pickup_dayofweek", "pickup_month", "is_weekend",
 PSI_BINS = 10
 # Stands in for an empty share, so that logarithm and division stay defined.
 EMPTY_SHARE = 1e-4
-# Parts a baseline column is cut into when it is laid against many days.
-BASELINE_PARTS = 32
 
 
 def _by_day(predictions: DataFrame) -> DataFrame:
@@ -114,14 +112,10 @@ def profiles(predictions: DataFrame) -> DataFrame:
     return dist.profile(_stored_counts(predictions, [*FEATURE_COLUMNS, PREDICTION]), GROUP)
 
 
-def _compared(predictions: DataFrame, columns: tuple[str, ...], baseline: DataFrame | None) -> DataFrame:
-    """Counts of each value on a day and in what the day is compared with: ``n_now``, ``n_base``,
-    and the totals of both. Null values are left to the profiles."""
-    counts = _stored_known_counts(predictions, columns)
-    if baseline is None:
-        sides = _against_previous_day(counts)
-    else:
-        sides = _against_baseline(counts, dist.value_counts(baseline, [], columns).filter(F.col(VALUE).isNotNull()))
+def _compared(counts: DataFrame) -> DataFrame:
+    """Counts of each value on a day and on the model's previous day: ``n_now``, ``n_base``, and
+    the totals of both. Null values are left to the profiles."""
+    sides = _against_previous_day(counts)
     merged = sides.groupBy(*GROUP, VALUE).agg(F.sum("n_now").alias("n_now"), F.sum("n_base").alias("n_base"))
     totals = merged.groupBy(*GROUP).agg(F.sum("n_now").alias("all_now"), F.sum("n_base").alias("all_base"))
     both = totals.filter((F.col("all_now") > 0) & (F.col("all_base") > 0))
@@ -143,18 +137,6 @@ def _against_previous_day(counts: DataFrame) -> DataFrame:
     return own.unionByName(base)
 
 
-def _against_baseline(counts: DataFrame, baseline: DataFrame) -> DataFrame:
-    """The baseline's counts once per day and model. Both sides are cut into the same parts by
-    value, so that a column's values do not all meet in one task."""
-    nothing = F.lit(0).cast("long")
-    groups = counts.select(*GROUP).distinct()
-    parts = F.explode(F.sequence(F.lit(0), F.lit(BASELINE_PARTS - 1)))
-    spread = baseline.withColumn("_part", F.pmod(F.xxhash64(VALUE), F.lit(BASELINE_PARTS)).cast("int"))
-    base = groups.withColumn("_part", parts).join(spread, [COLUMN, "_part"])
-    own = counts.select(*_side(F.col("day"), F.col(ROWS), nothing))
-    return own.unionByName(base.select(*_side(F.col("day"), nothing, F.col(ROWS))))
-
-
 def _share(count: str, total: str) -> Column:
     share = F.col(count) / F.col(total)
     return F.when(share > 0, share).otherwise(F.lit(EMPTY_SHARE))
@@ -168,56 +150,137 @@ def _mean(count: str) -> Column:
     return F.sum(F.col(VALUE) * F.col(count)) / F.sum(count)
 
 
-def _population_stability(compared: DataFrame, span: DataFrame) -> DataFrame:
-    """Equal-width bins over the base's range; what lies outside falls into the outer bins. A bin
-    empty on both sides adds nothing, so only bins with rows are looked at."""
+def _psi_bin() -> Column:
+    """Equal-width bins over the base's range; what lies outside falls into the outer bins."""
     position = F.try_divide(F.col(VALUE) - F.col("_low"), F.col("_high") - F.col("_low"))
     binned = F.floor(F.coalesce(position, F.lit(0.0)) * PSI_BINS)
-    bounded = F.greatest(F.lit(0), F.least(F.lit(PSI_BINS - 1), binned))
-    bins = (
-        compared.join(span, GROUP)
-        .groupBy(*GROUP, "all_now", "all_base", bounded.alias("_bin"))
-        .agg(F.sum("n_now").alias("n_now"), F.sum("n_base").alias("n_base"))
-    )
-    now, base = _share("n_now", "all_now"), _share("n_base", "all_base")
-    return bins.groupBy(*GROUP).agg(F.sum((now - base) * F.log(now / base)).alias("psi"))
+    return F.greatest(F.lit(0), F.least(F.lit(PSI_BINS - 1), binned)).alias("_bin")
 
 
-def _kolmogorov_smirnov(compared: DataFrame) -> DataFrame:
-    totals = dist.running_totals(compared, GROUP, {"n_now": "c_now", "n_base": "c_base"})
-    gap = F.abs(F.col("c_now") / F.col("all_now") - F.col("c_base") / F.col("all_base"))
-    return totals.groupBy(*GROUP).agg(F.max(gap).alias("ks"))
+def _population_stability(bins: DataFrame) -> DataFrame:
+    """From counts per bin. A bin empty on both sides adds nothing and may be missing."""
+    now, base = _share("n_now", "all_now"), _share("n_base", "all_base")
+    return bins.groupBy(*GROUP).agg(F.sum((now - base) * F.log(now / base)).alias("psi"))
 
 
-def numeric_drift(
-    predictions: DataFrame, baseline: DataFrame | None = None, columns: tuple[str, ...] = NUMERIC
-) -> DataFrame:
-    """Per day, model and column: shift of the mean, population stability index, and the largest
-    distance between the two distribution functions."""
-    compared = stored(_compared(predictions, columns, baseline), "compared-counts")
+def _numeric_between_days(counts: DataFrame) -> DataFrame:
+    compared = stored(_compared(counts), "compared-counts")
     in_base = F.when(F.col("n_base") > 0, F.col(VALUE))
     summary = compared.groupBy(*GROUP).agg(
         (_mean("n_now") - _mean("n_base")).alias("mean_shift"),
         F.min(in_base).alias("_low"),
         F.max(in_base).alias("_high"),
     )
-    stability = _population_stability(compared, summary.select(*GROUP, "_low", "_high"))
+    bins = (
+        compared.join(summary.select(*GROUP, "_low", "_high"), GROUP)
+        .groupBy(*GROUP, "all_now", "all_base", _psi_bin())
+        .agg(F.sum("n_now").alias("n_now"), F.sum("n_base").alias("n_base"))
+    )
+    totals = dist.running_totals(compared, GROUP, {"n_now": "c_now", "n_base": "c_base"})
+    gap = F.abs(F.col("c_now") / F.col("all_now") - F.col("c_base") / F.col("all_base"))
     return (
         _statistic(summary, "mean_shift")
-        .unionByName(_statistic(stability, "psi"))
-        .unionByName(_statistic(_kolmogorov_smirnov(compared), "ks"))
+        .unionByName(_statistic(_population_stability(bins), "psi"))
+        .unionByName(_statistic(totals.groupBy(*GROUP).agg(F.max(gap).alias("ks")), "ks"))
+    )
+
+
+def _base_counts(baseline: DataFrame, columns: Sequence[str]) -> DataFrame:
+    counts = stored(dist.value_counts(baseline, [], columns), "baseline-counts")
+    return counts.filter(F.col(VALUE).isNotNull()).withColumnRenamed(ROWS, "n_base")
+
+
+def _numeric_against(counts: DataFrame, base: DataFrame) -> DataFrame:
+    """Against one table for all days, without laying its values beside each day's.
+
+    Bins of the base are counted once. For the distance of the distribution functions it is
+    enough to look at a day's own values, at the value and just before it: between two of them
+    the day's function stands still and the base's only grows. Broadcast are only summaries of
+    the base: one row, and at most ten bins, per monitored column.
+    """
+    now = counts.withColumnRenamed(ROWS, "n_now")
+    facts = base.groupBy(COLUMN).agg(
+        F.sum("n_base").alias("all_base"),
+        _mean("n_base").alias("_base_mean"),
+        F.min(VALUE).alias("_low"),
+        F.max(VALUE).alias("_high"),
+    )
+    facts = F.broadcast(facts)
+    days = now.groupBy(*GROUP).agg(F.sum("n_now").alias("all_now"), _mean("n_now").alias("_mean")).join(facts, COLUMN)
+    shift = days.withColumn("mean_shift", F.col("_mean") - F.col("_base_mean"))
+
+    sizes = days.select(*GROUP, "all_now", "all_base")
+    none = F.lit(0).cast("long")
+    base_bins = base.join(facts, COLUMN).groupBy(COLUMN, _psi_bin()).agg(F.sum("n_base").alias("n_base"))
+    day_bins = now.join(facts, COLUMN).groupBy(*GROUP, _psi_bin()).agg(F.sum("n_now").alias("n_now"))
+    bins = (
+        sizes.join(F.broadcast(base_bins), COLUMN)
+        .select(*GROUP, "_bin", none.alias("n_now"), "n_base")
+        .unionByName(day_bins.withColumn("n_base", none))
+        .groupBy(*GROUP, "_bin")
+        .agg(F.sum("n_now").alias("n_now"), F.sum("n_base").alias("n_base"))
+        .join(sizes, GROUP)
     )
 
+    values = base.unionByName(now.select(COLUMN, VALUE).distinct().withColumn("n_base", none))
+    points = values.groupBy(COLUMN, VALUE).agg(F.sum("n_base").alias("n_base"))
+    base_totals = dist.running_totals(points, [COLUMN], {"n_base": "c_base"})
+    day_totals = dist.running_totals(now, GROUP, {"n_now": "c_now"})
+
+    def gap(now_count: Column, base_count: Column) -> Column:
+        return F.abs(now_count / F.col("all_now") - base_count / F.col("all_base"))
+
+    here = gap(F.col("c_now"), F.col("c_base"))
+    just_before = gap(F.col("c_now") - F.col("n_now"), F.col("c_base") - F.col("n_base"))
+    distances = day_totals.join(base_totals, [COLUMN, VALUE]).join(sizes, GROUP)
+    return (
+        _statistic(shift, "mean_shift")
+        .unionByName(_statistic(_population_stability(bins), "psi"))
+        .unionByName(_statistic(distances.groupBy(*GROUP).agg(F.max(F.greatest(here, just_before)).alias("ks")), "ks"))
+    )
+
+
+def numeric_drift(
+    predictions: DataFrame, baseline: DataFrame | None = None, columns: tuple[str, ...] = NUMERIC
+) -> DataFrame:
+    """Per day, model and column: shift of the mean, population stability index, and the largest
+    distance between the two distribution functions."""
+    counts = _stored_known_counts(predictions, columns)
+    if baseline is None:
+        return _numeric_between_days(counts)
+    return _numeric_against(counts, _base_counts(baseline, columns))
+
+
+def _with_baseline(counts: DataFrame, base: DataFrame) -> DataFrame:
+    """A day's values with how often the base has them, and both totals."""
+    now = counts.withColumnRenamed(ROWS, "n_now")
+    facts = F.broadcast(base.groupBy(COLUMN).agg(F.sum("n_base").alias("all_base")))  # a row per column
+    sizes = now.groupBy(*GROUP).agg(F.sum("n_now").alias("all_now")).join(facts, COLUMN)
+    return now.join(base, [COLUMN, VALUE], "left").fillna(0, ["n_base"]).join(sizes, GROUP)
+
 
 def categorical_drift(
     predictions: DataFrame, baseline: DataFrame | None = None, columns: tuple[str, ...] = CATEGORICAL
 ) -> DataFrame:
-    """Per day, model and column: total variation distance and chi-square against the base."""
+    """Per day, model and column: total variation distance and chi-square against the base.
+
+    Base categories a day lacks add their whole share to both; that share is what the base has
+    left after the day's categories.
+    """
+    counts = _stored_known_counts(predictions, columns)
+    compared = _compared(counts) if baseline is None else _with_baseline(counts, _base_counts(baseline, columns))
     now, base = F.col("n_now") / F.col("all_now"), F.col("n_base") / F.col("all_base")
     expected = F.col("all_now") * _share("n_base", "all_base")
     surplus = F.col("n_now") - expected
-    wide = _compared(predictions, columns, baseline).groupBy(*GROUP).agg(
-        (F.sum(F.abs(now - base)) / 2).alias("total_variation"),
-        F.sum(surplus * surplus / expected).alias("chi_square"),
+    unseen = F.col("all_base") - F.col("_seen")
+    sums = compared.groupBy(*GROUP, "all_now", "all_base").agg(
+        F.sum(F.abs(now - base)).alias("_shift"),
+        F.sum(surplus * surplus / expected).alias("_chi"),
+        F.sum("n_base").alias("_seen"),
+    )
+    wide = sums.select(
+        *GROUP,
+        ((F.col("_shift") + unseen / F.col("all_base")) / 2).alias("total_variation"),
+        (F.col("_chi") + F.col("all_now") * (unseen / F.col("all_base"))).alias("chi_square"),
     )
     return wide.unpivot(GROUP, ["total_variation", "chi_square"], "statistic", "drift")
