@@ -36,6 +36,8 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    # many small stores: do not reserve megabytes of disk for each one's logs
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -122,7 +124,9 @@ def classes(
     repeated = prints.join(state.where("n > 1"), "digest").select("at", "digest", F.col("first.at").alias("first_at"))
     repeated = work.keep(repeated, "repeated")
     text = normalised(F.col(text_column))
-    texts = work.keep(content.select(F.col("_at").alias("at"), text.alias("text")).join(repeated, "at"), "texts")
+    # the repeated rows grow with the input, so they are never broadcast
+    whole = content.select(F.col("_at").alias("at"), text.alias("text"))
+    texts = work.keep(whole.join(repeated.hint("merge"), "at"), "texts")
     stays = texts.where("at = first_at").select("digest", F.col("text").alias("first_text"))
     strays = texts.where("at <> first_at").join(stays, "digest").where("text <> first_text").select("at", "digest", "text")
     strays = work.keep(strays, "strays")
