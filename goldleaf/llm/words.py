@@ -13,6 +13,8 @@ import numpy as np
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+# Bytes hashed at once; longer texts are taken in parts that end between words.
+CHUNK = 1 << 20
 _powers = np.ones(1, np.uint64)
 _inverses = np.ones(1, np.uint64)
 
@@ -42,6 +44,19 @@ def mix(values: np.ndarray) -> np.ndarray:
 def word_hashes(text: str | None) -> np.ndarray:
     """One hash per word, in order. The hash depends on the word's UTF-8 bytes alone."""
     data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+    if len(data) <= CHUNK:
+        return _hashes(data)
+    parts, start = [], 0
+    while start < len(data):
+        end = min(start + CHUNK, len(data))
+        while end < len(data) and not (data[end] == 32 or 9 <= data[end] <= 13):
+            end += 1
+        parts.append(_hashes(data[start:end]))
+        start = end
+    return np.concatenate(parts)
+
+
+def _hashes(data: np.ndarray) -> np.ndarray:
     if not len(data):
         return np.zeros(0, np.uint64)
     gap = (data == 32) | ((data >= 9) & (data <= 13))
