@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.common import Workspace, text_or_empty
+from goldleaf.llm.common import Workspace
 from goldleaf.llm.words import mix, shingles
 
 TREES, DEPTH = 24, 8
@@ -189,7 +189,7 @@ def stored_rows(
     rest = F.struct(F.lit(None).alias("_"), *(F.col(f"`{name}`") for name in columns))
     rows = docs.select(
         F.monotonically_increasing_id().alias("uid"), F.col(id_column).alias("id"),
-        text_or_empty(text_column).alias("text"), rest.alias("rest"), sketch(F.col(text_column), size).alias("s"),
+        F.col(text_column).alias("text"), rest.alias("rest"), sketch(F.col(text_column), size).alias("s"),
     )
     return work.keep(rows.select("uid", "id", "text", "rest", "s.*"), "rows")
 
