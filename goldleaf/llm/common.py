@@ -24,7 +24,7 @@ class Workspace:
 
     def keep(self, df: DataFrame, label: str) -> DataFrame:
         path = self.path(label)
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         # a reader without a schema would have to look into the files again
         stored = self.spark.read.schema(df.schema).parquet(path)
         stored._stored_at = path

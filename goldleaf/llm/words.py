@@ -41,31 +41,50 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """One hash per word, in order. The hash depends on the word's UTF-8 bytes alone."""
-    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+def text_bytes(text: str | None) -> np.ndarray:
+    return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+
+
+def is_gap(data: np.ndarray) -> np.ndarray:
+    return (data == 32) | ((data >= 9) & (data <= 13))
+
+
+def located_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word starts and ends in the UTF-8 bytes, and its hash, which hangs on its bytes alone."""
     if len(data) <= CHUNK:
-        return _hashes(data)
+        return _located(data, 0)
     parts, start = [], 0
     while start < len(data):
         end = min(start + CHUNK, len(data))
         while end < len(data) and not (data[end] == 32 or 9 <= data[end] <= 13):
             end += 1
-        parts.append(_hashes(data[start:end]))
+        parts.append(_located(data[start:end], start))
         start = end
-    return np.concatenate(parts)
+    return tuple(np.concatenate(part) for part in zip(*parts))
 
 
-def _hashes(data: np.ndarray) -> np.ndarray:
+def _located(data: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not len(data):
-        return np.zeros(0, np.uint64)
-    gap = (data == 32) | ((data >= 9) & (data <= 13))
-    edges = np.diff(np.concatenate(([1], gap.astype(np.int8), [1])))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    edges = np.diff(np.concatenate(([1], is_gap(data).astype(np.int8), [1])))
     starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
     _grow(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _inverses[starts])
+    return starts + shift, ends + shift, mix((sums[ends] - sums[starts]) * _inverses[starts])
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """One hash per word, in order."""
+    return located_words(text_bytes(text))[2]
+
+
+def run_hashes(words: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """One hash per run of words: from place ``first`` up to, not including, place ``after``."""
+    _grow(len(words) + 1)
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * _powers[: len(words)], out=sums[1:])
+    return mix((sums[after] - sums[first]) * _inverses[first] + (after - first).astype(np.uint64))
 
 
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
