@@ -40,6 +40,9 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
+# What one micro-batch reads of the fingerprints.
+BYTES_PER_BATCH = 4 << 30
+
 
 def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
@@ -110,12 +113,19 @@ def classes(
     text_column: str = "text",
     digest: Callable[[Column], Column] = sha256,
     state_folder: str | None = None,
-    bytes_per_batch: int = 4 << 30,
-    work: Workspace | None = None,
+    bytes_per_batch: int = BYTES_PER_BATCH,
 ) -> DataFrame:
     """One row per input row: id, at (its locator), keep_id, group_size, kept, sha (of its text)."""
-    work = work or Workspace(docs.sparkSession, "stream-dedup")
+    work = Workspace(docs.sparkSession, "stream-dedup")
     content = located(docs, work)
+    return classes_of(content, work, id_column, text_column, digest, state_folder, bytes_per_batch)
+
+
+def classes_of(
+    content: DataFrame, work: Workspace, id_column: str = "doc_id", text_column: str = "text",
+    digest: Callable[[Column], Column] = sha256, state_folder: str | None = None, bytes_per_batch: int = BYTES_PER_BATCH,
+) -> DataFrame:
+    """The same for rows that have their locator as ``_at``."""
     prints = work.keep(fingerprints(content, id_column, text_column, digest), "fingerprints")
     state_folder = state_folder or work.path("state")
     advance_state(prints, state_folder, bytes_per_batch)
@@ -158,5 +168,5 @@ def kept_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """The rows that stay, with all their columns."""
     work = Workspace(docs.sparkSession, "stream-dedup")
     content = located(docs, work)
-    gone = classes(docs, id_column, text_column, work=work).where(~F.col("kept")).select(F.col("at").alias("_at"))
+    gone = classes_of(content, work, id_column, text_column).where(~F.col("kept")).select(F.col("at").alias("_at"))
     return content.join(gone, "_at", "left_anti").select(*docs.columns)
