@@ -1,0 +1,55 @@
+"""Small inputs and plain second versions for the tests of the corpus operators."""
+
+from __future__ import annotations
+
+import re
+
+
+SMALL = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+# The columns of documents, and columns whose names operators use inside.
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+CLASHING = DOCUMENTS + ", uid long, copy string, shuffle_key string, rules string, digest string, at string, id string, _uid long, s int"
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def documents(spark, rows, clashing=False):
+    """Documents of (doc_id, text[, lang[, source]]) rows."""
+    full = []
+    for row in rows:
+        doc_id, text, lang, source = (*row, *("en", "src0")[len(row) - 2 :])[:4] if len(row) < 4 else row
+        values = [doc_id, text, lang, source, None if text is None else len(text)]
+        if clashing:
+            values += [7, "copy", "key", "rules", "digest", "at", "id", 8, 9]
+        full.append(tuple(values))
+    return spark.createDataFrame(full, CLASHING if clashing else DOCUMENTS)
+
+
+def empty_documents(spark):
+    return spark.createDataFrame([], DOCUMENTS)
+
+
+def empty_labels(spark):
+    return spark.createDataFrame([], "doc_id long, quality int, toxic int")
+
+
+def prose(seed, n):
+    """n made-up words with sentence marks, the same for a seed every time."""
+    state, out = seed * 7919 + 13, []
+    for place in range(n):
+        state = (state * 1103515245 + 12345) % (1 << 31)
+        word = "".join("abcdefghijklmnopqrst"[(state >> shift) % 20] for shift in (3, 8, 13, 18, 23))
+        out.append(word + ("." if place % 9 == 8 else ""))
+    return " ".join(out) + "."
+
+
+def edge_rows():
+    """Nulls, empty and blank texts, ties, repeated rows, one long text."""
+    return [
+        (1, None, "en", "src0"), (2, "", "en", None), (3, " \t\n", None, "src0"), (None, "no name here.", "en", "src1"),
+        (None, None, None, None), (4, prose(1, 80), "en", "src0"), (4, prose(1, 80), "en", "src0"),
+        (5, prose(1, 80), "fr", "src1"), (6, prose(2, 60_000), "en", "src1"), (7, "word", "en", "src0"),
+    ]
