@@ -39,7 +39,7 @@ CATEGORIES: dict[str, tuple[str, ...]] = {
     "toxic": (),
 }
 FOLDS = 5
-MAX_ROWS = 20_000
+MAX_ROWS = 12_000
 
 
 @dataclass
@@ -124,7 +124,7 @@ def train(
         chain = fit_chain(frame["features"].tolist(), wanted, frame["fold"].to_numpy(), names)
         yield pd.DataFrame({"model": [pickle.dumps(chain)]})
 
-    model = rows.coalesce(1).mapInPandas(fitted, "model binary").first()
+    model = rows.repartition(1).mapInPandas(fitted, "model binary").first()
     return pickle.loads(model[0]) if model else fit_chain([], np.zeros((0, len(names))), np.zeros(0), names)
 
 
