@@ -1,0 +1,89 @@
+"""Repeated spans against a plain version, passages inside other texts, edge cases."""
+
+import hashlib
+import re
+
+from goldleaf.llm.catalog import QUERIES
+from goldleaf.llm.sentence_spans import MIN_WORDS, deduplicated, spans
+from tests.llm.helpers import SMALL, WORD, documents, edge_rows, empty_documents, prose
+
+WORDS = re.compile(WORD.pattern.encode())
+
+
+def plain(rows, least=MIN_WORDS):
+    """id -> (sentences, removed, cleaned bytes), in the order of ids."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(rows):
+        data = (text or "").encode()
+        found = list(WORDS.finditer(data))
+        cuts = [0]
+        for place, match in enumerate(found):
+            word = match.group()
+            feed = place + 1 < len(found) and b"\n" in data[match.end() : found[place + 1].start()]
+            marked = word[-1:] in b".!?" or (word[-1:] in b"\"')]" and len(word) > 1 and word[-2:-1] in b".!?")
+            if marked or feed or place == len(found) - 1:
+                cuts.append(place + 1)
+        n, pairs = len(cuts) - 1, set()
+        for i in range(n):
+            pairs.update([(i, e) for e in range(i + 1, n + 1) if cuts[e] - cuts[i] >= least][:1])
+            pairs.update([(b, i + 1) for b in range(i, -1, -1) if cuts[i + 1] - cuts[b] >= least][:1])
+        gone = set()
+        for first, after in sorted(pairs):
+            key = tuple(match.group() for match in found[cuts[first] : cuts[after]])
+            if key in seen:
+                gone.update(range(first, after))
+            seen.add(key)
+        starts = [0] + [found[cuts[i]].start() for i in range(1, n)] + [len(data)]
+        cleaned = b"".join(data[starts[i] : starts[i + 1]] for i in range(n) if i not in gone) if gone else data
+        out[doc_id] = (n, len(gone), cleaned)
+    return out
+
+
+def test_query_agrees_with_plain_code(spark):
+    rows = [tuple(row) for row in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    expected = plain(rows)
+    found = QUERIES["op2_sentence_spans"](spark, SMALL).collect()
+    assert len(found) == len(rows)
+    for row in found:
+        n, gone, cleaned = expected[row["doc_id"]]
+        assert (row["n_sentences"], row["removed_sentences"]) == (n, gone)
+        assert row["clean_md5"] == hashlib.md5(cleaned).hexdigest()
+
+
+def test_a_long_passage_goes_from_all_but_the_first(spark):
+    passage = prose(77, 60)
+    rows = [(place, f"{prose(place, 20)} {passage} {prose(place + 100, 20)}") for place in range(1, 40)]
+    found = {row["id"]: row for row in deduplicated(documents(spark, rows).repartition(5)).collect()}
+    assert found[1]["removed_words"] == 0 and found[1]["clean_text"] == rows[0][1]
+    for place in range(2, 40):
+        assert found[place]["clean_text"] == f"{prose(place, 20)} {prose(place + 100, 20)}"
+
+
+def test_repeats_inside_one_text_go_too(spark):
+    passage = prose(5, 30)
+    row = deduplicated(documents(spark, [(1, f"{passage} {prose(6, 18)} {passage}")])).first()
+    assert row["clean_text"].rstrip() == f"{passage} {prose(6, 18)}"
+
+
+def test_short_repeats_and_white_space(spark):
+    text = "Er. Er. Er. Er."
+    a = prose(9, 40)
+    rows = [(1, text), (2, text), (3, a), (4, a.replace(" ", "\t "))]
+    found = {row["id"]: row for row in deduplicated(documents(spark, rows)).collect()}
+    assert found[2]["clean_text"] == text and found[4]["clean_text"] == ""
+
+
+def test_spans_cover_the_end_of_a_passage():
+    text = "a b c d e f g h i j k l m n o p. q. r."
+    covered = {place for first, after in zip(*spans(text, 15)[1:3]) for place in range(first, after)}
+    assert covered == {0, 1, 2}
+
+
+def test_edge_cases(spark):
+    docs = documents(spark, edge_rows(), clashing=True)
+    found = deduplicated(docs).collect()
+    assert len(found) == len(edge_rows())
+    left = sorted(row["removed_words"] == 0 for row in found if row["id"] in (4, 5))
+    assert left == [False, False, True]  # the first stored row of the three equal ones keeps its text
+    assert {row["clean_text"] for row in found if row["id"] in (1, 2)} == {""}
+    assert deduplicated(empty_documents(spark)).count() == 0
