@@ -181,7 +181,7 @@ def fitted_pair(rows: DataFrame) -> Pair:
         if frames:
             yield pd.DataFrame({"model": [pickle.dumps(fit_pair(pd.concat(frames).sort_values(["id", "role"])))]})
 
-    model = ready.select("id", "label", "role", "held", "v.*").coalesce(1).mapInPandas(fitted, "model binary").first()
+    model = ready.select("id", "label", "role", "held", "v.*").repartition(1).mapInPandas(fitted, "model binary").first()
     if model:
         return pickle.loads(model[0])
     none = pd.DataFrame({name: [] for name in ("id", "text_view", "named", "values", "label", "role", "held")})
