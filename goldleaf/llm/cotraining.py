@@ -44,9 +44,10 @@ ENDINGS = (2, 3)
 PAGE = 14
 
 
-def text_view(data: np.ndarray, ends: np.ndarray, starts: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Hashed words as written, and their last bytes."""
-    parts = [words]
+def text_view(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, distinct: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hashed words as written, and their last bytes. ``first``: where each distinct word stands first."""
+    parts = [distinct]
+    starts, ends = starts[first], ends[first]
     for size in ENDINGS:
         last = ends[ends - starts > size]
         value = np.full(len(last), 64 + size, np.uint64)
@@ -56,7 +57,7 @@ def text_view(data: np.ndarray, ends: np.ndarray, starts: np.ndarray, words: np.
     return np.unique(np.concatenate(parts) % np.uint64(FEATURES)).astype(np.int32)
 
 
-def page_view(data: np.ndarray, words: np.ndarray) -> np.ndarray:
+def page_view(data: np.ndarray, words: np.ndarray, n_distinct: int) -> np.ndarray:
     """Size and form of a page, without its words."""
     n, w = len(data), len(words)
     if n == 0:
@@ -72,7 +73,7 @@ def page_view(data: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.array([
         np.log1p(n), np.log1p(w), np.log1p(lines), np.log1p(widths.mean()), (widths < 30).mean(), n / (w + 1),
         upper / (upper + lower + 1), counts[48:58].sum() / n, marks / n, symbols / n, counts[33] / n, counts[46] / (w + 1),
-        len(np.unique(words)) / (w + 1), len(triples) / max(w - 2, 1),
+        n_distinct / (w + 1), len(triples) / max(w - 2, 1),
     ])
 
 
@@ -85,7 +86,8 @@ def views(text: str | None, lang: object, source: object) -> tuple[np.ndarray, n
     data = text_bytes(text)
     starts, ends, words = located_words(data)
     named = np.unique(np.array([name_feature("lang", lang), name_feature("source", source)], np.int32))
-    return text_view(data, ends, starts, words), named, page_view(data, words)
+    distinct, first = np.unique(words, return_index=True)
+    return text_view(data, starts, ends, distinct, first), named, page_view(data, words, len(distinct))
 
 
 @dataclass
