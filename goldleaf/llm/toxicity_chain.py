@@ -57,8 +57,10 @@ class Chain:
 
 
 def best_threshold(probability: np.ndarray, labels: np.ndarray) -> float:
-    """Between the two neighbouring probabilities where F1 is best; 0.5 where there is nothing to choose."""
-    if not len(labels) or labels.min() == labels.max():
+    """Between the two neighbouring probabilities where F1 is best; 0.5 for labels of one kind, 1 without labels."""
+    if not len(labels):
+        return 1.0
+    if labels.min() == labels.max():
         return 0.5
     order = np.argsort(-probability, kind="stable")
     ranked, hits = probability[order], np.cumsum(labels[order])
