@@ -35,7 +35,8 @@ STATE_SETTINGS = {
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "100",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
     # many small stores: do not reserve megabytes of disk for each one's logs
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
