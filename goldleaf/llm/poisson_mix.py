@@ -61,12 +61,12 @@ def source_rates(
     )
     known = [pair for name, weight in weights.items() for pair in (F.lit(name), F.lit(float(weight)))]
     weight = F.coalesce(F.create_map(*known)[F.col("source")], F.lit(other_weight)) if known else F.lit(other_weight)
-    held = held.withColumn("weight", weight)
-    total = held.where("chars > 0").agg(F.sum("weight").alias("weights"), F.sum("chars").alias("total"))
-    # one row of totals beside the list of sources
-    rated = held.withColumn("_one", F.lit(1)).join(total.withColumn("_one", F.lit(1)), "_one")
-    rate = F.col("weight") * F.col("total") * rounds / (F.col("weights") * F.col("chars"))
-    rated = rated.select("source", F.when(F.col("chars") > 0, rate).otherwise(0.0).alias("rate"))
+    held = Workspace(docs.sparkSession, "source-sizes").keep(held.withColumn("weight", weight), "held")
+    # two numbers over the short list of sources
+    total = held.where("chars > 0").agg(F.sum("weight"), F.sum("chars")).first()
+    weights_sum, chars_sum = float(total[0] or 1.0), int(total[1] or 0)
+    rate = F.col("weight") * F.lit(chars_sum) * rounds / (F.lit(weights_sum) * F.col("chars"))
+    rated = held.select("source", F.when(F.col("chars") > 0, rate).otherwise(0.0).alias("rate"))
     rated = rated.withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("rate") / LARGEST_MEAN)).cast("int"))
     return rated.withColumn("cdf", cumulative(F.col("rate") / F.col("parts")))
 

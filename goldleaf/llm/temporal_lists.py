@@ -28,9 +28,6 @@ from pyspark.sql import functions as F
 
 from goldleaf.llm.common import Workspace
 
-ABSENT = 0
-
-
 def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1))
 
@@ -73,14 +70,12 @@ def intervals(events: DataFrame) -> DataFrame:
 
 def active_entries(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """uid and entry for every entry that was active when the capture was fetched."""
-    wanted = captures.select("uid", "at", month_number(F.col("at")).alias("month"), F.explode("keys").alias("key"))
-    span = captures.agg(F.min("at").alias("low"), F.max("at").alias("high")).select(
-        F.lit(ABSENT).alias("one"), month_number(F.col("low")).alias("low"), month_number(F.col("high")).alias("high")
-    )
-    bounded = entries.withColumn("one", F.lit(ABSENT)).join(span, "one").select(
+    wanted = captures.where("at IS NOT NULL").select("uid", "at", month_number(F.col("at")).alias("month"), F.explode("keys").alias("key"))
+    low, high = captures.agg(F.min(month_number(F.col("at"))), F.max(month_number(F.col("at")))).first()
+    bounded = entries.select(
         "list", "verdict", "key", "valid_from", "valid_to",
-        F.greatest("low", month_number(F.col("valid_from"))).alias("begin"),
-        F.least("high", F.coalesce(month_number(F.col("valid_to")), F.col("high"))).alias("end"),
+        F.greatest(F.lit(low), month_number(F.col("valid_from"))).alias("begin"),
+        F.least(F.lit(high), F.coalesce(month_number(F.col("valid_to")), F.lit(high))).alias("end"),
     ).where("begin <= end")
     monthly = bounded.withColumn("month", F.explode(F.sequence("begin", "end"))).drop("begin", "end")
     inside = (F.col("at") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("at") < F.col("valid_to")))

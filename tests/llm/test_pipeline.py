@@ -1,0 +1,120 @@
+"""The whole pipeline against a plain version of its stages, and the registered queries against their SQL."""
+
+import collections
+import hashlib
+import math
+import re
+
+import pytest
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from goldleaf.llm.catalog import ORACLES, QUERIES
+from goldleaf.llm.quality_rules import judge
+from goldleaf.llm.query_poisson_mix import SEED, WEIGHTS
+from goldleaf.llm.query_residual_packing import VOCABULARY
+from goldleaf.llm.words import shingles
+from tests.llm.helpers import SMALL, documents, edge_rows, empty_documents
+from tools import check_oracle
+
+NAMES = [
+    "op1_lsh_forest", "op2_sentence_spans", "op3_temporal_lists", "op4_cotraining", "op5_poisson_mix", "op6_brown_lm",
+    "op7_stream_dedup", "op8_residual_packing", "op9_toxicity_chain", "op10_quality_rules",
+]
+
+
+def cleaned(docs):
+    judged = [(i, judge(text), source) for i, text, source in docs]
+    return [(i, verdict[10], source) for i, verdict, source in judged if verdict[6]]
+
+
+def without_copies(docs):
+    first = {}
+    for i, text, source in sorted(docs):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", text), (i, text, source))
+    return list(first.values())
+
+
+def without_near_copies(docs):
+    sets = [set(shingles(text).tolist()) for _, text, _ in docs]
+    head = list(range(len(docs)))
+
+    def top(place):
+        while head[place] != place:
+            place = head[place]
+        return place
+
+    for a in range(len(docs)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)), key=lambda place: docs[place][0])
+                head[y] = x
+    return [docs[place] for place in range(len(docs)) if head[place] == place]
+
+
+def repeated(docs):
+    chars = collections.Counter()
+    for _, text, source in docs:
+        chars[source] += len(text)
+    weights = {source: WEIGHTS.get(source, 1.0) for source in chars}
+    out = collections.Counter()
+    for i, _, source in docs:
+        rate = weights[source] * sum(chars.values()) / (sum(weights.values()) * chars[source])
+        u = (int(hashlib.md5(f"{SEED}:1:{i}".encode()).hexdigest()[:12], 16) + 0.5) / 16**12
+        term = total = math.exp(-rate)
+        count = 0
+        while total <= u:
+            count += 1
+            term *= rate / count
+            total += term
+        out[i] = count
+    return {i: n for i, n in out.items() if n}
+
+
+def test_pipeline_agrees_with_plain_code(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "source").collect()
+    kept = without_near_copies(without_copies(cleaned([tuple(row) for row in docs])))
+    counts = repeated(kept)
+    rows = corpus_pipeline.run(spark, SMALL).collect()
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    lengths = {i: len(tokenizer.encode(text, add_special_tokens=False).ids) + 1 for i, text, _ in kept}
+    assert collections.Counter(row["doc_id"] for row in rows if row["piece"] == 0) == counts
+    tokens = collections.Counter()
+    for row in rows:
+        tokens[row["doc_id"]] += row["length"]
+    assert tokens == {i: n * lengths[i] for i, n in counts.items()}
+    ends = collections.defaultdict(int)
+    for row in sorted(rows, key=lambda row: (row["sequence_id"], row["offset"])):
+        assert row["offset"] == ends[row["sequence_id"]]
+        ends[row["sequence_id"]] += row["length"]
+    assert max(ends.values()) <= 2048 and len(ends) <= 1.03 * sum(ends.values()) / 2048 + 1
+
+
+def test_stages_keep_columns_and_take_edge_cases(spark):
+    for rows in (documents(spark, edge_rows(), clashing=True), empty_documents(spark)):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            assert stage(spark, rows, SMALL).columns == rows.columns
+        assert stage(spark, rows, SMALL).dtypes == stage(spark, rows, SMALL).dtypes
+        corpus_pipeline.STAGES[-1][1](spark, rows, SMALL).collect()
+
+
+def test_registered():
+    assert [name for name in NAMES if name not in QUERIES] == []
+    assert entry_points.queries().keys() >= {*NAMES, "pipeline"}
+    assert set(ORACLES) == {"op3_temporal_lists", "op5_poisson_mix", "op7_stream_dedup"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_matches_sql(spark, monkeypatch, name):
+    monkeypatch.setattr(check_oracle, "QUERIES", QUERIES)
+    monkeypatch.setattr(check_oracle, "ORACLES", ORACLES)
+    monkeypatch.setitem(check_oracle.SPARK_TO_SQL, "timestamp_ntz", "TIMESTAMP")
+    assert check_oracle.compare(spark, check_oracle.sql_connection(SMALL), SMALL, name) == []
+
+
+def test_builtin_functions_only_where_promised(spark):
+    for name in ("op3_temporal_lists", "op5_poisson_mix", "op7_stream_dedup"):
+        plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "InPandas" not in plan
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
