@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 BUCKETS = 10_000
 
 
+def row_digest(seed: object, columns: Sequence[str]) -> Column:
+    """32 bits of a digest of the seed and the named columns."""
+    text = F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(F.col(name).cast("string"), F.lit("")) for name in columns))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
 def split_bucket(columns: Sequence[str], seed: int = 42) -> Column:
     """A number below ``BUCKETS`` drawn from a digest of the seed and the named columns."""
-    text = F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(F.col(name).cast("string"), F.lit("")) for name in columns))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % BUCKETS
+    return row_digest(seed, columns) % BUCKETS
 
 
 def split_rows(

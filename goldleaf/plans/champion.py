@@ -6,17 +6,23 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.plans.training import RAW_PREDICTION
+from goldleaf.plans.training import apply_model
 from goldleaf.schemas import FEATURE_COLUMNS, LABEL
 
 
-def is_better(challenger_error: Column, champion_error: Column) -> Column:
-    """True on a strictly lower error, and when there is no champion to beat."""
-    return champion_error.isNull() | (challenger_error < champion_error)
+def is_better(challenger_error: Column, champion_error: Column, has_champion: bool) -> Column:
+    """True on a strictly lower error, and without a champion to beat.
+
+    An error that is not known (nothing was scored, or the run was never logged) is never better,
+    and nothing is better than a champion whose error is not known.
+    """
+    if not has_champion:
+        return challenger_error.isNotNull()
+    return F.coalesce(challenger_error < champion_error, F.lit(False))
 
 
-def _decision(errors: DataFrame) -> DataFrame:
-    verdict = is_better(F.col("challenger_mae"), F.col("champion_mae"))
+def _decision(errors: DataFrame, has_champion: bool) -> DataFrame:
+    verdict = is_better(F.col("challenger_mae"), F.col("champion_mae"), has_champion)
     return errors.select("champion_mae", "challenger_mae", verdict.alias("is_better"))
 
 
@@ -37,7 +43,8 @@ def compare_models(
         scored.agg(
             F.avg(F.abs(F.col("_champion") - F.col(LABEL))).alias("champion_mae"),
             F.avg(F.abs(F.col("_challenger") - F.col(LABEL))).alias("challenger_mae"),
-        )
+        ),
+        champion is not None,
     )
 
 
@@ -48,10 +55,10 @@ def compare_logged(runs: DataFrame, challenger_run: str, champion_run: str | Non
 
     chosen = runs.filter(F.col("run_id").isin([run for run in (challenger_run, champion_run) if run]))
     return _decision(
-        chosen.agg(logged(champion_run).alias("champion_mae"), logged(challenger_run).alias("challenger_mae"))
+        chosen.agg(logged(champion_run).alias("champion_mae"), logged(challenger_run).alias("challenger_mae")),
+        champion_run is not None,
     )
 
 
 def _scored(rows: DataFrame, model: PipelineModel, name: str) -> DataFrame:
-    kept = rows.columns
-    return model.transform(rows).select(*kept, F.col(RAW_PREDICTION).cast("double").alias(name))
+    return apply_model(model, rows, name)

@@ -70,9 +70,9 @@ def train_and_compare(
     """Search on the stored feature table, save the model, and append the run's record and the
     verdict on it. Gives the verdict: one row, with ``is_better`` when it is the new champion."""
     train, test = split_rows(place.read(FEATURES), row_id)
-    found = training.search_fare_model(train, grid)
+    found = training.search_fare_model(train, grid, row_id=row_id)
     found.model.write().overwrite().save(place.model_path(run_id))
-    record = training.training_run(train, found.model.transform(test), FEATURES, found.best)
+    record = training.training_run(train, training.apply_model(found.model, test), FEATURES, found.best)
     place.append(RUNS, record.withColumn("run_id", F.lit(run_id)))
     current = load_champion(place)
     verdict = champion.compare_models(test, found.model, current[1] if current else None)

@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.plans.training import RAW_PREDICTION
+from goldleaf.plans.training import RAW_PREDICTION, all_inputs_known, apply_model
 from goldleaf.schemas import FEATURE_COLUMNS, LABEL, PREDICTION
 
 Predictor = Callable[[pd.DataFrame], np.ndarray]
@@ -29,15 +29,17 @@ def _output(scored: DataFrame, score: Column, model_version: str) -> DataFrame:
 def score_table(features: DataFrame, model: PipelineModel, model_version: str) -> DataFrame:
     """Every feature row with its predicted fare, the time of the run and the model's version.
 
-    A Spark ML model ships to the executors with the plan and scores inside the JVM; no shuffle.
+    A row with a missing input keeps its place with a null fare. A Spark ML model ships to the
+    executors with the plan and scores inside the JVM; no shuffle.
     """
-    return _output(model.transform(features), F.col(RAW_PREDICTION), model_version)
+    return _output(apply_model(model, features), F.col(RAW_PREDICTION), model_version)
 
 
 def score_with_predictor(features: DataFrame, load: Callable[[], Predictor], model_version: str) -> DataFrame:
     """The same for a model of any other library, as Arrow batches of the feature struct.
 
-    ``load`` runs once per task and returns a function from a batch to one number per row.
+    ``load`` runs once per task and returns a function from a batch to one number per row. What it
+    says of a row with a missing input is replaced by null.
     """
     @F.pandas_udf("float")
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
@@ -46,4 +48,4 @@ def score_with_predictor(features: DataFrame, load: Callable[[], Predictor], mod
             yield pd.Series(np.asarray(predictor(batch), dtype="float32"))
 
     inputs = F.struct(*FEATURE_COLUMNS)
-    return _output(features, predict(inputs), model_version)
+    return _output(features, F.when(all_inputs_known(), predict(inputs)), model_version)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from goldleaf.functions.measures import ratio
+from goldleaf.operators.splitting import row_digest
 from goldleaf.schemas import FEATURE_COLUMNS, LABEL
 from goldleaf.session import ensure_checkpoints
 
@@ -24,6 +27,7 @@ FOLDS = 3
 SEED = 42
 
 RAW_PREDICTION = "prediction"
+FOLD = "_fold"
 
 
 @dataclass(frozen=True)
@@ -36,8 +40,28 @@ class SearchResult:
 
 
 def feature_vector() -> VectorAssembler:
-    """Rows with a missing input cannot be scored and are left out."""
-    return VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="features", handleInvalid="skip")
+    """Keeps rows with a missing input, so that scoring loses none; see ``apply_model``."""
+    return VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="features", handleInvalid="keep")
+
+
+def all_inputs_known() -> Column:
+    return reduce(and_, (F.col(name).isNotNull() for name in FEATURE_COLUMNS))
+
+
+def apply_model(model: PipelineModel, rows: DataFrame, prediction: str = RAW_PREDICTION) -> DataFrame:
+    """Every row with its prediction, null where an input is missing."""
+    raw = F.col(RAW_PREDICTION).cast("double")
+    return model.transform(rows).select(*rows.columns, F.when(all_inputs_known(), raw).alias(prediction))
+
+
+def trainable(rows: DataFrame) -> DataFrame:
+    """The rows a fit can use: every input and the label known."""
+    return rows.where(all_inputs_known() & F.col(LABEL).isNotNull())
+
+
+def fold_number(columns: Sequence[str], folds: int = FOLDS) -> Column:
+    """Which fold a row is in: a digest of the columns, apart from the one that splits off test rows."""
+    return (row_digest("fold", columns) % folds).cast("int")
 
 
 def search_fare_model(
@@ -46,11 +70,12 @@ def search_fare_model(
     folds: int = FOLDS,
     seed: int = SEED,
     parallelism: int = 4,
+    row_id: Sequence[str] = (*FEATURE_COLUMNS, LABEL),
 ) -> SearchResult:
     """Gradient-boosted trees over the grid, chosen by cross-validated mean absolute error and
-    refitted on all training rows.
+    refitted on all training rows. Rows with a missing input or label are left out of the fit.
 
-    The rows stay distributed. Vectors are assembled once and kept while the search runs; give
+    A row's fold is drawn from a digest of ``row_id``, so the winner does not hang on partitioning. The rows stay distributed. Vectors are assembled once and kept while the search runs; give
     it a stored feature table, so that a lost partition is read again with the same rows.
     """
     ensure_checkpoints(train.sparkSession)
@@ -64,10 +89,12 @@ def search_fare_model(
         estimatorParamMaps=points.build(),
         evaluator=RegressionEvaluator(labelCol=LABEL, predictionCol=RAW_PREDICTION, metricName="mae"),
         numFolds=folds,
+        foldCol=FOLD,
         seed=seed,
         parallelism=parallelism,
     )
-    vectors = assembler.transform(train).select("features", F.col(LABEL).cast("double").alias(LABEL))
+    known = trainable(train).withColumn(FOLD, fold_number(row_id, folds))
+    vectors = assembler.transform(known).select("features", F.col(LABEL).cast("double").alias(LABEL), FOLD)
     vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fitted = search.fit(vectors)
@@ -80,8 +107,10 @@ def search_fare_model(
 
 
 def error_metrics(prediction: Column, label: Column) -> list[Column]:
-    """Test MAE, RMSE and R2 as aggregates of one pass; R2 is null when the label never varies."""
+    """Test MAE, RMSE and R2 as aggregates of one pass over the rows that have a prediction; R2 is
+    null when their label never varies."""
     error = prediction.cast("double") - label.cast("double")
+    label = F.when(prediction.isNotNull(), label)
     return [
         F.avg(F.abs(error)).alias("test_mae"),
         F.sqrt(F.avg(error * error)).alias("test_rmse"),
@@ -102,11 +131,11 @@ def training_run(
 ) -> DataFrame:
     """One row that documents a run: data, sizes, parameters and holdout errors.
 
-    Two one-row aggregates are laid over each other; append the result to a table of runs.
+    Sizes are those of the rows that were fitted and of the rows that were scored. Two one-row aggregates are laid over each other; append the result to a table of runs.
     """
-    sizes = train.agg(F.count(F.lit(1)).alias("training_samples"))
+    sizes = trainable(train).agg(F.count(F.lit(1)).alias("training_samples"))
     holdout = scored_test.agg(
-        F.count(F.lit(1)).alias("test_samples"), *error_metrics(F.col(prediction), F.col(LABEL))
+        F.count(prediction).alias("test_samples"), *error_metrics(F.col(prediction), F.col(LABEL))
     )
     measured = ["training_samples", "test_samples", "test_mae", "test_rmse", "test_r2"]
     both = sizes.unionByName(holdout, allowMissingColumns=True)

@@ -123,10 +123,10 @@ def sales_suppliers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trips(spark: SparkSession, folder: str) -> DataFrame:
-    """Taxi-like trips from events, with the event number as an extra column."""
+    """Taxi-like trips from events, with the event number as an extra column. Some have no pickup time."""
     return table(spark, folder, "events").select(
         F.col("event_id").alias("trip_id"),
-        F.col("ts").alias("tpep_pickup_datetime"),
+        F.when(~_every("event_id", 101, 7), F.col("ts")).alias("tpep_pickup_datetime"),
         (F.get_json_object("props", "$.k").cast("double") / 4).alias("trip_distance"),
         (F.floor(F.col("value") * 8) / 8).alias("fare_amount"),
     )
@@ -143,8 +143,8 @@ CALL_SIZE = 5
 def payload_log(spark: SparkSession, folder: str) -> DataFrame:
     """A log of model calls: five consecutive trips per call, rendered in four encodings by turns.
 
-    Fixed call numbers fail, are cut short, are missing, carry no records, or answer one
-    prediction too few.
+    Fixed call numbers fail, are cut short, are missing, carry no records, carry an hour in quotes,
+    answer one prediction too few, or answer with text instead of the second prediction.
     """
     inputs = trip_inputs(spark, folder).withColumn("request_id", F.expr(f"trip_id div {CALL_SIZE}"))
     calls = inputs.groupBy("request_id").agg(
@@ -155,8 +155,14 @@ def payload_log(spark: SparkSession, folder: str) -> DataFrame:
     record = F.transform("calls", lambda call: F.struct(*(call[name].alias(name) for name in FEATURE_COLUMNS)))
     records = F.to_json(record)
     names = F.to_json(F.array(*map(F.lit, FEATURE_COLUMNS)))
+    quoted = (F.col("request_id") % 4 == 1) & _every("request_id", 241, 17)
+
+    def cell(call: Column, name: str) -> Column:
+        text = F.coalesce(call[name].cast("string"), F.lit("null"))
+        return F.when(quoted, F.concat(F.lit('"'), text, F.lit('"'))).otherwise(text) if name == "pickup_hour" else text
+
     rows = F.transform(
-        "calls", lambda call: F.concat(F.lit("["), F.concat_ws(",", *(call[name].cast("string") for name in FEATURE_COLUMNS)), F.lit("]"))
+        "calls", lambda call: F.concat(F.lit("["), F.concat_ws(",", *(cell(call, name) for name in FEATURE_COLUMNS)), F.lit("]"))
     )
     table = F.concat(F.lit('{"columns":'), names, F.lit(',"data":['), F.concat_ws(",", rows), F.lit("]}"))
     form = F.col("request_id") % 4
@@ -174,10 +180,13 @@ def payload_log(spark: SparkSession, folder: str) -> DataFrame:
     )
     fares = F.transform("calls", lambda call: F.lit(3.0) + F.lit(2.5) * call["trip_distance"])
     answered = F.when(_every("request_id", 229, 11), F.slice(fares, 1, CALL_SIZE - 1)).otherwise(fares)
+    wrong = _every("request_id", 233, 13)
+    values = F.transform(answered, lambda fare, i: F.when(wrong & (i == 1), F.lit('"n/a"')).otherwise(fare.cast("string")))
+    response = F.concat(F.lit('{"predictions":['), F.concat_ws(",", values), F.lit("]}"))
     return calls.select(
         "request_id",
         request.alias("request"),
-        F.to_json(F.struct(answered.alias("predictions"))).alias("response"),
+        response.alias("response"),
         F.when(_every("request_id", 50), "500").otherwise("200").alias("status_code"),
         "request_time",
         F.when(F.col("request_id") % 3 != 2, F.lit("fare-model-1")).alias("served_entity_id"),

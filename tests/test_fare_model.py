@@ -86,6 +86,37 @@ def test_model_behaves(spark, found):
     assert dict(scored.dtypes)["predicted_fare"] == "float"
 
 
+def test_a_fitted_model_scores_every_row(spark, found):
+    asked = spark.createDataFrame([(2.0, 12, 3, 6, 0, 0, 8.0), (2.0, None, None, None, 0, 0, 8.0), (None, 12, 3, 6, 0, 0, 8.0)], KNOWN)
+    fares = {(r.trip_distance, r.pickup_hour): r.predicted_fare for r in scoring.score_table(asked, found.model, "1").collect()}
+    assert len(fares) == 3 and fares[(2.0, 12)] > 0
+    assert fares[(2.0, None)] is None and fares[(None, 12)] is None
+    other = scoring.score_with_predictor(asked, lambda: lambda batch: batch["trip_distance"].fillna(1) * 2, "1")
+    assert sorted(r.predicted_fare for r in other.collect() if r.predicted_fare is not None) == [4.0]
+
+
+def test_sizes_are_those_of_fitted_and_scored_rows(spark):
+    train = spark.createDataFrame([(2.0, 12, 3, 6, 0, 0, 8.0), (2.0, None, 3, 6, 0, 0, 8.0)], KNOWN)
+    row = training.training_run(train, training.apply_model(fixed_model(3.0, 2.5), train), "trips", {}).first()
+    assert (row.training_samples, row.test_samples, row.test_mae) == (1, 1, 0.0)
+
+
+def test_folds_ignore_partitioning(spark):
+    df = spark.range(3000)
+    folds = {r.id: r.f for r in df.select("id", training.fold_number(["id"]).alias("f")).collect()}
+    assert folds == {r.id: r.f for r in df.repartition(11).select("id", training.fold_number(["id"]).alias("f")).collect()}
+    assert all(900 < list(folds.values()).count(k) < 1100 for k in range(3))
+
+
+def test_one_point_of_the_default_grid(spark):
+    many = rides(spark, [(d / 4, 3 + 2.5 * d / 4 + d % 3) for d in range(1, 121)])
+    grid = {"maxIter": (100,), "maxDepth": (3,), "stepSize": (0.1,)}
+    assert all(value in training.PARAMETER_GRID[name] for name, (value,) in grid.items())
+    model = training.search_fare_model(many, grid, folds=2).model
+    row = training.regression_metrics(training.apply_model(model, many)).first()
+    assert row.test_mae < 1.0 and row.test_r2 > 0.95
+
+
 def test_model_survives_saving(spark, found, tmp_path):
     found.model.write().save(str(tmp_path / "model"))
     again = PipelineModel.load(str(tmp_path / "model"))
@@ -127,6 +158,16 @@ def test_champion_gate(spark, challenger, champion_model, better):
     assert (row.champion_mae is None) == (champion_model is None)
 
 
+def test_gate_without_a_comparison(spark):
+    holdout, a, b = rides(spark, [(1, 5.5)]), fixed_model(3.0, 2.5), fixed_model(5.0, 2.5)
+    empty = holdout.where("FALSE")
+    assert champion.compare_models(empty, a, b).first().is_better is False
+    assert champion.compare_models(empty, a).first().is_better is False
+    runs = spark.createDataFrame([("a", 2.0)], "run_id string, test_mae double")
+    for new, old in (("x", "a"), ("a", "x"), ("x", None)):
+        assert champion.compare_logged(runs, new, old).first().is_better is False
+
+
 def test_gate_on_logged_errors(spark):
     runs = spark.createDataFrame([("a", 2.0), ("b", 1.5), ("c", 2.0)], "run_id string, test_mae double")
     verdict = lambda new, old: champion.compare_logged(runs, new, old).first().is_better

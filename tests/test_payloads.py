@@ -59,6 +59,37 @@ def test_missing_and_malformed_fields_are_null(spark):
     assert columns is None
 
 
+@pytest.mark.parametrize(
+    "text, fares",
+    [
+        ('[1.0, "x", 3.0]', [1.0, None, 3.0]),
+        ('["2.5", 1]', [None, 1.0]),
+        ("[[1.5], [2.5]]", [None, None]),
+        ("[true, 7]", [None, 7.0]),
+        ('[{"predicted_fare": 3.0}, 4]', [None, 4.0]),
+        ("[null, 2]", [None, 2.0]),
+    ],
+)
+def test_one_bad_prediction_is_one_null(spark, text, fares):
+    assert read(spark, [f'{{"predictions": {text}}}'], RESPONSE_RECORD) == [[(fare,) for fare in fares]]
+
+
+def test_not_a_number_keeps_its_call(spark):
+    (found,) = read(spark, ['{"predictions": [NaN, 1]}'], RESPONSE_RECORD)
+    assert len(found) == 2 and found[1] == (1.0,)
+
+
+def test_text_that_is_no_json_from_end_to_end(spark):
+    good = json.dumps({"inputs": [FIRST]})
+    assert read(spark, [good + " trailing", good + good, f"{good},{good}", good.replace('"', "'"), f" {good} "]) == [None] * 4 + [[AS_ROWS[0]]]
+
+
+def test_cells_of_tables(spark):
+    quoted = split(["trip_distance", "pickup_hour"], [["2.5", "8"], [1, 8.0], [True, 3]])
+    assert [row[:2] for row in read(spark, [quoted])[0]] == [(None, None), (1.0, None), (None, 3)]
+    assert read(spark, [split(["pickup_hour", "pickup_hour"], [[1, 2]])])[0][0][1] == 2
+
+
 LOG = "request string, response string, status_code string, request_time timestamp, served_entity_id string"
 NOON = datetime(2024, 5, 1, 12)
 
@@ -94,6 +125,12 @@ def test_unpack(spark, rows):
     assert len(set(ids)) == 5 and sorted(ids) == sorted(row.example_id for row in found.collect())
 
 
+def test_unpack_keeps_the_rows_around_a_bad_prediction(spark, rows):
+    three = json.dumps({"inputs": [FIRST, SECOND, FIRST]})
+    found = log.unpack_payloads(spark.createDataFrame([call(three, '{"predictions": [1.0, "x", 3.0]}')], LOG))
+    assert rows(found, "trip_distance", "predicted_fare") == [(2.5, 1.0), (2.5, 3.0), (5.0, None)]
+
+
 def test_number_status_and_no_calls(spark):
     number = LOG.replace("status_code string", "status_code int")
     one = spark.createDataFrame([call('{"inputs": [{}]}', '{"predictions": [1]}', 200)], number)
