@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 COLUMN = "column_name"
 VALUE = "value"
 ROWS = "n"
+# Slices per group at least, and values per slice beyond which there are more slices.
 SLICES = 64
+VALUES_PER_SLICE = 1_000_000
 
 
 def value_counts(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -26,13 +28,16 @@ def value_counts(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> Da
     return long.groupBy(*by, COLUMN, VALUE).agg(F.count(F.lit(1)).alias(ROWS))
 
 
-def running_totals(counts: DataFrame, group: Sequence[str], totals: dict[str, str], slices: int = SLICES) -> DataFrame:
+def running_totals(counts: DataFrame, group: Sequence[str], totals: dict[str, str], slices: int | None = None) -> DataFrame:
     """Add, for each ``count column -> name``, the sum of the count over all values of the group
     up to and including the row's own. Rows are one per (group, value) and values not null.
 
     Approximate quantiles cut each group into slices of similar size; they only decide who does
-    the work, the totals are exact.
+    the work, the totals are exact. Without ``slices`` their number grows with the counted rows, so a
+    slice stays a task's worth of work; the rows are counted for that, which starts a job.
     """
+    if slices is None:
+        slices = max(SLICES, counts.count() // VALUES_PER_SLICE)
     steps = [step / slices for step in range(1, slices)]
     cuts = counts.groupBy(*group).agg(F.percentile_approx(VALUE, steps, 1000).alias("_cuts"))
     placed = (
@@ -77,17 +82,19 @@ def profile(counts: DataFrame, group: Sequence[str]) -> DataFrame:
     """Count, nulls, different values, extremes, mean, standard deviation and quartiles."""
     value, rows = F.col(VALUE), F.col(ROWS)
     known = F.when(value.isNotNull(), rows)
-    mean = F.try_divide(F.sum(value * rows), F.sum(known))
-    spread = F.sum(value * value * rows) - F.sum(value * rows) * mean
-    variance = F.try_divide(spread, F.sum(known) - 1)
     summary = counts.groupBy(*group).agg(
         F.sum(rows).alias("rows"),
         F.coalesce(F.sum(F.when(value.isNull(), rows)), F.lit(0).cast("long")).alias("nulls"),
         F.count(value).alias("distinct_values"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
-        mean.alias("mean"),
-        F.sqrt(F.when(variance < 0, F.lit(0.0)).otherwise(variance)).alias("stddev"),
+        F.try_divide(F.sum(value * rows), F.sum(known)).alias("mean"),
     )
+    # squares of distances from the mean: a difference of large squares would lose the spread
+    away = value - F.col("mean")
+    spread = counts.join(summary.select(*group, "mean"), list(group)).groupBy(*group).agg(
+        F.sqrt(F.try_divide(F.sum(away * away * rows), F.sum(known) - 1)).alias("stddev")
+    )
+    summary = summary.join(spread, list(group))
     quarters = quantiles(counts, group, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     return summary.join(quarters, list(group), "left")

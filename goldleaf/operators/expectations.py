@@ -46,8 +46,15 @@ def drop_violations(df: DataFrame, rules: Rules) -> DataFrame:
     return df.filter(all_hold(rules))
 
 
+def violated_rules(rules: Rules) -> Column:
+    """The names of the rules a row violates, in the order of the rules; empty for a good row."""
+    names = [F.when(~F.coalesce(F.expr(rule), F.lit(False)), F.lit(name)) for name, rule in rules.items()]
+    return F.array_compact(F.array(*names))
+
+
 def warn_violations(df: DataFrame, rules: Rules, observation: Observation | None = None) -> DataFrame:
-    """Keep every row. With an observation the counts ride along with the next action.
+    """Keep every row. With an observation the counts ride along with the next action; which rules a
+    row violates is told by ``violated_rules``.
 
     An observation blocks filter pushdown below it and may count a task twice when its executor
     is lost; ``expectation_report`` gives exact counts as a job of its own.

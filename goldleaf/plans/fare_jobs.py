@@ -12,14 +12,28 @@ from pyspark.sql import functions as F
 
 from goldleaf.operators.splitting import split_rows
 from goldleaf.plans import champion, inference_log, monitoring, scoring, training, trip_features
-from goldleaf.schemas import FEATURE_COLUMNS, LABEL
-from goldleaf.sources.tables import Layout, append_table, create_schema, overwrite_table
+from goldleaf.schemas import FEATURE_COLUMNS, LABEL, PAYLOAD_LOG, TRIPS, require_columns
+from goldleaf.sources.tables import Layout, append_table, create_schema, discarding, overwrite_table, stored
 
 FEATURES = "feature_table"
 PREDICTIONS = "predictions"
 RUNS = "training_runs"
 DECISIONS = "champion_decisions"
 
+_TRACKED, _METRIC = {"changes": "tracked"}, {"quality": "metric"}
+LAYOUTS = {
+    FEATURES: Layout("Model inputs and fares of valid trips", {"quality": "gold"}),
+    PREDICTIONS: Layout("Every feature row with its predicted fare", {"quality": "gold"}),
+    "inferences": Layout("Logged predictions, one row each", {"quality": "silver"}, gather_by=("date",)),
+    "known_labels": Layout("Fares per feature vector, counted", {"quality": "silver"}),
+    "inference_processed": Layout("Logged predictions with their ground truth", _TRACKED, gather_by=("date",)),
+    "monitor_volume": Layout("Predictions per day and model", _METRIC, gather_by=("day",)),
+    "monitor_quality": Layout("Errors per day and model", _METRIC, gather_by=("day",)),
+    "monitor_profile": Layout("Values per day, model and column", _METRIC, gather_by=("day",)),
+    "monitor_drift_numeric": Layout("Drift of numbers per day and model", _METRIC, gather_by=("day",)),
+    "monitor_drift_categorical": Layout("Drift of categories per day and model", _METRIC, gather_by=("day",)),
+}
+
 
 @dataclass(frozen=True)
 class Place:
@@ -45,7 +59,8 @@ class Place:
 
 
 def store_features(place: Place, trips: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return place.store(FEATURES, trip_features.feature_table(trips, keep))
+    require_columns(trips, TRIPS)
+    return place.store(FEATURES, trip_features.feature_table(trips, keep), LAYOUTS[FEATURES])
 
 
 def champion_run(place: Place) -> str | None:
@@ -86,7 +101,7 @@ def score_features(place: Place) -> DataFrame:
     if current is None:
         raise ValueError("no champion yet: train first")
     run_id, model = current
-    return place.store(PREDICTIONS, scoring.score_table(place.read(FEATURES), model, run_id))
+    return place.store(PREDICTIONS, scoring.score_table(place.read(FEATURES), model, run_id), LAYOUTS[PREDICTIONS])
 
 
 def refresh_monitoring(
@@ -104,16 +119,24 @@ def refresh_monitoring(
     ``every_label`` lays the two together: one row per prediction and different fare, which for
     a vector shared by many predictions and many fares is a far larger table. The metrics need
     neither and are the same both ways.
+
+    A log without a successful call changes nothing: all tables stay as they are, and the result is
+    empty. Intermediate tables are removed at the end.
     """
-    unpacked = place.store("inferences", inference_log.unpack_payloads(log, call_id))
-    labels = place.store("known_labels", inference_log.known_labels(features))
-    metrics = {
-        "inference_processed": inference_log.join_labels(unpacked, labels, one_label=not every_label),
-        "monitor_volume": monitoring.volume(unpacked),
-        "monitor_quality": monitoring.quality_against(unpacked, labels),
-        "monitor_profile": monitoring.profiles(unpacked),
-        "monitor_drift_numeric": monitoring.numeric_drift(unpacked, baseline),
-        "monitor_drift_categorical": monitoring.categorical_drift(unpacked, baseline),
-    }
-    tables = {name: place.store(name, df) for name, df in metrics.items()}
+    require_columns(log, PAYLOAD_LOG)
+    if log.filter(F.col("status_code") == inference_log.SUCCESS).isEmpty():
+        return {}
+    with discarding(place.spark):
+        unpacked = place.store("inferences", inference_log.unpack_payloads(log, call_id), LAYOUTS["inferences"])
+        labels = place.store("known_labels", inference_log.known_labels(features), LAYOUTS["known_labels"])
+        counts = stored(monitoring.counted_values(unpacked), "value-counts")
+        metrics = {
+            "inference_processed": inference_log.join_labels(unpacked, labels, every_label),
+            "monitor_volume": monitoring.volume(unpacked),
+            "monitor_quality": monitoring.quality_against(unpacked, labels),
+            "monitor_profile": monitoring.profiles_of(counts),
+            "monitor_drift_numeric": monitoring.numeric_drift_of(counts, baseline),
+            "monitor_drift_categorical": monitoring.categorical_drift_of(counts, baseline),
+        }
+        tables = {name: place.store(name, df, LAYOUTS[name]) for name, df in metrics.items()}
     return {"inferences": unpacked, "known_labels": labels, **tables}

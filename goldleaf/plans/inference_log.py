@@ -79,31 +79,40 @@ def mean_labels(labels: DataFrame) -> DataFrame:
     )
 
 
-def join_labels(predictions: DataFrame, labels: DataFrame, one_label: bool = False) -> DataFrame:
+def join_labels(predictions: DataFrame, labels: DataFrame, every_label: bool = False) -> DataFrame:
     """Predictions beside known labels of their feature vector; null where none is known."""
-    chosen = mean_labels(labels) if one_label else labels
+    chosen = labels if every_label else mean_labels(labels)
     return predictions.join(chosen, list(FEATURE_COLUMNS), "left").select(
         "timestamp", "date", "model_id", *FEATURE_COLUMNS, PREDICTION, "example_id", LABEL, LABEL_COUNT
     )
 
 
-def join_ground_truth(predictions: DataFrame, features: DataFrame, one_label: bool = False) -> DataFrame:
+def join_ground_truth(predictions: DataFrame, features: DataFrame, every_label: bool = False) -> DataFrame:
     """Predictions with the fares of trips that have the same six features.
 
-    Features are no key: a prediction may match several trips. By default it appears once per
-    different fare, and ``label_count`` says how many trips had that fare (so summing with this
-    weight equals a row per matching trip; ``expand_labels`` writes those rows out). With
-    ``one_label`` it appears once, with the mean fare: the form whose size does not grow with
-    the number of trips per vector. Predictions without a match keep a null label; null features
-    match nothing.
+    Features are no key: a prediction may match several trips. By default it appears once, with
+    the mean fare and their number in ``label_count``: the form whose size does not grow with the
+    number of trips per vector. With ``every_label`` it appears once per different fare, and
+    ``label_count`` says how many trips had that fare (so summing with this weight equals a row per
+    matching trip; ``expand_labels`` writes those rows out). Predictions without a match keep a
+    null label; null features match nothing.
     """
-    return join_labels(predictions, known_labels(features), one_label)
+    return join_labels(predictions, known_labels(features), every_label)
 
 
-def expand_labels(joined: DataFrame) -> DataFrame:
-    """One row per prediction and matching trip, as a plain join would give."""
-    copies = F.sequence(F.lit(1).cast("long"), F.coalesce(F.col(LABEL_COUNT), F.lit(1).cast("long")))
-    return joined.withColumn("_copy", F.explode(copies)).drop("_copy", LABEL_COUNT)
+def expand_labels(joined: DataFrame, block: int = 10_000) -> DataFrame:
+    """One row per prediction and matching trip, as a plain join would give.
+
+    Copies are written block by block: a frequent label becomes a row per block first, the blocks
+    are dealt out, and each task writes one block of copies at a time.
+    """
+    copies = F.coalesce(F.col(LABEL_COUNT), F.lit(1).cast("long"))
+    last = F.floor((copies - 1) / block)
+    blocks = joined.withColumn("_copies", copies).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    dealt = blocks.repartition("example_id", "_block")
+    size = F.least(F.lit(block).cast("long"), F.col("_copies") - F.col("_block") * block)
+    rows = dealt.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size)))
+    return rows.drop("_copy", "_block", "_copies", LABEL_COUNT)
 
 
 def match_rate(predictions: DataFrame, features: DataFrame) -> DataFrame:

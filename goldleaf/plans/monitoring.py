@@ -1,7 +1,9 @@
 """Daily monitoring of a deployed fare model: volume, quality, profiles and drift.
 
 Volume, profiles and drift look at predictions, one row each, before any ground truth multiplies
-them. Drift compares a model's day with its previous day, or with a fixed baseline table.
+them. Profiles and drift work on counts of different values; ``counted_values`` takes them for all columns
+in one pass, and the functions named ``..._of`` read them. Functions that store such an intermediate
+result start a job when they are called. Drift compares a model's day with its previous day, or with a fixed baseline table.
 """
 
 from __future__ import annotations
@@ -37,21 +39,31 @@ def volume(predictions: DataFrame) -> DataFrame:
     return _by_day(predictions).groupBy("day", "model_id").agg(F.count(F.lit(1)).alias("inferences"))
 
 
+def _label_spread(labels: DataFrame) -> DataFrame:
+    """Number, mean and squared distances from the mean of the labels of each feature vector."""
+    times, label = F.col(LABEL_COUNT), F.col(LABEL).cast("double")
+    means = labels.groupBy(*FEATURE_COLUMNS).agg(
+        F.sum(times).alias("_labels"), (F.sum(times * label) / F.sum(times)).alias("_label_mean")
+    )
+    away = label - F.col("_label_mean")
+    return labels.join(means, list(FEATURE_COLUMNS)).groupBy(*FEATURE_COLUMNS, "_labels", "_label_mean").agg(
+        F.sum(times * away * away).alias("_label_spread")
+    )
+
+
 def _label_errors(guesses: DataFrame, labels: DataFrame) -> DataFrame:
     """Sums over all labels of a feature vector, per vector and predicted value."""
     label = F.col(LABEL).cast("double")
     error = F.col(PREDICTION).cast("double") - label
     times = F.col(LABEL_COUNT)
     relative = label != 0
-    return guesses.join(labels, list(FEATURE_COLUMNS)).groupBy(*FEATURE_COLUMNS, PREDICTION).agg(
-        F.sum(times).alias("_labels"),
+    sums = guesses.join(labels, list(FEATURE_COLUMNS)).groupBy(*FEATURE_COLUMNS, PREDICTION).agg(
         F.sum(times * F.abs(error)).alias("_abs"),
         F.sum(times * error * error).alias("_squares"),
         F.sum(F.when(relative, times * F.abs(error) / F.abs(label)).otherwise(0.0)).alias("_relative"),
         F.sum(F.when(relative, times).otherwise(0)).alias("_relative_labels"),
-        F.sum(times * label).alias("_label"),
-        F.sum(times * label * label).alias("_label_squares"),
     )
+    return sums.join(_label_spread(labels), list(FEATURE_COLUMNS))
 
 
 def quality(predictions: DataFrame, features: DataFrame) -> DataFrame:
@@ -65,29 +77,40 @@ def quality(predictions: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def quality_against(predictions: DataFrame, labels: DataFrame) -> DataFrame:
-    """The same with the labels counted already."""
+    """The same with the labels counted already.
+
+    Questions and their errors are read twice (for the sums, and for the distances from the mean
+    label), so they are stored, a row per day, model and different question.
+    """
     asked = (
         _by_day(predictions)
         .filter(F.col(PREDICTION).isNotNull())
         .groupBy("day", "model_id", *FEATURE_COLUMNS, PREDICTION)
         .agg(F.count(F.lit(1)).alias("_asked"))
     )
+    asked = stored(asked, "asked")
     guess = [*FEATURE_COLUMNS, PREDICTION]
     errors = _label_errors(asked.select(*guess).distinct(), labels)
+    day = ["day", "model_id"]
+    answered = stored(asked.join(errors, guess).drop(*guess), "answered")
 
     def total(name: str) -> Column:
         return F.sum(F.col("_asked") * F.col(name))
 
-    parts = ("_abs", "_squares", "_relative", "_relative_labels", "_label", "_label_squares")
-    sums = asked.join(errors, guess).groupBy("day", "model_id").agg(
-        total("_labels").alias("labeled"), *(total(name).alias(name) for name in parts)
+    parts = ("_abs", "_squares", "_relative", "_relative_labels")
+    sums = answered.groupBy(*day).agg(
+        total("_labels").alias("labeled"), *(total(name).alias(name) for name in parts),
+        (F.sum(F.col("_asked") * F.col("_labels") * F.col("_label_mean")) / total("_labels")).alias("_mean"),
+    )
+    away = F.col("_label_mean") - F.col("_mean")
+    spread = answered.join(sums.select(*day, "_mean"), day).groupBy(*day).agg(
+        F.sum(F.col("_asked") * (F.col("_label_spread") + F.col("_labels") * away * away)).alias("_spread")
     )
     size = F.col("labeled").cast("double")
     mse = F.col("_squares") / size
-    variance = F.col("_label_squares") / size - F.pow(F.col("_label") / size, F.lit(2))
-    return sums.select(
-        "day",
-        "model_id",
+    variance = F.col("_spread") / size
+    return sums.join(spread, day).select(
+        *day,
         "labeled",
         (F.col("_abs") / size).alias("mae"),
         mse.alias("mse"),
@@ -97,19 +120,28 @@ def quality_against(predictions: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def counted_values(predictions: DataFrame, columns: Sequence[str] = (*FEATURE_COLUMNS, PREDICTION)) -> DataFrame:
+    """How often each value of each column occurs, per day and model."""
+    return dist.value_counts(_by_day(predictions), ["day", "model_id"], columns)
+
+
 def _stored_counts(predictions: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Counts of values per day and model. They are read many times below, and are small beside
-    the log they come from, so they are stored rather than unpacked anew for each reading."""
-    return stored(dist.value_counts(_by_day(predictions), ["day", "model_id"], columns), "value-counts")
+    """Counts are read many times below, and are small beside the log they come from, so they are
+    stored rather than unpacked anew for each reading."""
+    return stored(counted_values(predictions, columns), "value-counts")
 
 
-def _stored_known_counts(predictions: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return _stored_counts(predictions, columns).filter(F.col(VALUE).isNotNull())
+def _known(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return counts.filter(F.col(VALUE).isNotNull() & F.col(COLUMN).isin(*columns))
 
 
 def profiles(predictions: DataFrame) -> DataFrame:
     """One row per day, model and column (inputs and prediction)."""
-    return dist.profile(_stored_counts(predictions, [*FEATURE_COLUMNS, PREDICTION]), GROUP)
+    return profiles_of(_stored_counts(predictions, [*FEATURE_COLUMNS, PREDICTION]))
+
+
+def profiles_of(counts: DataFrame) -> DataFrame:
+    return dist.profile(counts, GROUP)
 
 
 def _compared(counts: DataFrame) -> DataFrame:
@@ -245,10 +277,16 @@ def numeric_drift(
 ) -> DataFrame:
     """Per day, model and column: shift of the mean, population stability index, and the largest
     distance between the two distribution functions."""
-    counts = _stored_known_counts(predictions, columns)
+    return numeric_drift_of(_stored_counts(predictions, columns), baseline, columns)
+
+
+def numeric_drift_of(
+    counts: DataFrame, baseline: DataFrame | None = None, columns: tuple[str, ...] = NUMERIC
+) -> DataFrame:
+    known = _known(counts, columns)
     if baseline is None:
-        return _numeric_between_days(counts)
-    return _numeric_against(counts, _base_counts(baseline, columns))
+        return _numeric_between_days(known)
+    return _numeric_against(known, _base_counts(baseline, columns))
 
 
 def _with_baseline(counts: DataFrame, base: DataFrame) -> DataFrame:
@@ -267,7 +305,13 @@ def categorical_drift(
     Base categories a day lacks add their whole share to both; that share is what the base has
     left after the day's categories.
     """
-    counts = _stored_known_counts(predictions, columns)
+    return categorical_drift_of(_stored_counts(predictions, columns), baseline, columns)
+
+
+def categorical_drift_of(
+    counts: DataFrame, baseline: DataFrame | None = None, columns: tuple[str, ...] = CATEGORICAL
+) -> DataFrame:
+    counts = _known(counts, columns)
     compared = _compared(counts) if baseline is None else _with_baseline(counts, _base_counts(baseline, columns))
     now, base = F.col("n_now") / F.col("all_now"), F.col("n_base") / F.col("all_base")
     expected = F.col("all_now") * _share("n_base", "all_base")

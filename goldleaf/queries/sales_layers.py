@@ -192,11 +192,16 @@ def _(spark, folder):
 
 @query(
     "expect_warn_franchises",
-    with_tables('SELECT "franchiseID", city, country FROM franchises', FRANCHISES),
+    with_tables(
+        """SELECT "franchiseID", city, country, CASE WHEN city IS NULL THEN 'valid_location' ELSE '' END AS warnings
+           FROM franchises""",
+        FRANCHISES,
+    ),
 )
 def _(spark, folder):
     shops = sample.sales_franchises(spark, folder).select("franchiseID", "city", "country")
-    return expectations.warn_violations(shops, expectations.FRANCHISE_RULES)
+    kept = expectations.warn_violations(shops, expectations.FRANCHISE_RULES)
+    return kept.withColumn("warnings", F.concat_ws(",", expectations.violated_rules(expectations.FRANCHISE_RULES)))
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -12,10 +13,12 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 def local_session(cpus: int | str = 8, app_name: str = "goldleaf") -> SparkSession:
     """A single-JVM session. On a cluster the caller brings its own session instead."""
+    builder = SparkSession.builder.master(f"local[{cpus}]").appName(app_name)
+    if not SparkConf().contains(CHECKPOINT_SETTING):
+        # one machine: its own temporary folder is shared by all its tasks
+        builder = builder.config(CHECKPOINT_SETTING, tempfile.mkdtemp(prefix="goldleaf-"))
     return (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName(app_name)
-        .config("spark.ui.enabled", "false")
+        builder.config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cpus) if str(cpus).isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
@@ -28,20 +31,24 @@ def local_session(cpus: int | str = 8, app_name: str = "goldleaf") -> SparkSessi
     )
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the session.
 
-    Only a local-mode session without the setting gets a temporary folder; on a cluster a
-    machine-local folder would be lost with its machine, so the setting is required there.
+    On a cluster the setting is required: a machine-local folder would be lost with its machine. A
+    single-JVM session without it gets one temporary folder for as long as the process lives.
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="goldleaf-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="goldleaf-")
+    return _local_folders[context.applicationId]
 
 
 def run_folder(spark: SparkSession, label: str) -> str:

@@ -6,7 +6,9 @@ and schema together.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,12 +92,37 @@ def append_table(df: DataFrame, table: str, path: str) -> DataFrame:
     return df.sparkSession.read.table(table)
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The same rows read back from a new folder in the shared space.
 
     For an intermediate result that several later steps read: it is computed once, its plan ends
-    there, and it outlives the executors that computed it.
+    there, and it outlives the executors that computed it. Inside ``discarding`` the folder is removed
+    at the end; elsewhere it belongs to the caller, as a plan that is still to run may read it.
     """
     folder = run_folder(df.sparkSession, label)
     df.write.parquet(folder)
+    made = _made.get()
+    if made is not None:
+        made.append(folder)
     return df.sparkSession.read.parquet(folder)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def discarding(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``stored`` has made inside the block. Results must be stored elsewhere by then."""
+    folders: list[str] = []
+    token = _made.set(folders)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for folder in folders:
+            remove_folder(spark, folder)

@@ -204,7 +204,7 @@ def test_monitoring_job_keeps_one_row_per_prediction(spark):
         made[every_label] = fare_jobs.refresh_monitoring(place, log, features, F.col("request_id"), every_label=every_label)
     lean, full = made[False], made[True]
     assert lean["inference_processed"].count() == lean["inferences"].count()
-    rebuilt = inference_log.join_labels(lean["inferences"], lean["known_labels"])
+    rebuilt = inference_log.join_labels(lean["inferences"], lean["known_labels"], every_label=True)
     assert rebuilt.exceptAll(full["inference_processed"]).count() == 0
     assert full["inference_processed"].count() == rebuilt.count()
     for name in lean:

@@ -97,6 +97,32 @@ def test_profile(predictions, calls):
             assert quantile == known[math.ceil(share * len(known)) - 1]
 
 
+def test_spread_far_from_zero(spark):
+    values = [1e9 + step / 10 for step in range(100)]
+    counts = spark.createDataFrame([("g", v, 1) for v in values], "g string, value double, n long")
+    row = dist.profile(counts, ["g"]).first()
+    assert row.stddev == pytest.approx(np.std(values, ddof=1)) and round(row.stddev, 2) == 2.90
+
+
+def test_r2_of_labels_far_from_zero(spark):
+    fares = [1e8 + step / 8 for step in range(60)]
+    day = datetime(2024, 1, 1)
+    asked = [(day, day.date(), "m", float(k % 6), 8, 2, 1, 0, 1, 1e8 + k / 8, str(k)) for k in range(60)]
+    trips = spark.createDataFrame([(float(k % 6), 8, 2, 1, 0, 1, fare) for k, fare in enumerate(fares)], KNOWN)
+    row = monitoring.quality(spark.createDataFrame(asked, PREDICTED), trips).first()
+    pairs = [(float(np.float32(1e8 + a / 8)), fares[b]) for a in range(60) for b in range(60) if a % 6 == b % 6]
+    guess, truth = np.array(pairs).T
+    assert row.r2 == pytest.approx(1 - ((guess - truth) ** 2).sum() / ((truth - truth.mean()) ** 2).sum())
+
+
+def test_slices_grow_with_the_values(spark, monkeypatch):
+    monkeypatch.setattr(dist, "SLICES", 2)
+    monkeypatch.setattr(dist, "VALUES_PER_SLICE", 10)
+    counts = spark.createDataFrame([("g", float(v), 2) for v in range(300)], "g string, value double, n long")
+    totals = dist.running_totals(counts, ["g"], {"n": "up_to"}).collect()
+    assert {r.value: r.up_to for r in totals} == {float(v): 2 * v + 2 for v in range(300)}
+
+
 def distance_between(now, base):
     now, base = np.sort(now), np.sort(base)
     both = np.concatenate([now, base])

@@ -178,21 +178,21 @@ def repeated(spark):
     return asked, truth
 
 
-def test_default_join_keeps_every_match(spark, repeated, rows):
+def test_every_label_keeps_every_match(spark, repeated, rows):
     asked, truth = repeated
-    joined = log.join_ground_truth(predicted(spark, asked), known(spark, truth))
+    joined = log.join_ground_truth(predicted(spark, asked), known(spark, truth), every_label=True)
     expected = Counter()
     for k, distance in enumerate(asked):
         fares = [fare for d, fare in truth if d == distance] or [None]
         expected.update((str(k), fare) for fare in fares)
     assert {(r.example_id, r.fare_amount): r.label_count or 1 for r in joined.collect()} == dict(expected)
-    plain = Counter((r.example_id, r.fare_amount) for r in log.expand_labels(joined).collect())
+    plain = Counter((r.example_id, r.fare_amount) for r in log.expand_labels(joined, block=3).collect())
     assert plain == expected
 
 
 def test_one_label_per_prediction(spark, repeated):
     asked, truth = repeated
-    joined = log.join_ground_truth(predicted(spark, asked), known(spark, truth), one_label=True).collect()
+    joined = log.join_ground_truth(predicted(spark, asked), known(spark, truth)).collect()
     assert len(joined) == len(asked)
     for row in joined:
         fares = [fare for d, fare in truth if d == row.trip_distance]
