@@ -123,6 +123,34 @@ def _(spark, folder):
     return refresh.row_counts(refresh.refresh_sales(spark, sources, schema, place))
 
 
+@query(
+    "refresh_change_feed",
+    with_tables(
+        """SELECT "customerID", state_clean, 'insert' AS change_type, CAST(1 AS BIGINT) AS copies FROM silver_customers
+           WHERE "customerID" % 60 = 5 AND "customerID" % 70 <> 3
+           UNION ALL SELECT "customerID", state_clean, 'delete', 1 FROM silver_customers
+           WHERE "customerID" % 70 = 3 AND "customerID" % 60 <> 5
+           UNION ALL SELECT "customerID", state_clean, 'update_preimage', 1 FROM silver_customers WHERE "customerID" % 50 = 0
+           UNION ALL SELECT "customerID", 'MOVED', 'update_postimage', 1 FROM silver_customers WHERE "customerID" % 50 = 0""",
+        CUSTOMERS,
+        SILVER_CUSTOMERS,
+    ),
+)
+def _(spark, folder):
+    """Two full refreshes, the second with other customers: what the stored change feed says of them."""
+    customers, key = sample.sales_customers(spark, folder), F.col("customerID")
+    moved = F.when(key % 50 == 0, F.lit(" moved ")).otherwise(F.col("state"))
+    schema, place = f"feed_{uuid.uuid4().hex[:12]}", run_folder(spark, "feed")
+    for version in (customers.where(key % 60 != 5), customers.where(key % 70 != 3).withColumn("state", moved)):
+        sources = refresh.SalesSources(
+            sample.sales_transactions(spark, folder), version, sample.sales_franchises(spark, folder),
+            sample.sales_suppliers(spark, folder),
+        )
+        refresh.refresh_sales(spark, sources, schema, place)
+    changes = spark.read.table(f"{schema}.silver_customers_changes")
+    return changes.select("customerID", "state_clean", "change_type", "copies")
+
+
 @query(
     "top_n_preview",
     over_sales(

@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 ROWS_ONLY: set[str] = set()
 # Plans that start by writing a table or running a stream.
 EAGER = {
-    "train_fare_model", "materialize_roundtrip", "clustered_write_scan", "overwrite_new_schema", "run_row_counts",
+    "train_fare_model", "materialize_roundtrip", "clustered_write_scan", "overwrite_new_schema", "run_row_counts", "refresh_change_feed",
     "json_source_roundtrip", "stream_ingest_silver", "monitoring_row_counts",
 }
 
