@@ -1,7 +1,8 @@
 """Substring deduplication by sliding sentence spans.
 
 A sentence ends with a word that ends in ``.``, ``!`` or ``?`` (closing quotes and brackets may follow) or at a
-line feed. A span is a run of consecutive sentences of at least ``min_words`` words: from every sentence the
+line feed. Sentences of more than ``LONG`` words are cut after commas, semicolons and colons too, so a passage
+that begins or ends inside a long sentence is still met by whole parts of it. A span is a run of consecutive sentences of at least ``min_words`` words: from every sentence the
 shortest such run forwards, and to every sentence the shortest one backwards, so the last sentences of a
 repeated passage are covered as well as the first. Only a sentence that has as many words alone is a run by
 itself. White space does not count; words must agree exactly.
@@ -27,8 +28,11 @@ from goldleaf.llm.common import Workspace
 from goldleaf.llm.words import located_words, run_hashes, text_bytes
 
 MIN_WORDS = 15
+LONG = 20
 _MARKS = np.zeros(256, bool)
 _MARKS[[ord(mark) for mark in ".!?"]] = True
+_PAUSES = np.zeros(256, bool)
+_PAUSES[[ord(mark) for mark in ",;:"]] = True
 _CLOSING = np.zeros(256, bool)
 _CLOSING[[ord(mark) for mark in "\"')]"]] = True
 
@@ -43,16 +47,20 @@ def sentences(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     feeds = np.concatenate(([0], np.cumsum(data == 10)))
     closes[:-1] |= feeds[starts[1:]] > feeds[ends[:-1]]
     closes[-1] = True
-    return np.concatenate(([0], np.flatnonzero(closes) + 1)), starts, words
+    first_words = np.concatenate(([0], np.flatnonzero(closes) + 1))
+    sizes = np.diff(first_words)
+    if sizes.max() > LONG:
+        closes |= np.repeat(sizes > LONG, sizes) & _PAUSES[tail]
+        first_words = np.concatenate(([0], np.flatnonzero(closes) + 1))
+    return first_words, starts, words
 
 
-def spans(text: str | None, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """hash, first sentence, sentence after the last, and whether the text had the same span before."""
+def spans(text: str | None, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each span, and its place: see ``unpacked``."""
     first_words, _, words = sentences(text_bytes(text))
     n = len(first_words) - 1
     if n == 0 or first_words[-1] < min_words:
-        none = np.zeros(0, np.int64)
-        return none, none, none, none.astype(bool)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     begin = np.arange(n)
     forward = np.searchsorted(first_words, first_words[:-1] + min_words, "left")
     backward = np.searchsorted(first_words, first_words[1:] - min_words, "right") - 1
@@ -62,25 +70,30 @@ def spans(text: str | None, min_words: int) -> tuple[np.ndarray, np.ndarray, np.
     pairs = np.unique(pairs, axis=0)
     hashes = run_hashes(words, first_words[pairs[:, 0]], first_words[pairs[:, 1]]).view(np.int64)
     _, earliest = np.unique(hashes, return_index=True)
-    again = np.ones(len(hashes), bool)
-    again[earliest] = False
-    return hashes, pairs[:, 0], pairs[:, 1], again
+    again = np.ones(len(hashes), np.int64)
+    again[earliest] = 0
+    return hashes, pairs[:, 0] << 32 | pairs[:, 1] << 1 | again
+
+
+def unpacked(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First sentence and the one after the last. The lowest bit says that the text had the same span before."""
+    return places >> 32, places >> 1 & 0x7FFFFFFF
 
 
 def span_column(text: Column, min_words: int) -> Column:
-    @F.pandas_udf("hash array<long>, first array<int>, after array<int>, again array<boolean>")
+    @F.pandas_udf("hash array<long>, place array<long>")
     def found(texts: pd.Series) -> pd.DataFrame:
-        rows = [spans(text, min_words) for text in texts]
-        return pd.DataFrame(rows, columns=["hash", "first", "after", "again"])
+        return pd.DataFrame([spans(text, min_words) for text in texts], columns=["hash", "place"])
 
     return found(text)
 
 
-def without(text: str | None, first: np.ndarray, after: np.ndarray) -> tuple[str, int, int, int, int]:
+def without(text: str | None, places: np.ndarray) -> tuple[str, int, int, int, int]:
     """The text without the covered sentences; sentences and words it had; those removed."""
     data = text_bytes(text)
     first_words, starts, _ = sentences(data)
     n = len(first_words) - 1
+    first, after = unpacked(places)
     depth = np.zeros(n + 1, np.int64)
     np.add.at(depth, first, 1)
     np.add.at(depth, after, -1)
@@ -98,15 +111,12 @@ def cleaned_column(text: Column, marked: Column) -> Column:
     kind = "clean_text string, n_sentences long, n_words long, removed_sentences long, removed_words long"
 
     @F.pandas_udf(kind)
-    def cleaned(texts: pd.Series, firsts: pd.Series, afters: pd.Series) -> pd.DataFrame:
+    def cleaned(texts: pd.Series, marks: pd.Series) -> pd.DataFrame:
         none = np.zeros(0, np.int64)
-        rows = [
-            without(text, none if first is None else first, none if after is None else after)
-            for text, first, after in zip(texts, firsts, afters)
-        ]
+        rows = [without(text, none if places is None else places) for text, places in zip(texts, marks)]
         return pd.DataFrame(rows, columns=[field.split()[0] for field in kind.split(", ")])
 
-    return cleaned(text, marked["first"], marked["after"])
+    return cleaned(text, marked)
 
 
 def deduplicated(
@@ -119,7 +129,7 @@ def deduplicated(
         span_column(F.col(text_column), min_words).alias("s"),
     )
     rows = work.keep(rows, "rows")
-    exploded = rows.select("uid", "id", F.explode(F.arrays_zip("s.hash", "s.first", "s.after", "s.again")).alias("s"))
+    exploded = rows.select("uid", "id", F.explode(F.arrays_zip("s.hash", "s.place")).alias("s"))
     all_spans = exploded.select("uid", "id", "s.*")
     seen = all_spans.groupBy("hash").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
     seen = work.keep(seen.select("hash", "first_id"), "repeated")
@@ -128,12 +138,10 @@ def deduplicated(
     echoes = work.keep(
         rows.select("uid", "id").join(echoes, rows["id"].eqNullSafe(echoes["id"])).where("uid <> least").select("uid"), "echoes"
     )
-    later = all_spans.join(seen.hint("merge"), "hash").where("again OR NOT (id <=> first_id)").select("uid", "first", "after")
+    later = all_spans.join(seen.hint("merge"), "hash").where("place & 1 = 1 OR NOT (id <=> first_id)").select("uid", "place")
     if not echoes.isEmpty():
-        later = later.union(all_spans.join(seen, "hash").join(echoes, "uid").select("uid", "first", "after"))
-    marked = later.distinct().groupBy("uid").agg(F.collect_list(F.struct("first", "after")).alias("m")).select(
-        "uid", F.struct(F.col("m.first").alias("first"), F.col("m.after").alias("after")).alias("marked")
-    )
+        later = later.union(all_spans.join(seen, "hash").join(echoes, "uid").select("uid", "place"))
+    marked = later.groupBy("uid").agg(F.collect_set("place").alias("marked"))
     marked = work.keep(marked, "marked")
     found = rows.select("uid", "id", "text").join(marked.hint("merge"), "uid", "left")
     return found.select("id", cleaned_column(F.col("text"), F.col("marked")).alias("c")).select("id", "c.*")

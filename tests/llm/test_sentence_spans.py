@@ -4,7 +4,7 @@ import hashlib
 import re
 
 from goldleaf.llm.catalog import QUERIES
-from goldleaf.llm.sentence_spans import MIN_WORDS, deduplicated, spans
+from goldleaf.llm.sentence_spans import LONG, MIN_WORDS, deduplicated, spans, unpacked
 from tests.llm.helpers import SMALL, WORD, documents, edge_rows, empty_documents, prose
 
 WORDS = re.compile(WORD.pattern.encode())
@@ -22,6 +22,8 @@ def plain(rows, least=MIN_WORDS):
             feed = place + 1 < len(found) and b"\n" in data[match.end() : found[place + 1].start()]
             marked = word[-1:] in b".!?" or (word[-1:] in b"\"')]" and len(word) > 1 and word[-2:-1] in b".!?")
             if marked or feed or place == len(found) - 1:
+                long = place + 1 - cuts[-1] > LONG
+                cuts += [k + 1 for k in range(cuts[-1], place) if long and found[k].group()[-1:] in b",;:"]
                 cuts.append(place + 1)
         n, pairs = len(cuts) - 1, set()
         for i in range(n):
@@ -75,10 +77,17 @@ def test_short_repeats_and_white_space(spark):
 
 def test_spans_cover_the_end_of_a_passage():
     text = "a b c d e f g h i j k l m n o p. q. r."
-    covered = {place for first, after in zip(*spans(text, 15)[1:3]) for place in range(first, after)}
+    covered = {place for first, after in zip(*unpacked(spans(text, 15)[1])) for place in range(first, after)}
     assert covered == {0, 1, 2}
 
 
+def test_passages_that_begin_and_end_inside_sentences(spark):
+    inner = " ".join(prose(7, 60).replace(".", "").split()[k] + ("," if k % 8 == 7 else "") for k in range(60))
+    rows = [(k, f"{prose(k, 30).rstrip('.')} {inner} {prose(k + 50, 30)}") for k in (1, 2)]
+    found = {row["id"]: row for row in deduplicated(documents(spark, rows)).collect()}
+    assert found[1]["removed_words"] == 0 and 40 <= found[2]["removed_words"] <= 60
+
+
 def test_edge_cases(spark):
     docs = documents(spark, edge_rows(), clashing=True)
     found = deduplicated(docs).collect()
