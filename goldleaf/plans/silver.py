@@ -18,6 +18,7 @@ from goldleaf.operators.expectations import (
 def clean_transactions(bronze: DataFrame) -> DataFrame:
     """Calendar parts, standard payment names and masked cards; every row is kept."""
     sold_at = F.col("dateTime")
+    # The names of the derived columns here and below.
     derived = {
         "transaction_date": F.to_date(sold_at),
         "transaction_hour": F.hour(sold_at),

@@ -65,6 +65,26 @@ PAYLOAD_LOG = _struct(
     served_entity_id=T.StringType(),
 )
 
+# The columns of the gold tables, in order.
+DAILY_SALES_COLUMNS = (
+    "transaction_date", "franchiseID", "total_revenue", "transaction_count", "avg_transaction_value",
+    "unique_customers", "total_items_sold", "unique_products_sold",
+)
+CUSTOMER_COLUMNS = (
+    "customerID", "full_name", "email_address", "region", "country_clean", "lifetime_value", "total_transactions",
+    "avg_transaction_value", "first_purchase_date", "last_purchase_date", "customer_tenure_days",
+    "purchase_frequency", "franchises_visited",
+)
+PRODUCT_COLUMNS = (
+    "product", "total_units_sold", "total_revenue", "transaction_count", "avg_unit_price",
+    "avg_quantity_per_transaction", "franchise_count", "unique_customers", "revenue_per_unit",
+)
+FRANCHISE_COLUMNS = (
+    "franchiseID", "name", "city", "country", "size_category", "supplier_name", "primary_ingredient",
+    "total_revenue", "total_transactions", "avg_transaction_value", "unique_customers",
+    "avg_items_per_transaction", "peak_hour", "weekend_revenue_pct", "latitude", "longitude",
+)
+
 # The model's inputs, its label and its output.
 FEATURE_COLUMNS = (
     "trip_distance",

@@ -1,0 +1,100 @@
+"""What a refresh leaves behind beside its datasets, and where intermediate data goes."""
+
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from goldleaf import session as sessions
+from goldleaf.plans import fare_jobs, refresh, trip_features
+from goldleaf.session import run_folder, shared_folder
+from goldleaf.sources import sample_tables as sample
+from goldleaf.sources.tables import discarding, stored
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def twice(spark):
+    """Two refreshes; in the second some sales have another total and some are gone."""
+    schema, folder = f"t_{uuid.uuid4().hex[:10]}", run_folder(spark, "test")
+    sales, key = sample.sales_transactions(spark, SMALL), F.col("transactionID")
+    changed = sales.where(key % 90 != 1).withColumn(
+        "totalPrice", F.when(key % 80 == 2, F.col("totalPrice") + 1).otherwise(F.col("totalPrice"))
+    )
+    results = []
+    for version in (sales, changed):
+        sources = refresh.SalesSources(
+            version, sample.sales_customers(spark, SMALL), sample.sales_franchises(spark, SMALL), sample.sales_suppliers(spark, SMALL)
+        )
+        results.append({name: df.count() for name, df in refresh.refresh_sales(spark, sources, schema, folder).items()})
+    return schema, folder, results
+
+
+def test_changes_of_tracked_tables(spark, twice):
+    schema, _, _ = twice
+    kinds = spark.read.table(f"{schema}.silver_transactions_changes").groupBy("change_type").count().collect()
+    counts = {row.change_type: row["count"] for row in kinds}
+    sold = spark.read.table(f"{schema}.silver_transactions")
+    assert counts["update_postimage"] == sold.where("transactionID % 80 = 2").count() > 0
+    assert counts["update_preimage"] == counts["update_postimage"] and counts["delete"] > 0 and "insert" not in counts
+    # nothing changed here, so nothing is in the feed
+    assert spark.read.table(f"{schema}.silver_customers_changes").count() == 0
+
+
+def test_rule_report_of_each_refresh(spark, twice):
+    schema, _, results = twice
+    report = spark.read.table(f"{schema}.{refresh.QUALITY_REPORT}")
+    assert report.select(refresh.REFRESHED_AT).distinct().count() == 2
+    lines = report.where("dataset = 'silver_franchises' AND rule = 'valid_location'").collect()
+    assert len(lines) == 2 and all(line.action == "warn" and line.failed > 0 for line in lines)
+    dropped = report.where("dataset = 'silver_transactions'").agg(F.max("passed")).first()[0]
+    assert dropped >= results[0]["silver_transactions"]
+
+
+def test_nothing_is_left_aside(twice):
+    _, folder, _ = twice
+    assert not os.path.exists(f"{folder}/_new") or os.listdir(f"{folder}/_new") == []
+
+
+def test_intermediate_tables_are_removed(spark):
+    with discarding(spark):
+        kept = stored(spark.range(3), "test")
+        place = kept.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0].replace("//", "/")
+        assert os.path.isdir(place) and kept.count() == 3
+    assert not os.path.exists(place)
+    outside = stored(spark.range(3), "test")
+    assert outside.count() == 3
+
+
+def test_an_empty_log_leaves_the_tables_alone(spark):
+    place = fare_jobs.Place(spark, f"t_{uuid.uuid4().hex[:10]}", run_folder(spark, "test"))
+    log = sample.payload_log(spark, SMALL)
+    features = trip_features.feature_table(sample.trips(spark, SMALL))
+    made = fare_jobs.refresh_monitoring(place, log, features, F.col("request_id"))
+    rows = made["monitor_volume"].count()
+    assert rows > 0
+    assert fare_jobs.refresh_monitoring(place, log.where("status_code = '500'"), features, F.col("request_id")) == {}
+    assert place.read("monitor_volume").count() == rows
+    properties = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {place.schema}.inference_processed").collect()}
+    assert properties["changes"] == "tracked"
+    with pytest.raises(ValueError, match="missing columns"):
+        fare_jobs.refresh_monitoring(place, log.drop("response"), features)
+
+
+class Session:
+    """As much of a session as names the shared folder."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {} if folder is None else {sessions.CHECKPOINT_SETTING: folder}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": uuid.uuid4().hex})
+
+
+def test_the_shared_folder(tmp_path):
+    assert shared_folder(Session("yarn", f"{tmp_path}/")) == str(tmp_path)
+    for master in ("yarn", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(Session(master))
+    alone = Session("local[2]")
+    assert shared_folder(alone) == shared_folder(alone) and os.path.isdir(shared_folder(alone))

@@ -22,7 +22,7 @@ SALE = (
 )
 
 
-def sale(at=datetime(2024, 5, 15, 14, 30), method="visa", card=378154478982993, **ids):
+def sale(at=datetime(2024, 5, 15, 14, 30), method="visa", card=4000111122223333, **ids):
     keys = {"transaction": 1, "customer": 100, "franchise": 200, **ids}
     return (keys["transaction"], keys["customer"], keys["franchise"], at, "Ginger", 5, 10, 50, method, card)
 
@@ -51,26 +51,27 @@ def test_payment_names_and_renames(spark):
 
 
 def test_card_mask(spark):
-    cards = [378154478982993, 2244626981238094, 123, None]
+    cards = [4000111122223333, 4000999988887777, 123, None]
     sold = spark.createDataFrame([sale(card=c) for c in cards], SALE)
     masked = [r.card_number_masked for r in silver.silver_transactions(sold).collect()]
-    assert masked == ["****-****-****-2993", "****-****-****-8094", "****-****-****-123", None]
+    assert masked == ["****-****-****-3333", "****-****-****-7777", "****-****-****-123", None]
 
 
 QUALITY = [
-    (1, 100, 200, 5, 50),
-    (None, 100, 200, 5, 50),
-    (2, None, 200, 5, 50),
-    (3, 100, None, 5, 50),
-    (4, 100, 200, 0, 50),
-    (5, 100, 200, 5, -10),
+    (11, 7, 31, 2, 18),
+    (None, 7, 31, 2, 18),
+    (12, None, 31, 2, 18),
+    (13, 7, None, 2, 18),
+    # Zero and below zero are the bounds of the two rules.
+    (14, 7, 31, 0, 18),
+    (15, 7, 31, 2, -1),
 ]
 QUALITY_SCHEMA = "transactionID long, customerID long, franchiseID long, quantity long, totalPrice long"
 
 
 def test_quality_rules_drop_every_violation(spark):
     kept = drop_violations(spark.createDataFrame(QUALITY, QUALITY_SCHEMA), TRANSACTION_RULES)
-    assert [r.transactionID for r in kept.collect()] == [1]
+    assert [r.transactionID for r in kept.collect()] == [11]
 
 
 def test_null_rule_counts_as_violation(spark):
@@ -89,17 +90,17 @@ def test_report_of_empty_input(spark):
 def test_customer_fields(spark, rows):
     schema = "customerID long, first_name string, last_name string, email_address string, country string, state string, continent string"
     people = [
-        (1, "John", "Doe", "user@example.com", " us ", "tx", "North America"),
-        (2, "Jane", "Smith", "invalid-email", "de", "be", "Europe"),
-        (3, None, "Roe", "another@test.org", "jp", None, "Asia"),
+        (1, "Ada", "Moor", "ada@moor.example", " us ", "tx", "North America"),
+        (2, "Ben", "Hill", "no address", "de", "be", "Europe"),
+        (3, None, "Reed", "reed@pond.example", "jp", None, "Asia"),
         (4, "No", "Mail", None, "br", "sp", "South America"),
         (None, "No", "Id", "a@b", "ng", "la", "Africa"),
     ]
     df = spark.createDataFrame(people, schema)
     kept = silver.silver_customers(bronze.bronze_customers(df))
     assert rows(kept, "customerID", "full_name", "country_clean", "state_clean", "region") == [
-        (1, "John Doe", "US", "TX", "NA"),
-        (3, "Roe", "JP", None, "APAC"),
+        (1, "Ada Moor", "US", "TX", "NA"),
+        (3, "Reed", "JP", None, "APAC"),
     ]
     assert df.filter(CUSTOMER_RULES["valid_email"]).count() == 3
 
