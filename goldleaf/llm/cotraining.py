@@ -14,8 +14,8 @@ Fits take at most ``max_rows`` labelled rows (smallest digest of the identifier)
 looked for among all documents.
 
 Null and empty texts have no words and page values of 0; null language or source is a value of its own. Labels
-that are null or whose document is missing are left out; of several labels of a document the highest
-counts. With labels of one kind, or none, models are constants and every document gets the same score.
+that are null or whose document is missing are left out; of several labels of a document the highest counts, and
+of several rows of one identifier the one that sorts first is fitted. With labels of one kind, or none, models are constants and every document gets the same score.
 Repeated rows are scored each for itself; an empty table gives an empty result. Scores are columns, so other
 columns may have any name.
 """
@@ -206,16 +206,22 @@ def cotrain(
     digest = F.md5(F.col("id").cast("string"))
     present = known.join(docs.select(F.col(id_column).alias("id")).distinct(), "id", "left_semi")
     chosen = present.orderBy(digest).limit(max_rows).select(
-        "id", "label", F.lit(0).alias("role"), (F.pmod(F.xxhash64(digest), F.lit(4)) == 0).alias("held")
+        "id", "label", F.lit(0).alias("role"), (F.pmod(F.xxhash64(digest), F.lit(4)) == 0).alias("held"),
+        F.lit(-1).alias("turn"),
     )
 
     def fit_on(ids: DataFrame) -> Pair:
+        # what the latest round says of a row counts
+        latest = ids.groupBy("id", "role", "held").agg(F.max_by("label", "turn").alias("label"))
         # a bounded number of short rows goes to every task, so only the texts that are fitted move
-        return fitted_pair(texts.join(F.broadcast(ids), "id").dropDuplicates(["id", "role"]))
+        found = texts.join(F.broadcast(latest), "id")
+        # of several rows of one identifier the one that sorts first
+        one = found.groupBy("id", "role", "held", "label").agg(F.min(F.struct("text", "lang", "source")).alias("d"))
+        return fitted_pair(one.select("id", "role", "held", "label", "d.*"))
 
     pair = fit_on(chosen)
     given: list[DataFrame] = []
-    for _ in range(rounds):
+    for turn in range(rounds):
         scored = texts.select("id", pair_scores(F.col("text"), F.col("lang"), F.col("source"), pair).alias("s"))
         scored = work.keep(scored.select("id", digest.alias("digest"), "s.text", "s.page"), "scored")
         # labelled rows leave after scoring: joining slim rows is cheaper than moving texts
@@ -224,7 +230,9 @@ def cotrain(
             for label in (0, 1):
                 p = F.col(view) if label else 1 - F.col(view)
                 best = scored.where(p >= sure).orderBy(p.desc(), "digest").limit(per_round)
-                best = best.select("id", F.lit(label).alias("label"), F.lit(role).alias("role"), F.lit(False).alias("held"))
+                best = best.select(
+                    "id", F.lit(label).alias("label"), F.lit(role).alias("role"), F.lit(False).alias("held"), F.lit(turn).alias("turn")
+                )
                 given.append(work.keep(best, "taught"))
         rows = chosen
         for part in given:

@@ -14,7 +14,8 @@ bounds the one task that fits; everything else covers all rows. The threshold is
 out-of-fold probabilities.
 
 Null and empty texts have no features: they get the models' base probability. Labels that are null, or whose
-document is missing, are left out; of several labels of one document the highest counts. With labels of a
+document is missing, are left out; of several labels of one document the highest counts, and of several texts the
+one that sorts first is fitted. With labels of a
 single kind the model is a constant. Without labels no text is called toxic. Repeated rows are scored each for itself; an
 empty table gives an empty result. Scores are columns, so other columns may have any name.
 """
@@ -111,7 +112,9 @@ def train(
         has = F.arrays_overlap(words, F.array(*map(F.lit, listed))) if listed else F.lit(True)
         flags.append(((F.col("label") == 1) & has).cast("int").alias(f"is_{name}"))
     # at most max_rows short rows: safe to send to every task, so no text but theirs is moved
-    rows = texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).select(
+    found = texts.join(F.broadcast(chosen), "id")
+    # of several rows of one identifier the text that sorts first
+    rows = found.groupBy("id", "digest", "label").agg(F.min("text").alias("text")).select(
         "digest", F.pmod(F.xxhash64("digest"), F.lit(FOLDS)).cast("int").alias("fold"), F.array(*flags).alias("labels"),
         features(F.col("text")).alias("features"),
     )
