@@ -43,6 +43,8 @@ CLASSES = 40
 ROUNDS = 8
 DISCOUNT = 0.75
 HALF = 0.5
+# How many texts of a batch are laid out as 64-bit numbers at a time.
+TEXTS_AT_ONCE = 1_000
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -167,12 +169,14 @@ def class_contexts(sequences: DataFrame, classes: np.ndarray, n_classes: int, sh
         after, before = np.zeros(n_types * n_classes, np.int64), np.zeros(n_types * n_classes, np.int64)
         own, seen = np.zeros(n_types, np.int64), False
         for batch in batches:
-            # texts end with type 0, so one long row of texts has the right neighbours
-            cur = np.concatenate([np.frombuffer(types, "<u2") for types in batch["types"]]).astype(np.int64)
-            prev = np.concatenate(([0], cur[:-1]))
-            after += np.bincount(prev * n_classes + classes[cur], minlength=len(after))
-            before += np.bincount(cur * n_classes + classes[prev], minlength=len(before))
-            own += np.bincount(cur[cur == prev], minlength=n_types)
+            for start in range(0, len(batch), TEXTS_AT_ONCE):
+                # texts end with type 0, so one long row of texts has the right neighbours
+                texts = batch["types"].iloc[start : start + TEXTS_AT_ONCE]
+                cur = np.concatenate([np.frombuffer(types, "<u2") for types in texts]).astype(np.int64)
+                prev = np.concatenate(([0], cur[:-1]))
+                after += np.bincount(prev * n_classes + classes[cur], minlength=len(after))
+                before += np.bincount(cur * n_classes + classes[prev], minlength=len(before))
+                own += np.bincount(cur[cur == prev], minlength=n_types)
             seen = True
         if seen:
             both = np.concatenate((after.reshape(n_types, -1), before.reshape(n_types, -1), own[:, None]), axis=1)
