@@ -40,6 +40,7 @@ MAX_ROWS = 12_000
 PER_ROUND = 1_000
 ROUNDS = 2
 SURE = 0.9
+TEXTS_AT_ONCE = 500
 ENDINGS = (2, 3)
 PAGE = 14
 
@@ -166,9 +167,12 @@ def pair_scores(text: Column, lang: Column, source: Column, pair: Pair) -> Colum
     @F.pandas_udf("text double, page double, both double")
     def scored(texts: pd.Series, langs: pd.Series, sources: pd.Series) -> pd.DataFrame:
         model = pickle.loads(shared)
-        rows = [views(*row) for row in zip(texts, langs, sources)]
-        dense = np.array([row[2] for row in rows]).reshape(len(rows), PAGE)
-        found = model.probabilities(Rows.of([row[0] for row in rows]), Rows.of([row[1] for row in rows], dense))
+        found = np.zeros((3, len(texts)))
+        for start in range(0, len(texts), TEXTS_AT_ONCE):  # a few texts' features at a time
+            part = slice(start, start + TEXTS_AT_ONCE)
+            rows = [views(*row) for row in zip(texts.iloc[part], langs.iloc[part], sources.iloc[part])]
+            dense = np.array([row[2] for row in rows]).reshape(len(rows), PAGE)
+            found[:, part] = model.probabilities(Rows.of([row[0] for row in rows]), Rows.of([row[1] for row in rows], dense))
         return pd.DataFrame(dict(zip(("text", "page", "both"), found)))
 
     return scored(text, lang, source)

@@ -10,6 +10,7 @@ from goldleaf.llm.words import located_words, mix, text_bytes
 
 FEATURES = 1 << 18
 PREFIXES = (3, 4, 5, 6)
+AT_ONCE = 1 << 20
 # ASCII that is no letter becomes a space
 _LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
@@ -30,12 +31,21 @@ def word_features(text: str | None) -> np.ndarray:
     return np.unique(np.concatenate(parts) % np.uint64(FEATURES)).astype(np.int32)
 
 
-def association(rows: np.ndarray, features: np.ndarray, labels: np.ndarray, size: int) -> np.ndarray:
-    """How much each feature tells about the label: the log-likelihood ratio of independence."""
-    n1 = max(int(labels.sum()), 1)
-    n0 = max(len(labels) - n1, 1)
-    with_label = np.bincount(features[labels[rows] == 1], minlength=size).astype(float)
-    without = np.bincount(features[labels[rows] == 0], minlength=size).astype(float)
+def slices(n: int) -> list[slice]:
+    """Parts of a long array, so that temporary 64-bit copies stay small."""
+    return [slice(start, start + AT_ONCE) for start in range(0, n, AT_ONCE)]
+
+
+def association(marked: np.ndarray, features: np.ndarray, n1: int, n0: int, size: int) -> np.ndarray:
+    """How much each feature tells about the label: the log-likelihood ratio of independence.
+
+    ``marked``: for each feature of each text, whether the text has the label; ``n1`` texts have it, ``n0`` do not.
+    """
+    n1, n0 = max(n1, 1), max(n0, 1)
+    with_label, without = np.zeros(size), np.zeros(size)
+    for part in slices(len(features)):
+        with_label += np.bincount(features[part][marked[part]], minlength=size)
+        without += np.bincount(features[part][~marked[part]], minlength=size)
 
     def part(observed, expected):
         return np.where(observed > 0, observed * np.log(np.maximum(observed, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
@@ -61,7 +71,17 @@ class Rows:
         return Rows(joined, sizes, np.zeros((len(sets), 0)) if dense is None else dense)
 
     def owner(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.sizes)), self.sizes)
+        return np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+
+    def of_names(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the sorted names occur, and in which text."""
+        owner, places, owners = self.owner(), [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        for part in slices(len(owner)) if len(names) else []:
+            place = np.minimum(np.searchsorted(names, self.features[part]), len(names) - 1)
+            known = names[place] == self.features[part]
+            places.append(place[known].astype(np.int32))
+            owners.append(owner[part][known])
+        return np.concatenate(places), np.concatenate(owners)
 
 
 @dataclass
@@ -76,9 +96,8 @@ class LinearModel:
     bias: float
 
     def margin(self, rows: Rows) -> np.ndarray:
-        place = np.minimum(np.searchsorted(self.names, rows.features), max(len(self.names) - 1, 0))
-        known = self.names[place] == rows.features if len(self.names) else np.zeros(len(rows.features), bool)
-        total = np.bincount(rows.owner()[known], self.weights[place[known]], len(rows.sizes))
+        place, owner = rows.of_names(self.names)
+        total = np.bincount(owner, self.weights[place], len(rows.sizes))
         return total + (rows.dense - self.centre) / self.scale @ self.dense_weights + self.bias
 
     def probability(self, rows: Rows) -> np.ndarray:
@@ -106,13 +125,11 @@ def fit(
     if n == 0 or labels.min() == labels.max():
         sure = 0.0 if n == 0 else 6.0 * (2 * labels[0] - 1)
         return LinearModel(none, np.zeros(0), np.zeros(len(scale)), centre, scale, sure)
-    owner = rows.owner()
-    score = association(owner, rows.features, labels.astype(int), FEATURES)
+    ones = int(labels.sum())
+    score = association(np.repeat(labels == 1, rows.sizes), rows.features, ones, n - ones, FEATURES)
     best = np.argsort(-score, kind="stable")[:keep]
     names = np.sort(best[score[best] >= least])
-    place = np.searchsorted(names, rows.features)
-    known = (names[np.minimum(place, len(names) - 1)] == rows.features) if len(names) else np.zeros(len(owner), bool)
-    place, owner = place[known], owner[known]
+    place, owner = rows.of_names(names)
     dense = (rows.dense - centre) / scale
     w, d, b = np.zeros(len(names)), np.zeros(dense.shape[1]), 0.0
     fast = (w, d, b)

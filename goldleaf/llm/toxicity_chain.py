@@ -41,6 +41,7 @@ CATEGORIES: dict[str, tuple[str, ...]] = {
 }
 FOLDS = 5
 MAX_ROWS = 12_000
+TEXTS_AT_ONCE = 500
 
 
 @dataclass
@@ -141,7 +142,10 @@ def scores(text: Column, chain: Chain) -> Column:
     @F.pandas_udf(kind)
     def scored(texts: pd.Series) -> pd.DataFrame:
         model = pickle.loads(shared)
-        found = model.probabilities([word_features(text) for text in texts])
+        found = np.zeros((len(texts), len(model.names)))
+        for start in range(0, len(texts), TEXTS_AT_ONCE):  # a few texts' features at a time
+            part = texts.iloc[start : start + TEXTS_AT_ONCE]
+            found[start : start + len(part)] = model.probabilities([word_features(text) for text in part])
         frame = pd.DataFrame(found, columns=list(model.names))
         frame["flagged"] = found[:, -1] >= model.threshold
         return frame
