@@ -88,7 +88,10 @@ def overwrite_table(df: DataFrame, table: str, path: str, layout: Layout = Layou
 
 def append_table(df: DataFrame, table: str, path: str) -> DataFrame:
     """Add rows to a table of the same columns, creating it the first time."""
-    df.write.format("parquet").mode("append").option("path", path).saveAsTable(table)
+    writer = df.write.format("parquet").mode("append")
+    if not df.sparkSession.catalog.tableExists(table):
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
     return df.sparkSession.read.table(table)
 
 
