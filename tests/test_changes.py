@@ -59,3 +59,18 @@ def test_versions_match_a_plain_walk(spark):
     got = {(r.k, r.effective_from): r.effective_to for r in found.collect()}
     assert got == expected
     assert all(r.is_current == (r.effective_to is None) for r in found.collect())
+
+
+def test_large_buckets_and_missing_keys(spark):
+    """One key holds most changes of one bucket, with ties; some changes have no key."""
+    draw = random.Random(4)
+    rows = [("hot" if draw.random() < 0.8 else draw.choice(["a", "b", None]), draw.randrange(200), k) for k in range(1500)]
+    df = spark.createDataFrame(rows, "key string, at int, n int").repartition(5)
+    found = versions_from_changes(df, ["key"], ["at", "n"], bucket=F.lit(1), rows_per_slice=50).collect()
+    assert len(found) == len(rows)
+    following = {}
+    for key in {row[0] for row in rows}:
+        own = sorted((at, n) for k, at, n in rows if k == key)
+        following.update({n: (later[0] if later else None) for (_, n), later in zip(own, [*own[1:], None])})
+    assert {r.n: r.effective_to for r in found} == following
+    assert sum(r.is_current for r in found) == 4
