@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -51,6 +52,18 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
+def importable_in_tasks(spark: SparkSession, root: str) -> None:
+    """Let Python workers find the packages below ``root``, wherever the driver was started.
+
+    For sessions on one machine, or clusters where the path is the same on all; elsewhere ship the
+    package with the job.
+    """
+    environment = spark.sparkContext.environment
+    paths = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def run_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_folder(spark)}/goldleaf/{label}-{uuid.uuid4().hex}"
