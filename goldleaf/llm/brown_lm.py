@@ -5,19 +5,24 @@ emissions, P(w | previous) = P(class | previous class) x P(type | class) x P(w |
 
 * Tokens are words (A-Z in lower case) and one end per text; ends have a class of their own, and the end of the
   text before is the first word's context.
-* A *type* is one of the ``frequent`` most common words (seen twice or more), or a bucket of all other words by
-  their last bytes. Types are few (a parameter), so the model is bounded; every word, also one never seen, has one.
-* Exchange clustering: starting from classes in turn by frequency, each round counts, over the whole training
+* Every word seen ``min_count`` times or more has a class of its own, however many there are. All other words, also
+  those never seen, share buckets by their length and last bytes; a bucket has a class.
+* The ``frequent`` most common words and the buckets (the *types*) find the classes by exchange; until then, the other
+  words count as their buckets. Exchange clustering: starting from classes in turn by frequency, each round counts, over the whole training
   corpus, how often every type stands before and after every class. With these counts each type of the
   round's half moves to the class where the likelihood of the class bigrams gains most. Rounds end when the
   likelihood stops growing, and the best classes are kept.
+* Then each of the other words that is seen often enough chooses its class by the classes before and after it in the
+  whole training corpus: the one where the likelihood gains most. These contexts are a table with a row per word
+  and batch of texts, sorted by word; the tasks have only the class matrix. The transitions and sizes of the classes
+  are counted afterwards, over the final class of every word.
 * Smoothing: class bigrams by absolute discounting, backing off to class frequencies; buckets by half a count;
   words in a bucket by absolute discounting (from the numbers of words seen once and twice), whose mass goes to the
   words never seen, as one event per bucket. Over known words and these events, probabilities sum to one.
 
-All counts cover the whole training corpus: word counts (identified by 64-bit hashes) are a stored table that
-grows with it, and a text's rarer words are joined with it. The common words, which would be hot join keys,
-are in the broadcast model (``frequent`` rows at most), as are the type-by-class counts that come to the driver.
+All counts cover the whole training corpus: the counts and classes of words (identified by 64-bit hashes) are a stored
+table that grows with it, and a text's rarer words are joined with it. The ``frequent`` words, which would be hot
+join keys, are in the broadcast model, as are the type-by-class counts that come to the driver.
 
 Null and empty texts have one token, the end. Rows without identifier belong to the training part. Repeated rows
 count and are scored each for itself. Without training texts all words are unknown and the scores still defined. An
@@ -26,7 +31,7 @@ empty table gives an empty result. Only identifier and text are read, so other c
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -37,7 +42,9 @@ from pyspark.sql import functions as F
 from goldleaf.llm.common import Workspace
 from goldleaf.llm.words import located_words, mix, text_bytes
 
+# Words that are exchanged in rounds; how often a word is seen to have a class of its own.
 FREQUENT = 16_000
+MIN_COUNT = 3
 BUCKETS = 1_024
 CLASSES = 40
 ROUNDS = 8
@@ -126,11 +133,12 @@ def exchange(
 @dataclass
 class Model:
     vocabulary: Vocabulary
+    # of each type
     classes: np.ndarray
-    # log10 probabilities: class after class, type in its class
-    transitions: np.ndarray
-    emissions: np.ndarray
-    # per bucket: log10 of its tokens, and of the mass of its unseen words (both 0 for empty buckets)
+    # class bigrams of the types, as exchanged
+    matrix: np.ndarray
+    # per bucket: its tokens, and log10 of them and of the mass of its unseen words (both 0 for empty buckets)
+    bucket_tokens: np.ndarray
     bucket_total: np.ndarray
     bucket_unseen: np.ndarray
     discount: float
@@ -139,11 +147,9 @@ class Model:
     ends: int
     likelihoods: list[float] = field(default_factory=list)
 
-    def text_score(self, types: np.ndarray) -> float:
-        """log10 probability of the types of a text, its end included."""
-        own = self.classes[types]
-        context = np.concatenate(([self.classes[0]], own[:-1]))
-        return float(self.transitions[context, own].sum() + self.emissions[types].sum())
+    @property
+    def first_bucket(self) -> int:
+        return 1 + len(self.vocabulary.words)
 
 
 def count_words(training: DataFrame, buckets: int) -> DataFrame:
@@ -161,7 +167,21 @@ def count_words(training: DataFrame, buckets: int) -> DataFrame:
     return rows.groupBy("w").agg(F.first("bucket").alias("bucket"), F.sum("c").alias("c"))
 
 
-def class_contexts(sequences: DataFrame, classes: np.ndarray, n_classes: int, shards: int = 16) -> tuple[np.ndarray, ...]:
+def types_of(texts: pd.DataFrame, first_bucket: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The types of texts laid out one after the other; where the rarer words stand, and their places in all lists."""
+    found = [np.frombuffer(types, "<i4") for types in texts["types"]]
+    buckets = [np.frombuffer(one, "<i2") for one in texts["bucket"]]
+    cur = np.concatenate(found).astype(np.int64)
+    lists = np.cumsum([0] + [len(one) for one in buckets[:-1]])
+    rare = np.flatnonzero(cur < 0)
+    listed = np.repeat(lists, [len(one) for one in found])[rare] - 1 - cur[rare]
+    cur[rare] = first_bucket + np.concatenate(buckets)[listed]
+    return cur, rare, listed
+
+
+def class_contexts(
+    sequences: DataFrame, classes: np.ndarray, n_classes: int, first_bucket: int, shards: int = 16
+) -> tuple[np.ndarray, ...]:
     """after, before (type by class) and own, summed over the corpus. Types and classes are bounded parameters."""
     n_types = len(classes)
 
@@ -171,8 +191,7 @@ def class_contexts(sequences: DataFrame, classes: np.ndarray, n_classes: int, sh
         for batch in batches:
             for start in range(0, len(batch), TEXTS_AT_ONCE):
                 # texts end with type 0, so one long row of texts has the right neighbours
-                texts = batch["types"].iloc[start : start + TEXTS_AT_ONCE]
-                cur = np.concatenate([np.frombuffer(types, "<u2") for types in texts]).astype(np.int64)
+                cur, _, _ = types_of(batch.iloc[start : start + TEXTS_AT_ONCE], first_bucket)
                 prev = np.concatenate(([0], cur[:-1]))
                 after += np.bincount(prev * n_classes + classes[cur], minlength=len(after))
                 before += np.bincount(cur * n_classes + classes[prev], minlength=len(before))
@@ -190,7 +209,7 @@ def class_contexts(sequences: DataFrame, classes: np.ndarray, n_classes: int, sh
             totals[t] = totals[t] + row if t in totals else row
         return pd.DataFrame({"t": list(totals), "counts": [row.astype("<i8").tobytes() for row in totals.values()]})
 
-    parts = sequences.mapInPandas(counted, "t long, counts binary")
+    parts = sequences.select("types", "bucket").mapInPandas(counted, "t long, counts binary")
     rows = parts.groupBy(F.pmod("t", F.lit(shards))).applyInPandas(summed, "t long, counts binary").collect()
     table = np.zeros((n_types, 2 * n_classes + 1), np.int64)
     for t, counts in rows:
@@ -198,7 +217,7 @@ def class_contexts(sequences: DataFrame, classes: np.ndarray, n_classes: int, sh
     return table[:, :n_classes], table[:, n_classes : 2 * n_classes], table[:, -1]
 
 
-def cluster(sequences: DataFrame, vocabulary: Vocabulary, n_classes: int, rounds: int):
+def cluster(sequences: DataFrame, vocabulary: Vocabulary, n_classes: int, rounds: int, release: Callable[[], None]):
     """classes, class bigram matrix, type counts, and the likelihood after each round."""
     n_types = vocabulary.size
     classes = np.full(n_types, n_classes)
@@ -207,7 +226,8 @@ def cluster(sequences: DataFrame, vocabulary: Vocabulary, n_classes: int, rounds
     classes[order] = np.arange(n_types - 1) % n_classes
     best, likelihoods = None, []
     for turn in range(rounds + 1):
-        after, before, own = class_contexts(sequences, classes, n_classes + 1)
+        after, before, own = class_contexts(sequences, classes, n_classes + 1, 1 + len(vocabulary.words))
+        release()
         matrix = np.zeros((n_classes + 1, n_classes + 1))
         np.add.at(matrix, classes, after)
         likelihoods.append(bigram_likelihood(matrix))
@@ -226,118 +246,242 @@ def cluster(sequences: DataFrame, vocabulary: Vocabulary, n_classes: int, rounds
     return best[1], best[2], best[3], likelihoods
 
 
-def probabilities(matrix: np.ndarray, classes: np.ndarray, type_counts: np.ndarray, first_bucket: int):
-    """log10 class transitions and type emissions, smoothed."""
+def transition_table(matrix: np.ndarray) -> np.ndarray:
+    """log10 probabilities of class after class, smoothed."""
     n = matrix.shape[0]
     single = (matrix.sum(axis=0) + HALF) / (matrix.sum() + HALF * n)
     rows = matrix.sum(axis=1, keepdims=True)
     kept = np.maximum(matrix - DISCOUNT, 0)
     free = rows - kept.sum(axis=1, keepdims=True)
-    transitions = np.where(rows > 0, (kept + free * single) / np.maximum(rows, 1), single)
+    return np.log10(np.where(rows > 0, (kept + free * single) / np.maximum(rows, 1), single))
+
+
+def probabilities(matrix: np.ndarray, classes: np.ndarray, type_counts: np.ndarray, first_bucket: int):
+    """log10 class transitions and type emissions, smoothed."""
     counts = type_counts.astype(float)
     counts[first_bucket:] += HALF
     counts[0] += HALF
-    totals = np.bincount(classes, counts, n)
-    return np.log10(transitions), np.log10(np.maximum(counts, 1e-300) / np.maximum(totals[classes], 1e-300))
+    totals = np.bincount(classes, counts, matrix.shape[0])
+    return transition_table(matrix), np.log10(np.maximum(counts, 1e-300) / np.maximum(totals[classes], 1e-300))
 
 
-def train(training: DataFrame, counts: DataFrame, frequent: int, buckets: int, n_classes: int, rounds: int, work: Workspace) -> Model:
-    """Fit on the texts of ``training`` with their stored word counts."""
-    top = counts.where("c >= 2").orderBy(F.desc("c"), "w").limit(frequent).collect()
+def layout(text: Column, vocabulary: Vocabulary) -> Column:
+    """The types of a text's words and end. Words that are not frequent are numbers below 0: -1 is the first of ``w``."""
+
+    @F.pandas_udf("types binary, w array<long>, bucket binary")
+    def laid(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text in texts:
+            words, buckets = words_and_buckets(text, vocabulary.buckets)
+            types = vocabulary.types(words, buckets)
+            rare = types > len(vocabulary.words)
+            unique, first, place = np.unique(words[rare], return_index=True, return_inverse=True)
+            types[rare] = -1 - place
+            rows.append((np.append(types, 0).astype("<i4").tobytes(), unique, buckets[rare][first].astype("<i2").tobytes()))
+        return pd.DataFrame(rows, columns=["types", "w", "bucket"])
+
+    return laid(text)
+
+
+def frequent_words(counts: DataFrame, frequent: int, min_count: int, buckets: int) -> Vocabulary:
+    top = counts.where(F.col("c") >= min_count).orderBy(F.desc("c"), "w").limit(frequent).collect()
     top = np.array([(row["w"], row["c"]) for row in top], np.int64).reshape(-1, 2)
     top = top[np.argsort(top[:, 0])]
-    vocabulary = Vocabulary(top[:, 0].copy(), top[:, 1].copy(), buckets)
+    return Vocabulary(top[:, 0].copy(), top[:, 1].copy(), buckets)
 
-    @F.pandas_udf("binary")
-    def typed(texts: pd.Series) -> pd.Series:
-        found = (vocabulary.types(*words_and_buckets(text, buckets)) for text in texts)
-        return pd.Series([np.append(types, 0).astype("<u2").tobytes() for types in found], dtype="object")
 
-    sequences = work.keep(training.select(typed(F.col("text")).alias("types")), "types")
-    classes, matrix, type_counts, likelihoods = cluster(sequences, vocabulary, n_classes, rounds)
-    work.drop(sequences)
-
-    # words outside the frequent ones, by bucket; at most ``buckets`` rows come here
-    listed = training.sparkSession.createDataFrame(pd.DataFrame({"w": vocabulary.words}), "w long")
-    rare = counts.join(F.broadcast(listed), "w", "left_anti").groupBy("bucket").agg(
+def train(
+    sequences: DataFrame, counts: DataFrame, vocabulary: Vocabulary, n_classes: int, rounds: int, min_count: int,
+    release: Callable[[], None] = lambda: None,
+) -> Model:
+    """Fit on the laid-out training texts with their stored word counts."""
+    classes, matrix, type_counts, likelihoods = cluster(sequences, vocabulary, n_classes, rounds, release)
+    # words without a class of their own, by bucket; at most ``buckets`` rows come here
+    rare = counts.where(F.col("c") < min_count).groupBy("bucket").agg(
         F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types"),
         F.sum((F.col("c") == 1).cast("long")).alias("once"), F.sum((F.col("c") == 2).cast("long")).alias("twice"),
     ).collect()
     once, twice = sum(row["once"] for row in rare), sum(row["twice"] for row in rare)
     discount = min(max((once + 1) / (once + 2 * twice + 2), 0.05), 0.95)
-    total, unseen = np.zeros(buckets), np.zeros(buckets)
+    tokens, total, unseen = (np.zeros(vocabulary.buckets) for _ in range(3))
     for row in rare:
+        tokens[row["bucket"]] = row["tokens"]
         total[row["bucket"]] = np.log10(row["tokens"])
         unseen[row["bucket"]] = np.log10(discount * row["types"])
     facts = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = int(type_counts[0])
-    transitions, emissions = probabilities(matrix, classes, type_counts, 1 + len(vocabulary.words))
     return Model(
-        vocabulary, classes, transitions, emissions, total, unseen, discount, (facts["n"] or 0) + ends,
+        vocabulary, classes, matrix, tokens, total, unseen, discount, (facts["n"] or 0) + ends,
         facts["v"] + (1 if ends else 0), ends, likelihoods,
     )
 
 
-def text_parts(text: Column, model: Model) -> Column:
-    """What the model alone knows of a text, and its rarer words to be joined with the counts."""
-    kind = "n_tokens long, known long, score double, base double, w array<long>, bucket array<short>, n array<int>"
-    counts = np.log10(np.concatenate(([0], model.vocabulary.counts)) + 1.0)
-    n_frequent = len(model.vocabulary.words)
+def best_classes(after: np.ndarray, before: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """For each word (row), the class where the likelihood gains most by its contexts. The last class is that of the ends."""
+    last = matrix.shape[0] - 1
+    logs = transition_table(matrix) * np.log(10)
+    sizes, counts = matrix.sum(axis=0)[:last], after.sum(axis=1, keepdims=True)
+    gain = before @ logs[:, :last] + after @ logs[:last].T
+    return np.argmax(gain - (phi(sizes + counts) - phi(sizes)), axis=1)
+
 
-    @F.pandas_udf(kind)
-    def parts(texts: pd.Series) -> pd.DataFrame:
+def word_classes(sequences: DataFrame, model: Model, min_count: int) -> DataFrame:
+    """w, c, class: the words that are not frequent, with the class of those seen ``min_count`` times (-1: too rare)."""
+    classes, first_bucket, matrix, n = model.classes, model.first_bucket, model.matrix, model.matrix.shape[0]
+
+    def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), TEXTS_AT_ONCE):
+                texts = batch.iloc[start : start + TEXTS_AT_ONCE]
+                cur, rare, listed = types_of(texts, first_bucket)
+                own = classes[cur]
+                # an end stands before the first word and after each last one
+                around = (np.where(rare > 0, own[rare - 1], n - 1) * n + own[np.minimum(rare + 1, len(own) - 1)]).astype("<u2")
+                words = np.concatenate(list(texts["w"]))[listed]
+                order = np.argsort(words, kind="stable")
+                words, around = words[order], around[order]
+                edges = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1]))) if len(words) else np.zeros(0, int)
+                bounds = np.append(edges, len(words))
+                packed = [around[bounds[i] : bounds[i + 1]].tobytes() for i in range(len(edges))]
+                yield pd.DataFrame({"w": words[edges], "around": packed})
+
+    def chosen(words: np.ndarray, packed: list[bytes]) -> pd.DataFrame:
+        edges = np.concatenate(([True], words[1:] != words[:-1]))
+        word = np.repeat(np.cumsum(edges) - 1, [len(one) // 2 for one in packed])
+        around = np.frombuffer(b"".join(packed), "<u2").astype(np.int64)
+        n_words = int(edges.sum())
+        after = np.bincount(word * n + around % n, minlength=n_words * n).reshape(n_words, n)
+        before = np.bincount(word * n + around // n, minlength=n_words * n).reshape(n_words, n)
+        c = after.sum(axis=1)
+        best = np.full(n_words, -1)
+        often = c >= min_count
+        best[often] = best_classes(after[often], before[often], matrix)
+        return pd.DataFrame({"w": words[edges], "c": c, "class": best})
+
+    def assigned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # rows come sorted; the last word of a batch may go on in the next one
+        words, packed = np.zeros(0, np.int64), []
+        for batch in batches:
+            words, packed = np.concatenate((words, batch["w"].to_numpy())), packed + list(batch["around"])
+            whole = int(np.searchsorted(words, words[-1])) if len(words) else 0
+            if whole:
+                yield chosen(words[:whole], packed[:whole])
+                words, packed = words[whole:], packed[whole:]
+        if packed:
+            yield chosen(words, packed)
+
+    rows = sequences.select("types", "w", "bucket").mapInPandas(contexts, "w long, around binary")
+    return rows.repartition("w").sortWithinPartitions("w").mapInPandas(assigned, "w long, c long, class short")
+
+
+def resolved_column(model: Model) -> Column:
+    """Of a laid-out text with the counts and classes of its rarer words (``place`` in the list, ``c`` and ``class``):
+    the classes of its tokens, and what hangs on no class: known tokens, base score, the emissions before they are
+    divided by the sizes of the classes."""
+    n_frequent, first_bucket = len(model.vocabulary.words), model.first_bucket
+    counts = np.concatenate(([0], model.vocabulary.counts)).astype(float)
+    own, base = np.log10(np.maximum(counts, 1)), np.log10(counts + 1)
+    own[0] = np.log10(model.ends + HALF)
+    bucket_own = np.log10(model.bucket_tokens + HALF) - model.bucket_total
+
+    @F.pandas_udf("n_tokens long, known long, base double, own double, classes binary")
+    def resolved(types: pd.Series, buckets: pd.Series, places: pd.Series, cs: pd.Series, classes: pd.Series) -> pd.DataFrame:
         rows = []
-        for text in texts:
-            words, buckets = words_and_buckets(text, model.vocabulary.buckets)
-            types = model.vocabulary.types(words, buckets)
-            common = types <= n_frequent
-            rare = ~common
-            score = model.text_score(np.append(types, 0)) - model.bucket_total[buckets[rare]].sum()
-            unique, first, times = np.unique(words[rare], return_index=True, return_counts=True)
+        for text, bucket, place, c, k in zip(types, buckets, places, cs, classes):
+            text, bucket = np.frombuffer(text, "<i4"), np.frombuffer(bucket, "<i2")
+            seen, group = np.zeros(len(bucket), np.int64), np.full(len(bucket), -1)
+            if place is not None:
+                seen[place], group[place] = c, k
+            single = group < 0
+            emitted = np.log10(np.maximum(seen - np.where(single, model.discount, 0), 0.01))
+            emitted = np.where(seen > 0, emitted, model.bucket_unseen[bucket]) + np.where(single, bucket_own[bucket], 0)
+            group = np.where(single, model.classes[first_bucket + bucket], group)
+            rare, common = -1 - text[text < 0], text[text >= 0]
+            kinds = np.zeros(len(text), "u1")
+            kinds[text < 0], kinds[text >= 0] = group[rare], model.classes[common]
+            known = int((common > 0).sum()) + int((seen[rare] > 0).sum())
             rows.append((
-                len(words) + 1, int(common.sum()), score, float(counts[types[common]].sum()), unique, buckets[rare][first],
-                times.astype(np.int32),
+                len(text), known, float(base[common].sum() + np.log10(seen[rare] + 1).sum()),
+                float(own[common].sum() + emitted[rare].sum()), kinds.tobytes(),
             ))
-        return pd.DataFrame(rows, columns=[name.split()[0] for name in kind.split(", ")])
+        return pd.DataFrame(rows, columns=["n_tokens", "known", "base", "own", "classes"])
+
+    return resolved("types", "bucket", "place", "c", "class")
+
+
+def class_bigrams(texts: DataFrame, n: int) -> np.ndarray:
+    """How often each class follows each, in the texts' ``classes``."""
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(n * n, np.int64)
+        for batch in batches:
+            for start in range(0, len(batch), TEXTS_AT_ONCE):
+                cur = np.frombuffer(b"".join(batch["classes"].iloc[start : start + TEXTS_AT_ONCE]), "u1").astype(np.int64)
+                total += np.bincount(np.concatenate(([n - 1], cur[:-1])) * n + cur, minlength=n * n)
+        used = np.flatnonzero(total)
+        yield pd.DataFrame({"pair": used, "c": total[used]})
+
+    pairs = texts.select("classes").mapInPandas(counted, "pair long, c long").groupBy("pair").agg(F.sum("c").alias("c"))
+    matrix = np.zeros(n * n)
+    for pair, c in pairs.collect():
+        matrix[pair] = c
+    return matrix.reshape(n, n)
+
+
+def score_column(model: Model, matrix: np.ndarray) -> Column:
+    """log10 probability of a resolved text."""
+    n = matrix.shape[0]
+    transitions = transition_table(matrix)
+    sizes = matrix.sum(axis=0) + HALF * np.bincount(model.classes[model.first_bucket :], minlength=n)
+    sizes[-1] += HALF
+    steps = (transitions - np.log10(np.maximum(sizes, 1e-300))).ravel()
+
+    @F.pandas_udf("double")
+    def scored(classes: pd.Series, own: pd.Series) -> pd.Series:
+        sums = []
+        for text in classes:
+            cur = np.frombuffer(text, "u1").astype(np.int64)
+            sums.append(steps[np.concatenate(([n - 1], cur[:-1])) * n + cur].sum())
+        return own + np.array(sums, float)
 
-    return parts(text)
+    return scored("classes", "own")
 
 
 def scores(
     docs: DataFrame, in_training: Column, id_column: str = "doc_id", text_column: str = "text", frequent: int = FREQUENT,
-    buckets: int = BUCKETS, n_classes: int = CLASSES, rounds: int = ROUNDS,
+    buckets: int = BUCKETS, n_classes: int = CLASSES, rounds: int = ROUNDS, min_count: int = MIN_COUNT,
 ) -> DataFrame:
     """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity."""
+    if not 0 < n_classes < 256:
+        raise ValueError("classes are stored as bytes: 1 to 255")
     work = Workspace(docs.sparkSession, "brown-lm")
-    spark = docs.sparkSession
     training = docs.where(in_training).select(F.col(text_column).alias("text"))
     counts = work.keep(count_words(training, buckets), "counts")
-    model = train(training, counts, frequent, buckets, n_classes, rounds, work)
+    vocabulary = frequent_words(counts, frequent, min_count, buckets)
     rows = docs.select(
         F.monotonically_increasing_id().alias("uid"), F.col(id_column).alias("id"), (~in_training).alias("held_out"),
-        text_parts(F.col(text_column), model).alias("p"),
+        layout(F.col(text_column), vocabulary).alias("p"),
     )
-    rows = work.keep(rows.select("uid", "id", "held_out", "p.*"), "parts")
-    rare = rows.select("uid", F.explode(F.arrays_zip("w", "bucket", "n")).alias("r")).select("uid", "r.*")
-    # a row per bucket: bounded, so every task may have it
-    unseen = spark.createDataFrame(
-        pd.DataFrame({"bucket": np.arange(buckets, dtype=np.int16), "unseen": model.bucket_unseen}), "bucket short, unseen double"
-    )
-    held = rare.join(F.broadcast(unseen), "bucket").select("uid", "w", "n", "unseen")
-    held = held.join(counts.select("w", "c"), "w", "left")
-    known = F.col("c").isNotNull()
-    sums = held.groupBy("uid").agg(
-        F.sum(F.when(known, F.col("n")).otherwise(0)).alias("known_more"),
-        F.sum(F.col("n") * F.when(known, F.log10(F.col("c") - model.discount)).otherwise(F.col("unseen"))).alias("more"),
-        F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("base_more"),
-    )
+    rows = work.keep(rows.select("uid", "id", "held_out", "p.*"), "layout")
+    sequences = rows.where("NOT held_out")
+    model = train(sequences, counts, vocabulary, n_classes, rounds, min_count, work.release)
+    work.drop(counts)
+    words = work.keep(word_classes(sequences, model, min_count), "words")
+    work.release()
+    rare = rows.select("uid", F.posexplode("w").alias("place", "w")).join(words, "w")
+    found = rare.groupBy("uid").agg(*(F.collect_list(name).alias(name) for name in ("place", "c", "class")))
+    texts = rows.drop("w").join(found, "uid", "left").select("id", "held_out", resolved_column(model).alias("r"))
+    texts = work.keep(texts.select("id", "held_out", "r.*"), "classes")
+    work.drop(rows, words)
+    del rare, found
+    work.release()
+    matrix = class_bigrams(texts.where("NOT held_out"), n_classes + 1)
     n, v = model.train_tokens, model.train_types
     end_base = float(np.log10(model.ends + 1))
-    score = F.col("score") + F.coalesce("more", F.lit(0.0))
-    return rows.drop("w", "bucket", "n").join(sums, "uid", "left").select(
-        "id", "held_out", "n_tokens",
-        (F.col("known") + F.coalesce("known_more", F.lit(0)) + F.lit(1 if model.ends else 0)).cast("long").alias("n_known"),
+    rows = texts.withColumn("score", score_column(model, matrix))
+    return rows.select(
+        "id", "held_out", "n_tokens", (F.col("known") + F.lit(1 if model.ends else 0)).cast("long").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("base_more", F.lit(0.0)) + end_base - F.col("n_tokens") * float(np.log10(n + v + 1))).alias("base_score"),
-        score.alias("score"), F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"),
+        (F.col("base") + end_base - F.col("n_tokens") * float(np.log10(n + v + 1))).alias("base_score"),
+        "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
     )

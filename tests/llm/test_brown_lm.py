@@ -9,7 +9,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from goldleaf.llm.brown_lm import Vocabulary, bigram_likelihood, exchange, probabilities, scores, words_and_buckets
+from goldleaf.llm.brown_lm import (
+    Vocabulary, bigram_likelihood, count_words, exchange, frequent_words, layout, probabilities, scores, train, word_classes,
+    words_and_buckets,
+)
 from goldleaf.llm.catalog import QUERIES
 from tests.llm.helpers import SMALL, documents, edge_rows, empty_documents, words
 
@@ -109,3 +112,33 @@ def test_edge_cases(spark):
     none = scores(docs, F.lit(False)).collect()
     assert all(row["n_known"] == 0 and row["train_tokens"] == 0 and math.isfinite(row["score"]) for row in none)
     assert scores(empty_documents(spark), F.lit(True)).count() == 0
+
+
+def test_words_that_are_not_exchanged_have_classes_too(spark):
+    """With twelve exchanged words of 32, most words choose their class by their contexts, and order still matters."""
+    texts = template_texts(300)
+    rng = random.Random(1)
+    shuffled = []
+    for text in template_texts(40, 9):
+        found = text.split()
+        rng.shuffle(found)
+        shuffled.append(" ".join(found))
+    rows = [(i, text) for i, text in enumerate(texts)]
+    rows += [(1000 + i, text) for i, text in enumerate(template_texts(40, 9))] + [(2000 + i, text) for i, text in enumerate(shuffled)]
+    docs = documents(spark, rows).repartition(3)
+    found = scores(docs, F.col("doc_id") < 1000, n_classes=8, buckets=4, frequent=12).collect()
+    right = np.mean([row["score"] for row in found if 1000 <= row["id"] < 2000])
+    wrong = np.mean([row["score"] for row in found if row["id"] >= 2000])
+    assert right > wrong + 3
+
+
+def test_every_word_seen_often_enough_has_a_class(spark):
+    rows = [(i, " ".join(f"w{(i + k) % 50}" for k in range(20))) for i in range(100)] + [(500, "once twice twice")]
+    texts = documents(spark, rows).select("text")
+    counts = count_words(texts, 4)
+    vocabulary = frequent_words(counts, 5, 3, 4)
+    sequences = texts.select(layout(F.col("text"), vocabulary).alias("p")).select("p.*").cache()
+    model = train(sequences, counts, vocabulary, 6, 2, 3)
+    found = word_classes(sequences, model, 3).collect()
+    assert len(found) == 47 and sorted(row["c"] for row in found if row["class"] < 0) == [1, 2]
+    assert all(row["c"] == 40 and row["class"] < 6 for row in found if row["class"] >= 0)
