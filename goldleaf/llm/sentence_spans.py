@@ -1,8 +1,13 @@
 """Substring deduplication by sliding sentence spans.
 
-A sentence ends with a word that ends in ``.``, ``!`` or ``?`` (closing quotes and brackets may follow) or at a
-line feed. Sentences of more than ``LONG`` words are cut after commas, semicolons and colons too, so a passage
-that begins or ends inside a long sentence is still met by whole parts of it. A span is a run of consecutive sentences of at least ``min_words`` words: from every sentence the
+A sentence ends with a word that ends in ``.``, ``!``, ``?`` or a mark like these of another script (``MARKS``; a closing
+quote or bracket may follow) or at a line feed. Sentences of more than ``LONG`` words are cut after commas, semicolons
+and colons too (``PAUSES``).
+
+Sentences that are still longer are searched in smaller *parts*: they are cut after words that their own hash chooses,
+one in eight, then one in two where that leaves more than ``LONG`` words, then after every word (a run of one word). Both
+copies of a passage are so cut alike, wherever they stand, and all of it is met but for its ends. A sentence counts as
+removed when all its parts are. In what follows, a sentence that is cut is its parts. A span is a run of consecutive sentences of at least ``min_words`` words: from every sentence the
 shortest such run forwards, and to every sentence the shortest one backwards, so the last sentences of a
 repeated passage are covered as well as the first. Only a sentence that has as many words alone is a run by
 itself. White space does not count; words must agree exactly.
@@ -29,12 +34,29 @@ from goldleaf.llm.words import located_words, run_hashes, text_bytes
 
 MIN_WORDS = 15
 LONG = 20
-_MARKS = np.zeros(256, bool)
-_MARKS[[ord(mark) for mark in ".!?"]] = True
-_PAUSES = np.zeros(256, bool)
-_PAUSES[[ord(mark) for mark in ",;:"]] = True
-_CLOSING = np.zeros(256, bool)
-_CLOSING[[ord(mark) for mark in "\"')]"]] = True
+# ends of sentences, pauses inside them, and what may follow an end
+MARKS = ".!?\u3002\uff0e\uff01\uff1f\uff61\u0964\u0965\u061f\u06d4\u2026\u203c\u2047\u2048\u2049\u0589\u1362\u1367\u104b\u17d4\u037e"
+PAUSES = ",;:\uff0c\u3001\uff1b\uff1a\uff64\u060c\u061b\u1363\u1364\u1365"
+CLOSING = "\"')]\u201d\u2019\u00bb\u203a\u300d\u300f\uff09\u3011\u300b"
+
+
+def ending(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, marks: str) -> np.ndarray:
+    """Bytes of the mark that each word, from ``starts`` to ``ends``, ends with; 0 without one."""
+    ascii_marks = np.zeros(256, bool)
+    ascii_marks[[ord(mark) for mark in marks if mark < "\x80"]] = True
+    empty = ends <= starts
+    last = data[np.maximum(ends, starts + 1) - 1]
+    found = np.where(ascii_marks[last] & ~empty, 1, 0)
+    others = np.flatnonzero((last >= 0x80) & ~empty)
+    if len(others):
+        at, room = ends[others], (ends - starts)[others]
+        codes = {size: [int.from_bytes(mark.encode(), "big") for mark in marks if len(mark.encode()) == size] for size in (2, 3)}
+        for size, wanted in codes.items():
+            value = np.zeros(len(others), np.int64)
+            for back in range(size, 0, -1):
+                value = value << 8 | data[np.maximum(at - back, 0)]
+            found[others[(room >= size) & np.isin(value, wanted)]] = size
+    return found
 
 
 def sentences(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -42,22 +64,35 @@ def sentences(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends, words = located_words(data)
     if not len(words):
         return np.zeros(1, np.int64), starts, words
-    tail, before = data[ends - 1], data[np.maximum(ends - 2, starts)]
-    closes = _MARKS[tail] | (_CLOSING[tail] & _MARKS[before])
+    closing = ending(data, starts, ends, CLOSING)
+    closes = (ending(data, starts, ends, MARKS) > 0) | ((closing > 0) & (ending(data, starts, ends - closing, MARKS) > 0))
     feeds = np.concatenate(([0], np.cumsum(data == 10)))
     closes[:-1] |= feeds[starts[1:]] > feeds[ends[:-1]]
     closes[-1] = True
     first_words = np.concatenate(([0], np.flatnonzero(closes) + 1))
     sizes = np.diff(first_words)
     if sizes.max() > LONG:
-        closes |= np.repeat(sizes > LONG, sizes) & _PAUSES[tail]
+        closes |= np.repeat(sizes > LONG, sizes) & (ending(data, starts, ends, PAUSES) > 0)
         first_words = np.concatenate(([0], np.flatnonzero(closes) + 1))
     return first_words, starts, words
 
 
+def parts(first_words: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """First word of each part (and, last, the number of words)."""
+    sizes = np.diff(first_words)
+    for chosen in (1, 4, 8):
+        if not len(sizes) or sizes.max() <= LONG:
+            break
+        cut = np.repeat(sizes > LONG, sizes) & (words >> np.uint64(20) & np.uint64(7) < np.uint64(chosen))
+        first_words = np.union1d(first_words, np.flatnonzero(cut) + 1)
+        sizes = np.diff(first_words)
+    return first_words
+
+
 def spans(text: str | None, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each span, and its place: see ``unpacked``."""
     first_words, _, words = sentences(text_bytes(text))
+    first_words = parts(first_words, words)
     n = len(first_words) - 1
     if n == 0 or first_words[-1] < min_words:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -76,7 +111,7 @@ def spans(text: str | None, min_words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def unpacked(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First sentence and the one after the last. The lowest bit says that the text had the same span before."""
+    """First part and the one after the last. The lowest bit says that the text had the same span before."""
     return places >> 32, places >> 1 & 0x7FFFFFFF
 
 
@@ -91,8 +126,9 @@ def span_column(text: Column, min_words: int) -> Column:
 def without(text: str | None, places: np.ndarray) -> tuple[str, int, int, int, int]:
     """The text without the covered sentences; sentences and words it had; those removed."""
     data = text_bytes(text)
-    first_words, starts, _ = sentences(data)
-    n = len(first_words) - 1
+    whole, starts, words = sentences(data)
+    first_words = parts(whole, words)
+    n, n_sentences = len(first_words) - 1, len(whole) - 1
     first, after = unpacked(places)
     depth = np.zeros(n + 1, np.int64)
     np.add.at(depth, first, 1)
@@ -100,11 +136,12 @@ def without(text: str | None, places: np.ndarray) -> tuple[str, int, int, int, i
     gone = np.cumsum(depth)[:n] > 0
     sizes = np.diff(first_words)
     if not gone.any():
-        return text or "", n, int(first_words[-1]), 0, 0
+        return text or "", n_sentences, int(first_words[-1]), 0, 0
     bounds = np.concatenate((starts[first_words[:-1]], [len(data)]))
     bounds[0] = 0
     kept = b"".join(data[bounds[i] : bounds[i + 1]].tobytes() for i in np.flatnonzero(~gone))
-    return kept.decode("utf-8", "surrogatepass"), n, int(first_words[-1]), int(gone.sum()), int(sizes[gone].sum())
+    left = np.add.reduceat(~gone, np.searchsorted(first_words, whole[:-1]), dtype=np.int64)
+    return kept.decode("utf-8", "surrogatepass"), n_sentences, int(whole[-1]), int((left == 0).sum()), int(sizes[gone].sum())
 
 
 def cleaned_column(text: Column, marked: Column) -> Column:

@@ -96,3 +96,21 @@ def test_edge_cases(spark):
     assert left == [False, False, True]  # the first stored row of the three equal ones keeps its text
     assert {row["clean_text"] for row in found if row["id"] in (1, 2)} == {""}
     assert deduplicated(empty_documents(spark)).count() == 0
+
+
+def test_passages_in_lines_without_marks(spark):
+    def bare(seed, n):
+        return prose(seed, n).replace(".", "")
+
+    passage = bare(7, 60)
+    rows = [(k, f"{bare(k, 300)} {passage} {bare(k + 50, 300)}") for k in (1, 2)] + [(k, "hm " * (100 + k)) for k in (3, 4)]
+    found = {row["id"]: row for row in deduplicated(documents(spark, rows)).collect()}
+    assert found[1]["removed_words"] == 0 and 30 <= found[2]["removed_words"] <= 60
+    assert found[2]["n_sentences"] == 1 and found[2]["removed_sentences"] == 0
+    assert found[4]["removed_words"] == 104 and found[4]["removed_sentences"] == 1
+
+
+def test_marks_of_other_scripts(spark):
+    for mark in ("。", "।", "؟", ".”", "。」", "?)"):
+        text = " ".join(f"w{k}{mark if k % 5 == 4 else ''}" for k in range(20))
+        assert deduplicated(documents(spark, [(1, text)])).first()["n_sentences"] == 4
