@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from goldleaf.operators.splitting import split_rows
 from goldleaf.plans import champion, inference_log, monitoring, scoring, training, trip_features
+from goldleaf.plans.tracked import overwrite_tracked
 from goldleaf.schemas import FEATURE_COLUMNS, LABEL, PAYLOAD_LOG, TRIPS, require_columns
 from goldleaf.sources.tables import Layout, append_table, create_schema, discarding, overwrite_table, stored
 
@@ -33,6 +34,8 @@ LAYOUTS = {
     "monitor_drift_numeric": Layout("Drift of numbers per day and model", _METRIC, gather_by=("day",)),
     "monitor_drift_categorical": Layout("Drift of categories per day and model", _METRIC, gather_by=("day",)),
 }
+# What identifies a row of a tracked table; the fare only where every different fare has a row.
+TRACKED_KEYS = {"inference_processed": ("example_id", LABEL)}
 
 
 @dataclass(frozen=True)
@@ -44,8 +47,12 @@ class Place:
     folder: str
 
     def store(self, name: str, df: DataFrame, layout: Layout = Layout()) -> DataFrame:
+        """Replace a table; what changed in a tracked one goes to ``<name>_changes``."""
         create_schema(self.spark, self.schema, self.folder)
-        return overwrite_table(df, f"{self.schema}.{name}", f"{self.folder}/{name}", layout)
+        place = (f"{self.schema}.{name}", f"{self.folder}/{name}", layout)
+        if layout.properties.get("changes") == "tracked":
+            return overwrite_tracked(df, *place, TRACKED_KEYS[name])
+        return overwrite_table(df, *place)
 
     def append(self, name: str, df: DataFrame) -> DataFrame:
         create_schema(self.spark, self.schema, self.folder)

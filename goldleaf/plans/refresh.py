@@ -3,15 +3,14 @@
 Cleaned sales feed five gold tables, so they are computed and checked once and read back, column
 by column, from their own table.
 
-Beside its twelve datasets a refresh appends to two kinds of tables: ``quality_report``, a line per
+Beside its twelve datasets a refresh adds to two kinds of tables: ``quality_report``, a line per
 dataset and rule with the rows that passed and failed, and ``<name>_changes`` for each table marked as
 tracked, what turned its last snapshot into the new one (nothing on the first refresh).
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -21,10 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldleaf.operators import expectations
-from goldleaf.operators.audit import INGESTED_AT
-from goldleaf.operators.changes import snapshot_changes
 from goldleaf.plans import bronze, gold, silver
-from goldleaf.sources.tables import Layout, append_table, create_schema, overwrite_table, remove_folder
+from goldleaf.plans.tracked import REFRESHED_AT, overwrite_tracked
+from goldleaf.sources.tables import Layout, append_table, create_schema, overwrite_table
 
 BRONZE = {"quality": "bronze"}
 SILVER = {"quality": "silver", "changes": "tracked"}
@@ -65,7 +63,6 @@ CHECKS = {
     "silver_franchises": ("bronze_franchises", expectations.FRANCHISE_RULES, "warn"),
 }
 QUALITY_REPORT = "quality_report"
-REFRESHED_AT = "refreshed_at"
 
 
 @dataclass(frozen=True)
@@ -85,8 +82,7 @@ def refresh_sales(
 ) -> dict[str, DataFrame]:
     """Recompute all twelve datasets as tables of ``schema`` and return them by name.
 
-    Snapshots of tracked tables are stored aside first and compared with the table they replace; a
-    refresh that fails before that leaves the table and its changes as they were.
+    Each table is replaced when its new version is complete; a refresh that fails leaves the others as they were.
     """
     create_schema(spark, schema, folder)
     now = datetime.now(timezone.utc)
@@ -95,24 +91,15 @@ def refresh_sales(
     def append(name: str, df: DataFrame) -> None:
         append_table(df.withColumn(REFRESHED_AT, F.lit(now)), f"{schema}.{name}", f"{folder}/{name}")
 
-    def stored_aside(df: DataFrame, name: str) -> DataFrame:
-        place = f"{folder}/_new/{name}-{uuid.uuid4().hex}"
-        aside.append(place)
-        df.write.parquet(place)
-        return spark.read.parquet(place)
-
-    aside: list[str] = []
-
     def store(**datasets: DataFrame) -> None:
         """Write the datasets of one step side by side, so that the last tasks of one do not
         leave the cluster idle."""
         def write(name: str) -> DataFrame:
             df, layout = datasets[name], layouts[name]
-            if layout.properties.get("changes") == "tracked" and spark.catalog.tableExists(f"{schema}.{name}"):
-                df = stored_aside(df, name)
-                changes = table_changes(spark.read.table(f"{schema}.{name}"), df, TRACKED_KEYS[name])
-                append(f"{name}_changes", changes)
-            return overwrite_table(df, f"{schema}.{name}", f"{folder}/{name}", layout)
+            place = (f"{schema}.{name}", f"{folder}/{name}", layout)
+            if layout.properties.get("changes") == "tracked":
+                return overwrite_tracked(df, *place, TRACKED_KEYS[name])
+            return overwrite_table(df, *place)
 
         with ThreadPoolExecutor(max_workers=len(datasets)) as writers:
             stored.update(zip(datasets, writers.map(write, datasets)))
@@ -133,8 +120,6 @@ def refresh_sales(
         for name, (source, rules, action) in CHECKS.items()
     ]
     append(QUALITY_REPORT, reduce(DataFrame.union, reports))
-    for place in aside:
-        remove_folder(spark, place)
     sales = stored["silver_transactions"]
     store(
         gold_daily_sales_summary=gold.daily_sales_summary(sales),
@@ -146,11 +131,6 @@ def refresh_sales(
     return stored
 
 
-def table_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Row-level changes without the time of ingestion, which every refresh sets anew."""
-    return snapshot_changes(before.drop(INGESTED_AT), after.drop(INGESTED_AT), keys)
-
-
 def row_counts(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per dataset, one line each. On stored tables only the file footers are read, and the
     counts stay exact when tasks are repeated."""
