@@ -3,10 +3,11 @@
 Texts are encoded in batches inside Arrow functions, and only the lengths come back. A batch holds about the same number
 of bytes whatever the texts are: texts longer than a piece are split first, at safe boundaries, and pieces are
 put together until a batch is full. So a worker holds the encodings of one batch at a time, a long text
-as little as many short ones.
+as little as many short ones. Inside a batch pieces are split at every safe boundary, and what is equal is encoded once; a
+worker keeps the lengths of a bounded number of short parts for its next batches.
 
-A boundary is safe where an ASCII letter or digit is followed by ASCII white space: the pre-tokenizers of the supported files
-(``.json``, BPE over words) end a word there, no character composes with one across it, and no special token
+A boundary is safe where a visible ASCII character is followed by ASCII white space: the pre-tokenizers of the supported
+files (``.json``, BPE over words) end a word there, no character composes with one across it, and no special token
 has white space inside. The white space goes to the later piece. A stretch without a boundary stays whole, however long.
 
 Null counts as empty: no bytes, no tokens. Empty texts have none either. Special tokens are neither added nor, where a
@@ -31,8 +32,12 @@ from goldleaf.llm.common import free_name
 # Bytes: texts of more are split into pieces of about this size, and pieces are encoded in batches of that size.
 PIECE = 1 << 16
 BATCH = 1 << 19
-BOUNDARY = re.compile(rb"[0-9A-Za-z](?=[\x20\x09-\x0D])")
+BOUNDARY = re.compile(rb"[\x21-\x7E](?=[\x20\x09-\x0D])")
+PARTS = re.compile(r"(?<=[\x21-\x7E])(?=[\x20\x09-\x0D])")
+# Parts whose lengths a worker keeps at most, and characters of such a part.
+KEPT, SHORT = 1 << 18, 64
 _loaded: dict[str, object] = {}
+_known: dict[str, dict[str, int]] = {}
 
 
 def tokenizer(vocabulary: str):
@@ -78,10 +83,20 @@ def batches(texts: Iterable[str], piece: int = PIECE, batch: int = BATCH) -> Ite
 
 def lengths(texts: list[str], vocabulary: str, piece: int = PIECE, batch: int = BATCH) -> np.ndarray:
     """The number of tokens of each text."""
-    encode = tokenizer(vocabulary).encode_batch_fast
+    encode, known = tokenizer(vocabulary).encode_batch_fast, _known.setdefault(vocabulary, {})
     out = np.zeros(len(texts), np.int64)
-    for owners, parts in batches(texts, piece, batch):
-        np.add.at(out, owners, [len(found) for found in encode(parts, add_special_tokens=False)])
+    for owners, whole in batches(texts, piece, batch):
+        split = [PARTS.split(part) for part in whole]
+        fresh = list(set().union(*split) - known.keys())
+        sizes = dict(zip(fresh, map(len, encode(fresh, add_special_tokens=False))))
+        if len(known) + len(fresh) > KEPT:
+            sizes.update((part, known[part]) for part in set().union(*split) & known.keys())
+            known.clear()
+        known.update(sizes)
+        np.add.at(out, owners, [sum(map(known.__getitem__, parts)) for parts in split])
+        for part in fresh:
+            if len(part) > SHORT:
+                del known[part]
     return out
 
 

@@ -49,6 +49,13 @@ def test_any_text_in_pieces(text):
     assert op.lengths([text], VOCABULARY, 1, 10).tolist() == [plain(text)]
 
 
+def test_a_full_store_of_parts_changes_nothing(monkeypatch):
+    monkeypatch.setattr(op, "KEPT", 50)
+    texts = [prose(seed, 200) + ODD for seed in range(30)] + ["long" * 100 + " b"] * 2
+    assert op.lengths(texts, VOCABULARY, 100, 1000).tolist() == [plain(text) for text in texts]
+    assert len(op._known[VOCABULARY]) <= 400 and max(map(len, op._known[VOCABULARY])) <= op.SHORT
+
+
 def test_pieces_join_to_the_text():
     text = ODD * 500
     parts = op.pieces(text, 1000)
