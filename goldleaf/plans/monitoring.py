@@ -39,15 +39,20 @@ def volume(predictions: DataFrame) -> DataFrame:
     return _by_day(predictions).groupBy("day", "model_id").agg(F.count(F.lit(1)).alias("inferences"))
 
 
+def _exact_sum(value: Column) -> Column:
+    """A sum that does not hang on the order of its rows, so that a repeated task moves no figure."""
+    return F.sum(value.cast("decimal(38,12)")).cast("double")
+
+
 def _label_spread(labels: DataFrame) -> DataFrame:
     """Number, mean and squared distances from the mean of the labels of each feature vector."""
     times, label = F.col(LABEL_COUNT), F.col(LABEL).cast("double")
     means = labels.groupBy(*FEATURE_COLUMNS).agg(
-        F.sum(times).alias("_labels"), (F.sum(times * label) / F.sum(times)).alias("_label_mean")
+        F.sum(times).alias("_labels"), (_exact_sum(times * label) / F.sum(times)).alias("_label_mean")
     )
     away = label - F.col("_label_mean")
     return labels.join(means, list(FEATURE_COLUMNS)).groupBy(*FEATURE_COLUMNS, "_labels", "_label_mean").agg(
-        F.sum(times * away * away).alias("_label_spread")
+        _exact_sum(times * away * away).alias("_label_spread")
     )
 
 
@@ -58,9 +63,9 @@ def _label_errors(guesses: DataFrame, labels: DataFrame) -> DataFrame:
     times = F.col(LABEL_COUNT)
     relative = label != 0
     sums = guesses.join(labels, list(FEATURE_COLUMNS)).groupBy(*FEATURE_COLUMNS, PREDICTION).agg(
-        F.sum(times * F.abs(error)).alias("_abs"),
-        F.sum(times * error * error).alias("_squares"),
-        F.sum(F.when(relative, times * F.abs(error) / F.abs(label)).otherwise(0.0)).alias("_relative"),
+        _exact_sum(times * F.abs(error)).alias("_abs"),
+        _exact_sum(times * error * error).alias("_squares"),
+        _exact_sum(F.when(relative, times * F.abs(error) / F.abs(label)).otherwise(0.0)).alias("_relative"),
         F.sum(F.when(relative, times).otherwise(0)).alias("_relative_labels"),
     )
     return sums.join(_label_spread(labels), list(FEATURE_COLUMNS))
@@ -97,14 +102,14 @@ def quality_against(predictions: DataFrame, labels: DataFrame) -> DataFrame:
     def total(name: str) -> Column:
         return F.sum(F.col("_asked") * F.col(name))
 
-    parts = ("_abs", "_squares", "_relative", "_relative_labels")
     sums = answered.groupBy(*day).agg(
-        total("_labels").alias("labeled"), *(total(name).alias(name) for name in parts),
-        (F.sum(F.col("_asked") * F.col("_labels") * F.col("_label_mean")) / total("_labels")).alias("_mean"),
+        total("_labels").alias("labeled"), total("_relative_labels").alias("_relative_labels"),
+        *(_exact_sum(F.col("_asked") * F.col(name)).alias(name) for name in ("_abs", "_squares", "_relative")),
+        (_exact_sum(F.col("_asked") * F.col("_labels") * F.col("_label_mean")) / total("_labels")).alias("_mean"),
     )
     away = F.col("_label_mean") - F.col("_mean")
     spread = answered.join(sums.select(*day, "_mean"), day).groupBy(*day).agg(
-        F.sum(F.col("_asked") * (F.col("_label_spread") + F.col("_labels") * away * away)).alias("_spread")
+        _exact_sum(F.col("_asked") * (F.col("_label_spread") + F.col("_labels") * away * away)).alias("_spread")
     )
     size = F.col("labeled").cast("double")
     mse = F.col("_squares") / size

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -26,6 +28,7 @@ PARAMETER_GRID = {"maxIter": (100, 200), "maxDepth": (3, 5, 7), "stepSize": (0.0
 FOLDS = 3
 SEED = 42
 
+TREES = "maxIter"
 RAW_PREDICTION = "prediction"
 FOLD = "_fold"
 
@@ -64,6 +67,20 @@ def fold_number(columns: Sequence[str], folds: int = FOLDS) -> Column:
     return (row_digest("fold", columns) % folds).cast("int")
 
 
+def staged_errors(
+    vectors: DataFrame, trees: GBTRegressor, settings: Mapping[str, float], most: int, fold: int
+) -> list[float]:
+    """Mean absolute error on a fold with 1, 2, ... ``most`` trees, fitted once on the other folds.
+
+    Boosting adds trees one after the other, and each hangs only on those before it. So the first n trees of a
+    longer fit are the fit with n trees, and one pass over the fold judges all of them.
+    """
+    estimator = trees.copy({trees.getParam(name): value for name, value in settings.items()})
+    model = estimator.setMaxIter(most).fit(vectors.where(F.col(FOLD) != fold))
+    errors = model.evaluateEachIteration(vectors.where(F.col(FOLD) == fold), "absolute")
+    return [math.inf if math.isnan(error) else error for error in errors]
+
+
 def search_fare_model(
     train: DataFrame,
     grid: Mapping[str, Sequence[float]] = PARAMETER_GRID,
@@ -75,35 +92,39 @@ def search_fare_model(
     """Gradient-boosted trees over the grid, chosen by cross-validated mean absolute error and
     refitted on all training rows. Rows with a missing input or label are left out of the fit.
 
+    Grid points that differ only in the number of trees share their fits: each fold is fitted once with the largest
+    number, and the smaller ones are judged as the first trees of that model (``staged_errors``).
+
     A row's fold is drawn from a digest of ``row_id``, so the winner does not hang on partitioning. The rows stay distributed. Vectors are assembled once and kept while the search runs; give
     it a stored feature table, so that a lost partition is read again with the same rows.
     """
-    ensure_checkpoints(train.sparkSession)
+    spark = train.sparkSession
+    ensure_checkpoints(spark)
     assembler = feature_vector()
     trees = GBTRegressor(labelCol=LABEL, featuresCol="features", predictionCol=RAW_PREDICTION, seed=seed)
-    points = ParamGridBuilder()
-    for name, values in grid.items():
-        points = points.addGrid(trees.getParam(name), list(values))
-    search = CrossValidator(
-        estimator=trees,
-        estimatorParamMaps=points.build(),
-        evaluator=RegressionEvaluator(labelCol=LABEL, predictionCol=RAW_PREDICTION, metricName="mae"),
-        numFolds=folds,
-        foldCol=FOLD,
-        seed=seed,
-        parallelism=parallelism,
-    )
+    numbers = list(grid.get(TREES, (trees.getMaxIter(),)))
+    others = [name for name in grid if name != TREES]
+    shared = [dict(zip(others, values)) for values in itertools.product(*(grid[name] for name in others))]
     known = trainable(train).withColumn(FOLD, fold_number(row_id, folds))
     vectors = assembler.transform(known).select("features", F.col(LABEL).cast("double").alias(LABEL), FOLD)
     vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fitted = search.fit(vectors)
+        with ThreadPoolExecutor(max_workers=parallelism) as workers:
+            fit = inheritable_thread_target(spark)(
+                lambda work: staged_errors(vectors, trees, work[0], max(numbers), work[1])
+            )
+            stages = list(workers.map(fit, [(settings, fold) for settings in shared for fold in range(folds)]))
+        scores = []
+        for number in numbers:
+            for place, settings in enumerate(shared):
+                errors = [stages[place * folds + fold][number - 1] for fold in range(folds)]
+                point = {TREES: number, **settings} if TREES in grid else settings
+                scores.append(({name: point[name] for name in grid}, sum(errors) / folds))
+        best = min(scores, key=lambda score: score[1])[0]
+        model = trees.copy({trees.getParam(name): value for name, value in best.items()}).fit(vectors)
     finally:
         vectors.unpersist()
-    settings = [{param.name: value for param, value in point.items()} for point in search.getEstimatorParamMaps()]
-    scores = list(zip(settings, fitted.avgMetrics))
-    best = min(scores, key=lambda score: score[1])[0]
-    return SearchResult(PipelineModel([assembler, fitted.bestModel]), best, scores)
+    return SearchResult(PipelineModel([assembler, model]), best, scores)
 
 
 def error_metrics(prediction: Column, label: Column) -> list[Column]:

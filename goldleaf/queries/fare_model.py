@@ -205,7 +205,7 @@ def _(spark, folder):
 
 
 # The whole shape of the grid, with fewer trees than the default grid for time's sake.
-QUERY_GRID = {**training.PARAMETER_GRID, "maxIter": (2, 4)}
+QUERY_GRID = {**training.PARAMETER_GRID, "maxIter": (5, 10)}
 _FOLD = "CAST('0x' || substr(md5('fold|' || CAST(trip_id AS VARCHAR)), 1, 8) AS BIGINT) % 3"
 
 

@@ -3,6 +3,9 @@ from datetime import datetime
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from goldleaf.functions.calendar import as_flag, is_rush_hour, is_weekend_day
@@ -76,6 +79,29 @@ def test_search_keeps_the_best_point(found):
     assert found.best["maxIter"] == 10
 
 
+def test_staged_search_is_the_plain_search(spark):
+    """Every point fitted by itself, fold by fold, gives the same errors and the same winner."""
+    rows = rides(spark, [(d / 4, 3 + 2.5 * d / 4 + (d * 7) % 5) for d in range(1, 161)])
+    grid = {"maxIter": (2, 5, 12), "maxDepth": (2, 4), "stepSize": (0.1, 0.4)}
+    staged = training.search_fare_model(rows, grid)
+    known = training.feature_vector().transform(rows.withColumn("_fold", training.fold_number([*FEATURE_COLUMNS, LABEL])))
+    trees = GBTRegressor(labelCol=LABEL, featuresCol="features", seed=training.SEED)
+    points = ParamGridBuilder()
+    for name, values in grid.items():
+        points = points.addGrid(trees.getParam(name), list(values))
+    judge = RegressionEvaluator(labelCol=LABEL, metricName="mae")
+    plain = CrossValidator(estimator=trees, estimatorParamMaps=points.build(), evaluator=judge, numFolds=3, foldCol="_fold", parallelism=4).fit(known)
+    expected = {
+        tuple(sorted((param.name, value) for param, value in point.items())): error
+        for point, error in zip(plain.getEstimatorParamMaps(), plain.avgMetrics)
+    }
+    found = {tuple(sorted(point.items())): error for point, error in staged.scores}
+    assert found.keys() == expected.keys() and len(found) == 12
+    assert all(found[point] == pytest.approx(expected[point], abs=1e-9) for point in expected)
+    assert tuple(sorted(staged.best.items())) == min(expected, key=expected.get)
+    assert staged.model.stages[-1].getNumTrees == staged.best["maxIter"]
+
+
 def test_model_behaves(spark, found):
     asked = rides(spark, [(1, 0), (2, 0), (5, 0), (12, 0), (15, 0)])
     scored = scoring.score_table(asked, found.model, "3")
