@@ -1,7 +1,12 @@
 """Quality by co-training: two views of a document teach each other.
 
 * The *text* view: hashed words as written, and the endings of words.
-* The *page* view: language and source, size, lines, and shares of capitals, digits, marks and repetition.
+* The *page* view: language and source, and the layout: size, lines, and shares of capitals, digits, marks and repetition.
+  The tables have no more page metadata than those two, so the layout is measured on the text: counts of bytes, lines, words
+  and different words, never which words they are.
+
+Both views of every document are computed once, as packed numbers in a stored table. Fits, rounds and final scores read that
+table, not the texts.
 
 Each view starts with a linear model on the labelled rows. In each round both models score every document
 without a label; each hands its most confident ones (``per_round`` of either kind, over all documents, and at
@@ -15,7 +20,7 @@ looked for among all documents.
 
 Null and empty texts have no words and page values of 0; null language or source is a value of its own. Labels
 that are null or whose document is missing are left out; of several labels of a document the highest counts, and
-of several rows of one identifier the one that sorts first is fitted. With labels of one kind, or none, models are constants and every document gets the same score.
+of several rows of one identifier the one whose views sort first is fitted. With labels of one kind, or none, models are constants and every document gets the same score.
 Repeated rows are scored each for itself; an empty table gives an empty result. Scores are columns, so other
 columns may have any name.
 """
@@ -43,6 +48,9 @@ SURE = 0.9
 TEXTS_AT_ONCE = 500
 ENDINGS = (2, 3)
 PAGE = 14
+# Packed views: text features, page features, page values.
+KINDS = {"text_view": np.int32, "named": np.int32, "values": np.float64}
+PACKED = "text_view binary, named binary, `values` binary"
 
 
 def text_view(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, distinct: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -152,63 +160,93 @@ def fit_pair(frame: pd.DataFrame) -> Pair:
     return Pair(*fitted, prior)
 
 
-def view_columns(text: Column, lang: Column, source: Column) -> Column:
-    @F.pandas_udf("text_view array<int>, named array<int>, `values` array<double>")
+def packed_views(text: Column, lang: Column, source: Column) -> Column:
+    """The three arrays of ``views`` as bytes; the text features, in rising order, as steps, which compress better."""
+
+    @F.pandas_udf(PACKED)
     def found(texts: pd.Series, langs: pd.Series, sources: pd.Series) -> pd.DataFrame:
-        rows = [views(*row) for row in zip(texts, langs, sources)]
-        return pd.DataFrame(rows, columns=["text_view", "named", "values"])
+        rows = [
+            (np.diff(text, prepend=np.int32(0)).tobytes(), named.tobytes(), values.tobytes())
+            for text, named, values in (views(*row) for row in zip(texts, langs, sources))
+        ]
+        return pd.DataFrame(rows, columns=list(KINDS))
 
-    return found(text, lang, source)
+    return found.asNondeterministic()(text, lang, source)
 
 
-def pair_scores(text: Column, lang: Column, source: Column, pair: Pair) -> Column:
+def unpack(name: str, data: bytes) -> np.ndarray:
+    values = np.frombuffer(data, KINDS[name])
+    return np.cumsum(values, dtype=np.int32) if name == "text_view" else values
+
+
+def unpacked(columns: list[pd.Series], part: slice = slice(None)) -> tuple[Rows, Rows]:
+    """Text rows and page rows from packed views."""
+    sets, named, dense = ([unpack(name, row) for row in column.iloc[part]] for name, column in zip(KINDS, columns))
+    return Rows.of(sets), Rows.of(named, np.array(dense, float).reshape(len(dense), PAGE))
+
+
+def view_scores(pair: Pair, *packed: Column) -> Column:
+    """Scores from packed views."""
     shared = pickle.dumps(pair)
 
     @F.pandas_udf("text double, page double, both double")
-    def scored(texts: pd.Series, langs: pd.Series, sources: pd.Series) -> pd.DataFrame:
+    def scored(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.DataFrame:
         model = pickle.loads(shared)
-        found = np.zeros((3, len(texts)))
-        for start in range(0, len(texts), TEXTS_AT_ONCE):  # a few texts' features at a time
+        found = np.zeros((3, len(a)))
+        for start in range(0, len(a), TEXTS_AT_ONCE):  # a few texts' features at a time
             part = slice(start, start + TEXTS_AT_ONCE)
-            rows = [views(*row) for row in zip(texts.iloc[part], langs.iloc[part], sources.iloc[part])]
-            dense = np.array([row[2] for row in rows]).reshape(len(rows), PAGE)
-            found[:, part] = model.probabilities(Rows.of([row[0] for row in rows]), Rows.of([row[1] for row in rows], dense))
+            found[:, part] = model.probabilities(*unpacked([a, b, c], part))
         return pd.DataFrame(dict(zip(("text", "page", "both"), found)))
 
-    return scored(text, lang, source)
+    return scored(*packed)
+
+
+def pair_scores(text: Column, lang: Column, source: Column, pair: Pair) -> Column:
+    """Scores of documents whose views are not stored."""
+    packed = packed_views(text, lang, source)
+    return view_scores(pair, *(packed[name] for name in KINDS))
 
 
 def fitted_pair(rows: DataFrame) -> Pair:
-    """Fit in one task. Rows: id, label, role, held, text, lang, source; their number is bounded by the caller."""
-    ready = rows.select("id", "label", "role", "held", view_columns(F.col("text"), F.col("lang"), F.col("source")).alias("v"))
+    """Fit in one task. Rows: id, label, role, held and packed views; their number is bounded by the caller."""
 
     def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         frames = list(batches)
         if frames:
-            yield pd.DataFrame({"model": [pickle.dumps(fit_pair(pd.concat(frames).sort_values(["id", "role"])))]})
+            frame = pd.concat(frames).sort_values(["id", "role"])
+            for name in KINDS:
+                frame[name] = [unpack(name, row) for row in frame[name]]
+            yield pd.DataFrame({"model": [pickle.dumps(fit_pair(frame))]})
 
-    model = ready.select("id", "label", "role", "held", "v.*").repartition(1).mapInPandas(fitted, "model binary").first()
+    model = rows.select("id", "label", "role", "held", *KINDS).repartition(1).mapInPandas(fitted, "model binary").first()
     if model:
         return pickle.loads(model[0])
-    none = pd.DataFrame({name: [] for name in ("id", "text_view", "named", "values", "label", "role", "held")})
+    none = pd.DataFrame({name: [] for name in ("id", *KINDS, "label", "role", "held")})
     return fit_pair(none.astype({"label": int, "role": int, "held": bool}))
 
 
-def cotrain(
+def most_confident(scored: DataFrame, view: str, label: int, sure: float, per_round: int) -> DataFrame:
+    """The documents that a view is most sure of, ties by digest."""
+    p = F.col(view) if label else 1 - F.col(view)
+    return scored.where(p >= sure).orderBy(p.desc(), "digest").limit(per_round)
+
+
+def cotrained(
     docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, per_round: int = PER_ROUND, sure: float = SURE,
     max_rows: int = MAX_ROWS, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
     source_column: str = "source", label_column: str = "quality",
-) -> Pair:
-    """Both views after the last round, calibrated. The models (a few thousand weights) come to the driver."""
+) -> tuple[Pair, DataFrame]:
+    """Both views after the last round, calibrated, and the stored views of all documents beside their ``id``.
+
+    The models (a few thousand weights) come to the driver.
+    """
     work = Workspace(docs.sparkSession, "cotraining")
     known = labels.where(F.col(id_column).isNotNull() & F.col(label_column).isNotNull())
     known = known.groupBy(F.col(id_column).alias("id")).agg(F.max(label_column).cast("int").alias("label"))
-    texts = docs.select(
-        F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang"),
-        F.col(source_column).cast("string").alias("source"),
-    )
+    packed = packed_views(F.col(text_column), F.col(lang_column).cast("string"), F.col(source_column).cast("string"))
+    seen = work.keep(docs.select(F.col(id_column).alias("id"), packed.alias("v")).select("id", "v.*"), "views")
     digest = F.md5(F.col("id").cast("string"))
-    present = known.join(docs.select(F.col(id_column).alias("id")).distinct(), "id", "left_semi")
+    present = known.join(seen.select("id").distinct(), "id", "left_semi")
     chosen = present.orderBy(digest).limit(max_rows).select(
         "id", "label", F.lit(0).alias("role"), (F.pmod(F.xxhash64(digest), F.lit(4)) == 0).alias("held"),
         F.lit(-1).alias("turn"),
@@ -217,24 +255,22 @@ def cotrain(
     def fit_on(ids: DataFrame) -> Pair:
         # what the latest round says of a row counts
         latest = ids.groupBy("id", "role", "held").agg(F.max_by("label", "turn").alias("label"))
-        # a bounded number of short rows goes to every task, so only the texts that are fitted move
-        found = texts.join(F.broadcast(latest), "id")
+        # a bounded number of short rows goes to every task, so only the views that are fitted move
+        found = seen.join(F.broadcast(latest), "id")
         # of several rows of one identifier the one that sorts first
-        one = found.groupBy("id", "role", "held", "label").agg(F.min(F.struct("text", "lang", "source")).alias("d"))
+        one = found.groupBy("id", "role", "held", "label").agg(F.min(F.struct(*KINDS)).alias("d"))
         return fitted_pair(one.select("id", "role", "held", "label", "d.*"))
 
     pair = fit_on(chosen)
     given: list[DataFrame] = []
     for turn in range(rounds):
-        scored = texts.select("id", pair_scores(F.col("text"), F.col("lang"), F.col("source"), pair).alias("s"))
+        scored = seen.select("id", view_scores(pair, *(F.col(name) for name in KINDS)).alias("s"))
         scored = work.keep(scored.select("id", digest.alias("digest"), "s.text", "s.page"), "scored")
-        # labelled rows leave after scoring: joining slim rows is cheaper than moving texts
+        # labelled rows leave after scoring: joining slim rows is cheaper than moving views
         scored = work.keep(scored.where("id IS NOT NULL").join(known.select("id"), "id", "left_anti"), "pool")
         for view, role in (("page", 1), ("text", 2)):  # each view teaches the other
             for label in (0, 1):
-                p = F.col(view) if label else 1 - F.col(view)
-                best = scored.where(p >= sure).orderBy(p.desc(), "digest").limit(per_round)
-                best = best.select(
+                best = most_confident(scored, view, label, sure, per_round).select(
                     "id", F.lit(label).alias("label"), F.lit(role).alias("role"), F.lit(False).alias("held"), F.lit(turn).alias("turn")
                 )
                 given.append(work.keep(best, "taught"))
@@ -242,4 +278,15 @@ def cotrain(
         for part in given:
             rows = rows.union(part)
         pair = fit_on(rows)
-    return pair
+    return pair, seen
+
+
+def cotrain(docs: DataFrame, labels: DataFrame, **settings) -> Pair:
+    """The models alone, to score other documents with ``pair_scores``. Settings are those of ``cotrained``."""
+    return cotrained(docs, labels, **settings)[0]
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
+    """``id``, ``text``, ``page`` and ``both``: what the views, and both together, say of every document."""
+    pair, seen = cotrained(docs, labels, **settings)
+    return seen.select("id", view_scores(pair, *(F.col(name) for name in KINDS)).alias("s")).select("id", "s.*")

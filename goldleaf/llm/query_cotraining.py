@@ -6,16 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldleaf.llm.common import table
-from goldleaf.llm.cotraining import cotrain, pair_scores
+from goldleaf.llm.cotraining import quality_scores
 from goldleaf.llm.registry import query
 
 
 @query("op4_cotraining")
 def op4_cotraining(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    pair = cotrain(docs, table(spark, folder, "labels"))
-    scored = docs.select("doc_id", pair_scores(F.col("text"), F.col("lang"), F.col("source"), pair).alias("s"))
+    scored = quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return scored.select(
-        "doc_id", F.round("s.text", 6).alias("p_text"), F.round("s.page", 6).alias("p_page"),
-        F.round("s.both", 6).alias("p_quality"), (F.col("s.both") >= 0.5).alias("kept"),
-    )
+        F.col("id").alias("doc_id"), F.round("text", 6).alias("p_text"), F.round("page", 6).alias("p_page"),
+        F.round("both", 6).alias("p_quality"), (F.col("both") >= 0.5).alias("kept"),
+    )

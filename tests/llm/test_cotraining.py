@@ -1,9 +1,12 @@
 """Views, what the rounds add, calibration, accuracy on held-out labels, edge cases."""
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from goldleaf.llm import cotraining
 from goldleaf.llm.cotraining import PAGE, calibration, cotrain, fit_pair, pair_scores, views
 from tests.llm.helpers import documents, edge_rows, empty_documents, empty_labels, prose
 
@@ -69,3 +72,37 @@ def test_edge_cases(spark):
     assert same == {0.5}
     assert scored(empty_documents(spark), cotrain(docs, labels)).count() == 0
     assert scored(empty_documents(spark), cotrain(empty_documents(spark), labels)).count() == 0
+
+
+def test_pseudo_labels_and_scores_agree_with_plain_code(spark, monkeypatch):
+    """One round: who is taught, found by scoring all unlabelled texts one by one; and the stored views give the same scores."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    kept, keep = {}, cotraining.Workspace.keep
+
+    def spy(work, df, label):
+        kept.setdefault(label, []).append(keep(work, df, label))
+        return kept[label][-1]
+
+    monkeypatch.setattr(cotraining.Workspace, "keep", spy)
+    first = cotrain(docs, labels, rounds=0)
+    pair, seen = cotraining.cotrained(docs, labels, rounds=1, per_round=50, sure=0.8)
+    known = {row[0] for row in labels.select("doc_id").collect()}
+    plain = []
+    for doc_id, text, lang, source in docs.select("doc_id", "text", "lang", "source").collect():
+        if doc_id not in known:
+            sets, named, page = views(text, lang, source)
+            p_text, p_page, _ = first.probabilities(cotraining.Rows.of([sets]), cotraining.Rows.of([named], page[None, :]))
+            plain.append((doc_id, {"text": p_text[0], "page": p_page[0]}))
+    expected, found = [], []
+    for view, role in (("page", 1), ("text", 2)):
+        for label in (0, 1):
+            sure = [(p[view] if label else 1 - p[view], doc_id) for doc_id, p in plain]
+            best = sorted(((-p, hashlib.md5(str(doc_id).encode()).hexdigest(), doc_id) for p, doc_id in sure if p >= 0.8))[:50]
+            expected.append(sorted((doc_id, label, role) for _, _, doc_id in best))
+    for part in kept["taught"]:
+        found.append(sorted(tuple(row) for row in part.select("id", "label", "role").collect()))
+    assert found == expected and sum(map(len, found)) > 100
+    stored = seen.select("id", cotraining.view_scores(pair, *(F.col(name) for name in cotraining.KINDS)).alias("s")).select("id", "s.both")
+    direct = scored(docs, pair).select(F.col("doc_id").alias("id"), F.col("p.both").alias("direct"))
+    assert stored.join(direct, "id").where("both = direct").count() == docs.count()
