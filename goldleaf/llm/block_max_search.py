@@ -40,7 +40,9 @@ from goldleaf.llm.common import Workspace
 
 BLOCK = 128
 # A shard is closed at so many documents or bytes of text, whichever comes first.
-SHARD_DOCS, SHARD_BYTES = 1 << 14, 1 << 25
+SHARD_DOCS, SHARD_BYTES = 1 << 13, 1 << 24
+# Rows of a shard that are handed on at once.
+ROWS = 4096
 # Bytes of text whose words are held at once.
 GROUP_BYTES = 1 << 20
 # Queries of one block; each shard meets each block in a group of its own.
@@ -151,7 +153,7 @@ class Shard:
             return pa.ListArray.from_arrays(pa.array(blocks, pa.int32()), pa.array(values, pa.int32()))
 
         n, offsets = len(df), np.concatenate(([0], byte_ends)).astype(np.int32)
-        yield pa.record_batch(
+        whole = pa.record_batch(
             [
                 pa.array(np.full(n, number)), pa.array(list(self.codes), pa.binary()).cast(pa.string()), pa.array(df, pa.int64()),
                 pa.array(np.add.reduceat(often, after - df)), pa.nulls(n, pa.list_(pa.int64())), lists(doc[block_ends - 1]),
@@ -160,6 +162,7 @@ class Shard:
             ],
             schema=_KIND,
         )
+        yield from (whole.slice(start, ROWS) for start in range(0, n, ROWS))
 
 
 def _batch(columns: dict) -> pa.RecordBatch:

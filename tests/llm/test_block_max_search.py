@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -80,7 +81,8 @@ def shard_lists(seed, n_docs, n_terms):
     shard = op.Shard()
     texts = made_texts(seed, n_docs)
     shard.add([doc for doc, _ in texts], [op.terms(text) for _, text in texts])
-    head, body = shard.rows(0)
+    head, *body = shard.rows(0)
+    body = pa.Table.from_batches(body).combine_chunks().to_batches()[0]
     lengths = np.asarray(head.column("last")[0].values)
     norm = op.Norm(n_docs, int(lengths.sum()), lengths)
     lists, sums = [], np.zeros(n_docs, np.int64)
