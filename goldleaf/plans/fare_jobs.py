@@ -58,6 +58,9 @@ class Place:
         create_schema(self.spark, self.schema, self.folder)
         return append_table(df, f"{self.schema}.{name}", f"{self.folder}/{name}")
 
+    def has(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(f"{self.schema}.{name}")
+
     def read(self, name: str) -> DataFrame:
         return self.spark.read.table(f"{self.schema}.{name}")
 
