@@ -20,9 +20,10 @@ emissions, P(w | previous) = P(class | previous class) x P(type | class) x P(w |
   words in a bucket by absolute discounting (from the numbers of words seen once and twice), whose mass goes to the
   words never seen, as one event per bucket. Over known words and these events, probabilities sum to one.
 
-All counts cover the whole training corpus: the counts and classes of words (identified by 64-bit hashes) are a stored
-table that grows with it, and a text's rarer words are joined with it. The ``frequent`` words, which would be hot
-join keys, are in the broadcast model, as are the type-by-class counts that come to the driver.
+All counts cover the whole training corpus: the counts of words (identified by 64-bit hashes) are a stored table that
+grows with it, and the contexts go through as many parts by hash as they need to fit a task. The ``frequent`` words,
+which would be hot keys there, are in the broadcast model, as are the type-by-class counts that come to the driver.
+The exchange itself is a loop over the types on the driver (about 17,000, whatever the input).
 
 Null and empty texts have one token, the end. Rows without identifier belong to the training part. Repeated rows
 count and are scored each for itself. Without training texts all words are unknown and the scores still defined. An
@@ -31,11 +32,12 @@ empty table gives an empty result. Only identifier and text are read, so other c
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +54,11 @@ DISCOUNT = 0.75
 HALF = 0.5
 # How many texts of a batch are laid out as 64-bit numbers at a time.
 TEXTS_AT_ONCE = 1_000
+# Texts whose places travel together, as a power of two; rarer words (with repeats) in a part; words of a part at a time.
+GROUP_BITS = 7
+PART_WORDS = 1 << 20
+WORDS_AT_ONCE = 8_192
+NO_CLASS = 255
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -78,6 +85,11 @@ class Vocabulary:
     def size(self) -> int:
         return 1 + len(self.words) + self.buckets
 
+    @property
+    def kind(self) -> str:
+        """How types are stored."""
+        return "<u2" if self.size < 1 << 16 else "<u4"
+
     def types(self, words: np.ndarray, buckets: np.ndarray) -> np.ndarray:
         if not len(self.words):
             return 1 + buckets.astype(np.int64)
@@ -167,20 +179,13 @@ def count_words(training: DataFrame, buckets: int) -> DataFrame:
     return rows.groupBy("w").agg(F.first("bucket").alias("bucket"), F.sum("c").alias("c"))
 
 
-def types_of(texts: pd.DataFrame, first_bucket: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The types of texts laid out one after the other; where the rarer words stand, and their places in all lists."""
-    found = [np.frombuffer(types, "<i4") for types in texts["types"]]
-    buckets = [np.frombuffer(one, "<i2") for one in texts["bucket"]]
-    cur = np.concatenate(found).astype(np.int64)
-    lists = np.cumsum([0] + [len(one) for one in buckets[:-1]])
-    rare = np.flatnonzero(cur < 0)
-    listed = np.repeat(lists, [len(one) for one in found])[rare] - 1 - cur[rare]
-    cur[rare] = first_bucket + np.concatenate(buckets)[listed]
-    return cur, rare, listed
+def joined(columns: pd.Series, kind: str) -> np.ndarray:
+    """Stored numbers of several rows, one after the other."""
+    return np.frombuffer(b"".join(columns), kind).astype(np.int64)
 
 
 def class_contexts(
-    sequences: DataFrame, classes: np.ndarray, n_classes: int, first_bucket: int, shards: int = 16
+    sequences: DataFrame, classes: np.ndarray, n_classes: int, kind: str, shards: int = 16
 ) -> tuple[np.ndarray, ...]:
     """after, before (type by class) and own, summed over the corpus. Types and classes are bounded parameters."""
     n_types = len(classes)
@@ -191,7 +196,7 @@ def class_contexts(
         for batch in batches:
             for start in range(0, len(batch), TEXTS_AT_ONCE):
                 # texts end with type 0, so one long row of texts has the right neighbours
-                cur, _, _ = types_of(batch.iloc[start : start + TEXTS_AT_ONCE], first_bucket)
+                cur = joined(batch["types"].iloc[start : start + TEXTS_AT_ONCE], kind)
                 prev = np.concatenate(([0], cur[:-1]))
                 after += np.bincount(prev * n_classes + classes[cur], minlength=len(after))
                 before += np.bincount(cur * n_classes + classes[prev], minlength=len(before))
@@ -209,7 +214,7 @@ def class_contexts(
             totals[t] = totals[t] + row if t in totals else row
         return pd.DataFrame({"t": list(totals), "counts": [row.astype("<i8").tobytes() for row in totals.values()]})
 
-    parts = sequences.select("types", "bucket").mapInPandas(counted, "t long, counts binary")
+    parts = sequences.select("types").mapInPandas(counted, "t long, counts binary")
     rows = parts.groupBy(F.pmod("t", F.lit(shards))).applyInPandas(summed, "t long, counts binary").collect()
     table = np.zeros((n_types, 2 * n_classes + 1), np.int64)
     for t, counts in rows:
@@ -217,7 +222,7 @@ def class_contexts(
     return table[:, :n_classes], table[:, n_classes : 2 * n_classes], table[:, -1]
 
 
-def cluster(sequences: DataFrame, vocabulary: Vocabulary, n_classes: int, rounds: int, release: Callable[[], None]):
+def cluster(sequences: DataFrame, vocabulary: Vocabulary, n_classes: int, rounds: int):
     """classes, class bigram matrix, type counts, and the likelihood after each round."""
     n_types = vocabulary.size
     classes = np.full(n_types, n_classes)
@@ -226,8 +231,7 @@ def cluster(sequences: DataFrame, vocabulary: Vocabulary, n_classes: int, rounds
     classes[order] = np.arange(n_types - 1) % n_classes
     best, likelihoods = None, []
     for turn in range(rounds + 1):
-        after, before, own = class_contexts(sequences, classes, n_classes + 1, 1 + len(vocabulary.words))
-        release()
+        after, before, own = class_contexts(sequences, classes, n_classes + 1, vocabulary.kind)
         matrix = np.zeros((n_classes + 1, n_classes + 1))
         np.add.at(matrix, classes, after)
         likelihoods.append(bigram_likelihood(matrix))
@@ -256,31 +260,29 @@ def transition_table(matrix: np.ndarray) -> np.ndarray:
     return np.log10(np.where(rows > 0, (kept + free * single) / np.maximum(rows, 1), single))
 
 
-def probabilities(matrix: np.ndarray, classes: np.ndarray, type_counts: np.ndarray, first_bucket: int):
-    """log10 class transitions and type emissions, smoothed."""
-    counts = type_counts.astype(float)
-    counts[first_bucket:] += HALF
-    counts[0] += HALF
-    totals = np.bincount(classes, counts, matrix.shape[0])
-    return transition_table(matrix), np.log10(np.maximum(counts, 1e-300) / np.maximum(totals[classes], 1e-300))
-
-
 def layout(text: Column, vocabulary: Vocabulary) -> Column:
-    """The types of a text's words and end. Words that are not frequent are numbers below 0: -1 is the first of ``w``."""
+    """The types of a text's words and end. Of words that are not frequent also ``place``, the number of each in ``w``,
+    their different hashes, and how many there are with repeats."""
 
-    @F.pandas_udf("types binary, w array<long>, bucket binary")
+    @F.pandas_udf("types binary, place binary, w binary, n_rare long")
     def laid(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
             words, buckets = words_and_buckets(text, vocabulary.buckets)
             types = vocabulary.types(words, buckets)
-            rare = types > len(vocabulary.words)
-            unique, first, place = np.unique(words[rare], return_index=True, return_inverse=True)
-            types[rare] = -1 - place
-            rows.append((np.append(types, 0).astype("<i4").tobytes(), unique, buckets[rare][first].astype("<i2").tobytes()))
-        return pd.DataFrame(rows, columns=["types", "w", "bucket"])
+            unique, place = np.unique(words[types > len(vocabulary.words)], return_inverse=True)
+            kind = "<u2" if len(unique) < 1 << 16 else "<u4"
+            rows.append((
+                np.append(types, 0).astype(vocabulary.kind).tobytes(), place.astype(kind).tobytes(), unique.astype("<i8").tobytes(), len(place)
+            ))
+        return pd.DataFrame(rows, columns=["types", "place", "w", "n_rare"])
+
+    return laid.asNondeterministic()(text)
 
-    return laid(text)
+
+def places_of(data: bytes, n: int) -> np.ndarray:
+    """``place`` of ``n`` words."""
+    return np.frombuffer(data, "<u4" if len(data) == 4 * n else "<u2").astype(np.int64)
 
 
 def frequent_words(counts: DataFrame, frequent: int, min_count: int, buckets: int) -> Vocabulary:
@@ -291,11 +293,10 @@ def frequent_words(counts: DataFrame, frequent: int, min_count: int, buckets: in
 
 
 def train(
-    sequences: DataFrame, counts: DataFrame, vocabulary: Vocabulary, n_classes: int, rounds: int, min_count: int,
-    release: Callable[[], None] = lambda: None,
-) -> Model:
+    sequences: DataFrame, counts: DataFrame, vocabulary: Vocabulary, n_classes: int, rounds: int, min_count: int
+) -> Model:
     """Fit on the laid-out training texts with their stored word counts."""
-    classes, matrix, type_counts, likelihoods = cluster(sequences, vocabulary, n_classes, rounds, release)
+    classes, matrix, type_counts, likelihoods = cluster(sequences, vocabulary, n_classes, rounds)
     # words without a class of their own, by bucket; at most ``buckets`` rows come here
     rare = counts.where(F.col("c") < min_count).groupBy("bucket").agg(
         F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types"),
@@ -325,88 +326,151 @@ def best_classes(after: np.ndarray, before: np.ndarray, matrix: np.ndarray) -> n
     return np.argmax(gain - (phi(sizes + counts) - phi(sizes)), axis=1)
 
 
-def word_classes(sequences: DataFrame, model: Model, min_count: int) -> DataFrame:
-    """w, c, class: the words that are not frequent, with the class of those seen ``min_count`` times (-1: too rare)."""
-    classes, first_bucket, matrix, n = model.classes, model.first_bucket, model.matrix, model.matrix.shape[0]
-
-    def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+# Of one group of texts, the words of one part: each hash, and how many texts have it; per text with the word its number in
+# the group, the word's place in its list and the number of contexts; and the contexts.
+PLACES = "part int, grp long, w binary, texts binary, local binary, place binary, often binary, around binary"
+TOLD = "grp long, local binary, place binary, c binary, class binary"
+
+
+def word_places(rows: DataFrame, model: Model, parts: int) -> DataFrame:
+    """All rarer words of all texts with the classes around them, by part of their hash. Held-out texts have places but
+    no contexts."""
+    classes, first_bucket, kind, n = model.classes, model.first_bucket, model.vocabulary.kind, model.matrix.shape[0]
+
+    def of_group(group: int, texts: pd.DataFrame) -> Iterator[tuple]:
+        sizes = np.array([len(one) // np.dtype(kind).itemsize for one in texts["types"]])
+        cur = joined(texts["types"], kind)
+        own, rare = classes[cur], np.flatnonzero(cur >= first_bucket)
+        words = joined(texts["w"], "<i8")
+        if not len(words):
+            return
+        lengths = np.array([len(one) // 8 for one in texts["w"]])
+        offsets = np.cumsum(lengths) - lengths
+        owner = np.repeat(np.arange(len(texts)), sizes)[rare]
+        listed = offsets[owner] + np.concatenate([places_of(*one) for one in zip(texts["place"], texts["n_rare"])])
+        # an end stands before the first word and after each last one
+        around = np.where(rare > 0, own[rare - 1], n - 1) * n + own[np.minimum(rare + 1, len(own) - 1)]
+        counts = ~texts["held_out"].to_numpy(bool)[owner]
+        listed, around = listed[counts], around[counts]
+        local = np.repeat(texts["uid"].to_numpy() & ((1 << GROUP_BITS) - 1), lengths)
+        place = np.arange(len(words)) - np.repeat(offsets, lengths)
+        part = ((words.view(np.uint64) >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((words, part))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        around = around[np.argsort(rank[listed], kind="stable")].astype("<u2")
+        often = np.bincount(rank[listed], minlength=len(order))
+        words, part, local, place = words[order], part[order], local[order], place[order]
+        fresh = np.concatenate(([True], words[1:] != words[:-1]))
+        heads = np.flatnonzero(fresh)
+        texts_of = np.diff(np.append(heads, len(words)))
+        upto = np.concatenate(([0], np.cumsum(often)))
+        cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            x, y = np.searchsorted(heads, (a, b))
+            yield (
+                int(part[a]), group, words[heads[x:y]].tobytes(), texts_of[x:y].astype("<u2").tobytes(), local[a:b].astype("u1").tobytes(),
+                place[a:b].astype("<u4").tobytes(), often[a:b].astype("<u4").tobytes(), around[upto[a] : upto[b]].tobytes(),
+            )
+
+    def gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [field.split()[0] for field in PLACES.split(", ")]
         for batch in batches:
-            for start in range(0, len(batch), TEXTS_AT_ONCE):
-                texts = batch.iloc[start : start + TEXTS_AT_ONCE]
-                cur, rare, listed = types_of(texts, first_bucket)
-                own = classes[cur]
-                # an end stands before the first word and after each last one
-                around = (np.where(rare > 0, own[rare - 1], n - 1) * n + own[np.minimum(rare + 1, len(own) - 1)]).astype("<u2")
-                words = np.concatenate(list(texts["w"]))[listed]
-                order = np.argsort(words, kind="stable")
-                words, around = words[order], around[order]
-                edges = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1]))) if len(words) else np.zeros(0, int)
-                bounds = np.append(edges, len(words))
-                packed = [around[bounds[i] : bounds[i + 1]].tobytes() for i in range(len(edges))]
-                yield pd.DataFrame({"w": words[edges], "around": packed})
-
-    def chosen(words: np.ndarray, packed: list[bytes]) -> pd.DataFrame:
-        edges = np.concatenate(([True], words[1:] != words[:-1]))
-        word = np.repeat(np.cumsum(edges) - 1, [len(one) // 2 for one in packed])
-        around = np.frombuffer(b"".join(packed), "<u2").astype(np.int64)
-        n_words = int(edges.sum())
-        after = np.bincount(word * n + around % n, minlength=n_words * n).reshape(n_words, n)
-        before = np.bincount(word * n + around // n, minlength=n_words * n).reshape(n_words, n)
-        c = after.sum(axis=1)
-        best = np.full(n_words, -1)
-        often = c >= min_count
-        best[often] = best_classes(after[often], before[often], matrix)
-        return pd.DataFrame({"w": words[edges], "c": c, "class": best})
-
-    def assigned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # rows come sorted; the last word of a batch may go on in the next one
-        words, packed = np.zeros(0, np.int64), []
-        for batch in batches:
-            words, packed = np.concatenate((words, batch["w"].to_numpy())), packed + list(batch["around"])
-            whole = int(np.searchsorted(words, words[-1])) if len(words) else 0
-            if whole:
-                yield chosen(words[:whole], packed[:whole])
-                words, packed = words[whole:], packed[whole:]
-        if packed:
-            yield chosen(words, packed)
-
-    rows = sequences.select("types", "w", "bucket").mapInPandas(contexts, "w long, around binary")
-    return rows.repartition("w").sortWithinPartitions("w").mapInPandas(assigned, "w long, c long, class short")
-
-
-def resolved_column(model: Model) -> Column:
-    """Of a laid-out text with the counts and classes of its rarer words (``place`` in the list, ``c`` and ``class``):
-    the classes of its tokens, and what hangs on no class: known tokens, base score, the emissions before they are
-    divided by the sizes of the classes."""
-    n_frequent, first_bucket = len(model.vocabulary.words), model.first_bucket
+            for group, texts in batch.groupby(batch["uid"].to_numpy() >> GROUP_BITS):
+                yield pd.DataFrame(list(of_group(int(group), texts)), columns=names)
+
+    return rows.select("uid", "held_out", "types", "place", "w", "n_rare").mapInPandas(gathered, PLACES)
+
+
+def part_classes(words: np.ndarray, around: np.ndarray, n_words: int, matrix: np.ndarray, min_count: int):
+    """Counts and classes (-1: too rare) of the words of a part, from the number of the word that each context is of."""
+    n, c = matrix.shape[0], np.bincount(words, minlength=n_words)
+    best = np.full(n_words, -1)
+    order = np.argsort(words, kind="stable")
+    words, around = words[order], around[order]
+    upto = np.concatenate(([0], np.cumsum(c)))
+    for start in range(0, n_words, WORDS_AT_ONCE):
+        stop = min(start + WORDS_AT_ONCE, n_words)
+        cell, near = (words[upto[start] : upto[stop]] - start) * n, around[upto[start] : upto[stop]]
+        after, before = (
+            np.bincount(cell + side, minlength=(stop - start) * n).reshape(-1, n) for side in (near % n, near // n)
+        )
+        often = c[start:stop] >= min_count
+        best[start:stop][often] = best_classes(after[often], before[often], matrix)
+    return c, best
+
+
+def told_places(places: DataFrame, matrix: np.ndarray, min_count: int) -> DataFrame:
+    """For each group of texts: at which places words stand that have a class, or another count than a word that its
+    text alone has once (1 in training texts, 0 in held-out ones)."""
+
+    def told(rows: pd.DataFrame) -> pd.DataFrame:
+        unique, word = np.unique(joined(rows["w"], "<i8"), return_inverse=True)
+        word = np.repeat(word, joined(rows["texts"], "<u2"))
+        local, place, often = joined(rows["local"], "u1"), joined(rows["place"], "<u4"), joined(rows["often"], "<u4")
+        c, best = part_classes(np.repeat(word, often), joined(rows["around"], "<u2"), len(unique), matrix, min_count)
+        c, best = c[word], best[word]
+        news = (best >= 0) | (c != (often > 0))
+        ends = np.cumsum([len(one) for one in rows["local"]])
+        out = []
+        for group, a, b in zip(rows["grp"], np.append(0, ends[:-1]), ends):
+            keep = a + np.flatnonzero(news[a:b])
+            classes = np.where(best[keep] < 0, NO_CLASS, best[keep])
+            out.append((
+                group, local[keep].astype("u1").tobytes(), place[keep].astype("<u4").tobytes(), c[keep].astype("<u4").tobytes(),
+                classes.astype("u1").tobytes(),
+            ))
+        return pd.DataFrame(out, columns=[field.split()[0] for field in TOLD.split(", ")])
+
+    return places.groupBy("part").applyInPandas(told, TOLD)
+
+
+def resolve(model: Model):
+    """Laid-out texts of a group and what is told of their places, to: the classes of their tokens, and what hangs on no
+    class: tokens, known ones, base score, the emissions before they are divided by the sizes of the classes."""
+    n_frequent, first_bucket, kind = len(model.vocabulary.words), model.first_bucket, model.vocabulary.kind
     counts = np.concatenate(([0], model.vocabulary.counts)).astype(float)
     own, base = np.log10(np.maximum(counts, 1)), np.log10(counts + 1)
     own[0] = np.log10(model.ends + HALF)
     bucket_own = np.log10(model.bucket_tokens + HALF) - model.bucket_total
 
-    @F.pandas_udf("n_tokens long, known long, base double, own double, classes binary")
-    def resolved(types: pd.Series, buckets: pd.Series, places: pd.Series, cs: pd.Series, classes: pd.Series) -> pd.DataFrame:
+    def of_text(types: np.ndarray, places: bytes, held_out: bool, place: np.ndarray, c: np.ndarray, kinds: np.ndarray) -> tuple:
+        rare, common = types[types >= first_bucket] - first_bucket, types[types < first_bucket]
+        listed = places_of(places, len(rare))
+        bucket = np.zeros(int(listed.max()) + 1 if len(listed) else 0, np.int64)
+        bucket[listed] = rare
+        seen, group = np.full(len(bucket), 0 if held_out else 1), np.full(len(bucket), NO_CLASS)
+        seen[place], group[place] = c, kinds
+        single = group == NO_CLASS
+        emitted = np.log10(np.maximum(seen - np.where(single, model.discount, 0), 0.01))
+        emitted = np.where(seen > 0, emitted, model.bucket_unseen[bucket]) + np.where(single, bucket_own[bucket], 0)
+        group = np.where(single, model.classes[first_bucket + bucket], group)
+        classes = np.zeros(len(types), "u1")
+        classes[types >= first_bucket], classes[types < first_bucket] = group[listed], model.classes[common]
+        return (
+            len(types), int((common > 0).sum()) + int((seen[listed] > 0).sum()),
+            float(base[common].sum() + np.log10(seen[listed] + 1).sum()), float(own[common].sum() + emitted[listed].sum()),
+            classes.tobytes(),
+        )
+
+    def resolved(texts: pa.Table, told: pa.Table) -> pa.Table:
+        local, place, c, kinds = (
+            joined(told.column(name).to_pylist(), one) for name, one in (("local", "u1"), ("place", "<u4"), ("c", "<u4"), ("class", "u1"))
+        )
+        order = np.argsort(local, kind="stable")
+        local, place, c, kinds = local[order], place[order], c[order], kinds[order]
         rows = []
-        for text, bucket, place, c, k in zip(types, buckets, places, cs, classes):
-            text, bucket = np.frombuffer(text, "<i4"), np.frombuffer(bucket, "<i2")
-            seen, group = np.zeros(len(bucket), np.int64), np.full(len(bucket), -1)
-            if place is not None:
-                seen[place], group[place] = c, k
-            single = group < 0
-            emitted = np.log10(np.maximum(seen - np.where(single, model.discount, 0), 0.01))
-            emitted = np.where(seen > 0, emitted, model.bucket_unseen[bucket]) + np.where(single, bucket_own[bucket], 0)
-            group = np.where(single, model.classes[first_bucket + bucket], group)
-            rare, common = -1 - text[text < 0], text[text >= 0]
-            kinds = np.zeros(len(text), "u1")
-            kinds[text < 0], kinds[text >= 0] = group[rare], model.classes[common]
-            known = int((common > 0).sum()) + int((seen[rare] > 0).sum())
-            rows.append((
-                len(text), known, float(base[common].sum() + np.log10(seen[rare] + 1).sum()),
-                float(own[common].sum() + emitted[rare].sum()), kinds.tobytes(),
-            ))
-        return pd.DataFrame(rows, columns=["n_tokens", "known", "base", "own", "classes"])
+        for uid, held_out, types, places in zip(*(texts.column(name).to_pylist() for name in ("uid", "held_out", "types", "place"))):
+            a, b = np.searchsorted(local, uid & ((1 << GROUP_BITS) - 1), "left"), np.searchsorted(local, uid & ((1 << GROUP_BITS) - 1), "right")
+            rows.append(of_text(np.frombuffer(types, kind).astype(np.int64), places, held_out, place[a:b], c[a:b], kinds[a:b]))
+        new = list(zip(*rows)) if rows else [[]] * 5
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
+        out = texts.select(["id", "held_out"])
+        for name, values, one in zip(("n_tokens", "known", "base", "own", "classes"), new, kinds):
+            out = out.append_column(name, pa.array(list(values), one))
+        return out
 
-    return resolved("types", "bucket", "place", "c", "class")
+    return resolved
 
 
 def class_bigrams(texts: DataFrame, n: int) -> np.ndarray:
@@ -463,18 +527,19 @@ def scores(
         layout(F.col(text_column), vocabulary).alias("p"),
     )
     rows = work.keep(rows.select("uid", "id", "held_out", "p.*"), "layout")
-    sequences = rows.where("NOT held_out")
-    model = train(sequences, counts, vocabulary, n_classes, rounds, min_count, work.release)
+    model = train(rows.where("NOT held_out"), counts, vocabulary, n_classes, rounds, min_count)
     work.drop(counts)
-    words = work.keep(word_classes(sequences, model, min_count), "words")
-    work.release()
-    rare = rows.select("uid", F.posexplode("w").alias("place", "w")).join(words, "w")
-    found = rare.groupBy("uid").agg(*(F.collect_list(name).alias(name) for name in ("place", "c", "class")))
-    texts = rows.drop("w").join(found, "uid", "left").select("id", "held_out", resolved_column(model).alias("r"))
-    texts = work.keep(texts.select("id", "held_out", "r.*"), "classes")
-    work.drop(rows, words)
-    del rare, found
-    work.release()
+    rare = rows.agg(F.sum("n_rare")).first()[0] or 0
+    places = word_places(rows, model, max(8, -(-rare // PART_WORDS)))
+    told = work.keep(told_places(places, model.matrix, min_count), "told")
+    group = F.shiftright("uid", GROUP_BITS).alias("grp")
+    texts = rows.select(group, "uid", "id", "held_out", "types", "place").groupBy("grp").cogroup(told.groupBy("grp"))
+    kind = rows.schema["id"].dataType.simpleString()
+    texts = texts.applyInArrow(
+        resolve(model), f"id {kind}, held_out boolean, n_tokens long, known long, base double, own double, classes binary"
+    )
+    texts = work.keep(texts, "classes")
+    work.drop(rows, told)
     matrix = class_bigrams(texts.where("NOT held_out"), n_classes + 1)
     n, v = model.train_tokens, model.train_types
     end_base = float(np.log10(model.ends + 1))

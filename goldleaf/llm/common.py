@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,11 +34,6 @@ class Workspace:
         for table in tables:
             self.remove(table._stored_at)
 
-    def release(self) -> None:
-        """Spark removes the shuffle files of a finished result when the driver's collector meets it; let it look now."""
-        gc.collect()
-        self.spark._jvm.System.gc()
-
     def remove(self, path: str) -> None:
         where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
