@@ -15,7 +15,8 @@ ROWS_ONLY: set[str] = set()
 # Plans that start by writing a table or running a stream.
 EAGER = {
     "train_fare_model", "materialize_roundtrip", "clustered_write_scan", "overwrite_new_schema", "run_row_counts", "refresh_change_feed",
-    "json_source_roundtrip", "stream_ingest_silver", "monitoring_row_counts",
+    "json_source_roundtrip", "stream_ingest_silver", "monitoring_row_counts", "publish_after_failed_write", "gold_from_changes",
+    "payment_from_changes", "monitor_drift_of_touched_days",
 }
 
 
