@@ -5,19 +5,21 @@ quote or bracket may follow) or at a line feed. Sentences of more than ``LONG``
 and colons too (``PAUSES``).
 
 Sentences that are still longer are searched in smaller *parts*: they are cut after words that their own hash chooses,
-one in eight, then one in two where that leaves more than ``LONG`` words, then after every word (a run of one word). Both
-copies of a passage are so cut alike, wherever they stand, and all of it is met but for its ends. A sentence counts as
-removed when all its parts are. In what follows, a sentence that is cut is its parts. A span is a run of consecutive sentences of at least ``min_words`` words: from every sentence the
-shortest such run forwards, and to every sentence the shortest one backwards, so the last sentences of a
-repeated passage are covered as well as the first. Only a sentence that has as many words alone is a run by
-itself. White space does not count; words must agree exactly.
+one in eight, then one in two where that leaves more than ``LONG`` words, then after every word. Both
+copies of a passage are so cut alike, wherever they stand, and all of it is met but for its ends. What is removed of such a
+sentence is its parts, so the rest of it stays; it counts as removed when all its parts are. Other sentences go whole.
+In what follows, a sentence that is cut is its parts.
+
+A span is a run of several (two at least) consecutive sentences of at least ``min_words`` words together: from every sentence
+the shortest such run forwards, and to every sentence the shortest one backwards, so the last sentences of a
+repeated passage are covered as well as the first. White space does not count; words must agree exactly.
 
 All spans are joined globally by the hash of their words. The occurrence with the smallest identifier (and, in
 one text, the earliest) is the first; every other one is marked, and each sentence that a marked span covers is
 removed. Sentences outside stay as they are.
 
 Null and empty texts have no sentences. Rows without identifier come last; of rows with the same identifier only
-the first stored one can hold a first occurrence. Texts with fewer than ``min_words`` words have no span and stay
+the first stored one can hold a first occurrence. Texts with fewer than ``min_words`` words, or one sentence, have no span and stay
 whole. Texts are read whole, without limits on spans per text or occurrences per span. An empty table gives an
 empty result. Only identifier and text are read, so other columns may have any name.
 """
@@ -89,16 +91,16 @@ def parts(first_words: np.ndarray, words: np.ndarray) -> np.ndarray:
     return first_words
 
 
-def spans(text: str | None, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each span, and its place: see ``unpacked``."""
-    first_words, _, words = sentences(text_bytes(text))
-    first_words = parts(first_words, words)
-    n = len(first_words) - 1
-    if n == 0 or first_words[-1] < min_words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+def spans(text: str | None, min_words: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Hash of each span, and its place: see ``unpacked``. Then how many sentences and words the text has."""
+    whole, _, words = sentences(text_bytes(text))
+    first_words = parts(whole, words)
+    n, size = len(first_words) - 1, (len(whole) - 1, len(words))
+    if n < 2 or first_words[-1] < min_words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), *size
     begin = np.arange(n)
-    forward = np.searchsorted(first_words, first_words[:-1] + min_words, "left")
-    backward = np.searchsorted(first_words, first_words[1:] - min_words, "right") - 1
+    forward = np.maximum(np.searchsorted(first_words, first_words[:-1] + min_words, "left"), begin + 2)
+    backward = np.minimum(np.searchsorted(first_words, first_words[1:] - min_words, "right") - 1, begin - 1)
     pairs = np.concatenate((
         np.stack((begin, forward), 1)[forward <= n], np.stack((backward, begin + 1), 1)[backward >= 0],
     ))
@@ -107,7 +109,7 @@ def spans(text: str | None, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     _, earliest = np.unique(hashes, return_index=True)
     again = np.ones(len(hashes), np.int64)
     again[earliest] = 0
-    return hashes, pairs[:, 0] << 32 | pairs[:, 1] << 1 | again
+    return hashes, pairs[:, 0] << 32 | pairs[:, 1] << 1 | again, *size
 
 
 def unpacked(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,44 +118,43 @@ def unpacked(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_column(text: Column, min_words: int) -> Column:
-    @F.pandas_udf("hash array<long>, place array<long>")
+    @F.pandas_udf("hash array<long>, place array<long>, n_sentences long, n_words long")
     def found(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([spans(text, min_words) for text in texts], columns=["hash", "place"])
+        rows = [spans(text, min_words) for text in texts]
+        return pd.DataFrame(rows, columns=["hash", "place", "n_sentences", "n_words"])
 
-    return found(text)
+    return found.asNondeterministic()(text)
 
 
-def without(text: str | None, places: np.ndarray) -> tuple[str, int, int, int, int]:
-    """The text without the covered sentences; sentences and words it had; those removed."""
+def without(text: str, places: np.ndarray) -> tuple[str, int, int]:
+    """The text without the covered sentences; sentences and words removed."""
     data = text_bytes(text)
     whole, starts, words = sentences(data)
     first_words = parts(whole, words)
-    n, n_sentences = len(first_words) - 1, len(whole) - 1
+    n = len(first_words) - 1
     first, after = unpacked(places)
     depth = np.zeros(n + 1, np.int64)
     np.add.at(depth, first, 1)
     np.add.at(depth, after, -1)
     gone = np.cumsum(depth)[:n] > 0
     sizes = np.diff(first_words)
-    if not gone.any():
-        return text or "", n_sentences, int(first_words[-1]), 0, 0
     bounds = np.concatenate((starts[first_words[:-1]], [len(data)]))
     bounds[0] = 0
     kept = b"".join(data[bounds[i] : bounds[i + 1]].tobytes() for i in np.flatnonzero(~gone))
     left = np.add.reduceat(~gone, np.searchsorted(first_words, whole[:-1]), dtype=np.int64)
-    return kept.decode("utf-8", "surrogatepass"), n_sentences, int(whole[-1]), int((left == 0).sum()), int(sizes[gone].sum())
+    return kept.decode("utf-8", "surrogatepass"), int((left == 0).sum()), int(sizes[gone].sum())
 
 
 def cleaned_column(text: Column, marked: Column) -> Column:
-    kind = "clean_text string, n_sentences long, n_words long, removed_sentences long, removed_words long"
+    """Of texts with marked spans. Others stay outside: neither their text nor anything of it goes to Python."""
+    kind = "clean_text string, removed_sentences long, removed_words long"
 
     @F.pandas_udf(kind)
     def cleaned(texts: pd.Series, marks: pd.Series) -> pd.DataFrame:
-        none = np.zeros(0, np.int64)
-        rows = [without(text, none if places is None else places) for text, places in zip(texts, marks)]
+        rows = [(None, 0, 0) if places is None else without(text, places) for text, places in zip(texts, marks)]
         return pd.DataFrame(rows, columns=[field.split()[0] for field in kind.split(", ")])
 
-    return cleaned(text, marked)
+    return cleaned.asNondeterministic()(F.when(marked.isNotNull(), text), marked)
 
 
 def deduplicated(
@@ -161,12 +162,11 @@ def deduplicated(
 ) -> DataFrame:
     """One row per input row: id, clean_text, n_sentences, n_words, removed_sentences, removed_words."""
     work = Workspace(docs.sparkSession, "sentence-spans")
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("uid"), F.col(id_column).alias("id"), F.col(text_column).alias("text"),
-        span_column(F.col(text_column), min_words).alias("s"),
-    )
-    rows = work.keep(rows, "rows")
-    exploded = rows.select("uid", "id", F.explode(F.arrays_zip("s.hash", "s.place")).alias("s"))
+    texts = work.keep(
+        docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_column).alias("id"), F.col(text_column).alias("text")), "texts"
+    )
+    rows = work.keep(texts.select("uid", "id", span_column(F.col("text"), min_words).alias("s")).select("uid", "id", "s.*"), "spans")
+    exploded = rows.select("uid", "id", F.explode(F.arrays_zip("hash", "place")).alias("s"))
     all_spans = exploded.select("uid", "id", "s.*")
     seen = all_spans.groupBy("hash").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
     seen = work.keep(seen.select("hash", "first_id"), "repeated")
@@ -179,6 +179,11 @@ def deduplicated(
     if not echoes.isEmpty():
         later = later.union(all_spans.join(seen, "hash").join(echoes, "uid").select("uid", "place"))
     marked = later.groupBy("uid").agg(F.collect_set("place").alias("marked"))
-    marked = work.keep(marked, "marked")
-    found = rows.select("uid", "id", "text").join(marked.hint("merge"), "uid", "left")
-    return found.select("id", cleaned_column(F.col("text"), F.col("marked")).alias("c")).select("id", "c.*")
+    facts = rows.select("uid", "n_sentences", "n_words").join(marked.hint("merge"), "uid", "left")
+    facts = work.keep(facts, "facts")
+    work.drop(rows, seen, echoes)
+    found = texts.join(facts.hint("merge"), "uid")
+    found = found.select("id", "text", "n_sentences", "n_words", cleaned_column(F.col("text"), F.col("marked")).alias("c"))
+    return found.select(
+        "id", F.coalesce("c.clean_text", "text", F.lit("")).alias("clean_text"), "n_sentences", "n_words", "c.removed_sentences", "c.removed_words"
+    )

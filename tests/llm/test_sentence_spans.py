@@ -4,31 +4,54 @@ import hashlib
 import re
 
 from goldleaf.llm.catalog import QUERIES
-from goldleaf.llm.sentence_spans import LONG, MIN_WORDS, deduplicated, spans, unpacked
+from goldleaf.llm.sentence_spans import CLOSING, LONG, MARKS, MIN_WORDS, PAUSES, deduplicated, spans, unpacked
+from goldleaf.llm.words import word_hashes
 from tests.llm.helpers import SMALL, WORD, documents, edge_rows, empty_documents, prose
 
 WORDS = re.compile(WORD.pattern.encode())
 
 
+def ends_sentence(word):
+    """The last character, or the one before a closing one, is a mark."""
+    text = word.decode()
+    return text[-1] in MARKS or (text[-1] in CLOSING and len(text) > 1 and text[-2] in MARKS)
+
+
+def cut_places(found, data):
+    """First word of each sentence, and the end."""
+    cuts = [0]
+    for place, match in enumerate(found):
+        feed = place + 1 < len(found) and b"\n" in data[match.end() : found[place + 1].start()]
+        if ends_sentence(match.group()) or feed or place == len(found) - 1:
+            long = place + 1 - cuts[-1] > LONG
+            cuts += [k + 1 for k in range(cuts[-1], place) if long and found[k].group().decode()[-1] in PAUSES]
+            cuts.append(place + 1)
+    return cuts
+
+
+def cut_parts(cuts, found):
+    """Sentences that are still long, cut after words that their hash chooses: one in eight, in two, all."""
+    hashes = [int(word_hashes(match.group().decode())[0]) for match in found]
+    for chosen in (1, 4, 8):
+        more = [
+            k + 1 for a, b in zip(cuts, cuts[1:]) if b - a > LONG for k in range(a, b) if (hashes[k] >> 20) % 8 < chosen
+        ]
+        cuts = sorted({*cuts, *more})
+    return cuts
+
+
 def plain(rows, least=MIN_WORDS):
     """id -> (sentences, removed, cleaned bytes), in the order of ids."""
     seen, out = set(), {}
     for doc_id, text in sorted(rows):
         data = (text or "").encode()
         found = list(WORDS.finditer(data))
-        cuts = [0]
-        for place, match in enumerate(found):
-            word = match.group()
-            feed = place + 1 < len(found) and b"\n" in data[match.end() : found[place + 1].start()]
-            marked = word[-1:] in b".!?" or (word[-1:] in b"\"')]" and len(word) > 1 and word[-2:-1] in b".!?")
-            if marked or feed or place == len(found) - 1:
-                long = place + 1 - cuts[-1] > LONG
-                cuts += [k + 1 for k in range(cuts[-1], place) if long and found[k].group()[-1:] in b",;:"]
-                cuts.append(place + 1)
+        whole = cut_places(found, data)
+        cuts = cut_parts(whole, found)
         n, pairs = len(cuts) - 1, set()
         for i in range(n):
-            pairs.update([(i, e) for e in range(i + 1, n + 1) if cuts[e] - cuts[i] >= least][:1])
-            pairs.update([(b, i + 1) for b in range(i, -1, -1) if cuts[i + 1] - cuts[b] >= least][:1])
+            pairs.update([(i, e) for e in range(i + 2, n + 1) if cuts[e] - cuts[i] >= least][:1])
+            pairs.update([(b, i + 1) for b in range(i - 1, -1, -1) if cuts[i + 1] - cuts[b] >= least][:1])
         gone = set()
         for first, after in sorted(pairs):
             key = tuple(match.group() for match in found[cuts[first] : cuts[after]])
@@ -37,7 +60,9 @@ def plain(rows, least=MIN_WORDS):
             seen.add(key)
         starts = [0] + [found[cuts[i]].start() for i in range(1, n)] + [len(data)]
         cleaned = b"".join(data[starts[i] : starts[i + 1]] for i in range(n) if i not in gone) if gone else data
-        out[doc_id] = (n, len(gone), cleaned)
+        left = {cuts[i] for i in range(n) if i not in gone}
+        removed = sum(not any(a <= cut < b for cut in left) for a, b in zip(whole, whole[1:]))
+        out[doc_id] = (len(whole) - 1, removed, cleaned)
     return out
 
 
@@ -110,6 +135,14 @@ def test_passages_in_lines_without_marks(spark):
     assert found[4]["removed_words"] == 104 and found[4]["removed_sentences"] == 1
 
 
+def test_one_sentence_is_no_span(spark):
+    """Two texts share one sentence of many words and no more: it stays."""
+    shared = " ".join(f"word{k}" for k in range(18)) + "."
+    rows = [(k, f"{prose(k, 40)} {shared} {prose(k + 9, 40)}") for k in (1, 2)]
+    found = {row["id"]: row for row in deduplicated(documents(spark, rows)).collect()}
+    assert found[2]["removed_words"] == 0 and found[2]["clean_text"] == rows[1][1]
+
+
 def test_marks_of_other_scripts(spark):
     for mark in ("。", "।", "؟", ".”", "。」", "?)"):
         text = " ".join(f"w{k}{mark if k % 5 == 4 else ''}" for k in range(20))
