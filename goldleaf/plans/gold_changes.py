@@ -108,10 +108,11 @@ def _layout(name: str):
     return replace(LAYOUTS[name], partition_by=(DAY,), range_by=(), gather_by=())
 
 
-def build(spark: SparkSession, schema: str, folder: str) -> dict[str, DataFrame]:
+def build(spark: SparkSession, schema: str, folder: str, names: Sequence[str] = tuple(TABLES)) -> dict[str, DataFrame]:
     """Compute the tables whole from the sales as they are now, partitioned by day."""
     out = {}
-    for name, figures in TABLES.items():
+    for name in names:
+        figures = TABLES[name]
         version = table_version(spark, f"{schema}.{SALES}")
         layout = replace(_layout(name), properties={**LAYOUTS[name].properties, REFLECTS: version})
         out[name] = overwrite_table(figures.whole(spark.read.table(f"{schema}.{SALES}")), f"{schema}.{name}", f"{folder}/{name}", layout)
@@ -128,12 +129,13 @@ def _replace_days(spark: SparkSession, schema: str, folder: str, name: str, asid
     remove_folder(spark, aside)
 
 
-def apply_changes(spark: SparkSession, schema: str, folder: str) -> dict[str, int]:
+def apply_changes(spark: SparkSession, schema: str, folder: str, names: Sequence[str] = tuple(TABLES)) -> dict[str, int]:
     """Bring the tables up to the sales as they are now, and tell how many days of each were touched."""
     touched = {}
     sales_table = f"{schema}.{SALES}"
     finish_publishing(spark, sales_table)
-    for name, figures in TABLES.items():
+    for name in names:
+        figures = TABLES[name]
         table, aside = f"{schema}.{name}", f"{folder}/_aside/{name}"
         for version in folders(spark, aside):
             if "rows" in folders(spark, f"{aside}/{version}") and "_SUCCESS" in folders(spark, f"{aside}/{version}/rows"):

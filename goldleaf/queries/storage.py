@@ -109,8 +109,8 @@ def _(spark, folder):
     )
 
 
-def _sales_updated(spark, folder):
-    """Earlier sales as a stored table with gold tables, then today's as its next version, and gold brought up by the changes.
+def _gold_updated(spark, folder, name):
+    """Earlier sales as a stored table with a gold table, then today's as its next version, and gold brought up by the changes.
 
     The earlier version lacks some sales of one spring, has some that went later, and others at another price or franchise.
     """
@@ -130,9 +130,9 @@ def _sales_updated(spark, folder):
             version, f"{schema}.silver_transactions", f"{place}/silver_transactions", layout, refresh.TRACKED_KEYS["silver_transactions"]
         )
         if version is not today:
-            gold_changes.build(spark, schema, place)
-    gold_changes.apply_changes(spark, schema, place)
-    return schema
+            gold_changes.build(spark, schema, place, [name])
+    gold_changes.apply_changes(spark, schema, place, [name])
+    return spark.read.table(f"{schema}.{name}")
 
 
 @query(
@@ -146,7 +146,7 @@ def _sales_updated(spark, folder):
     ),
 )
 def _(spark, folder):
-    return spark.read.table(f"{_sales_updated(spark, folder)}.gold_daily_sales_summary")
+    return _gold_updated(spark, folder, "gold_daily_sales_summary")
 
 
 @query(
@@ -158,7 +158,7 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    return spark.read.table(f"{_sales_updated(spark, folder)}.gold_payment_analysis")
+    return _gold_updated(spark, folder, "gold_payment_analysis")
 
 
 _COUNTS = [
