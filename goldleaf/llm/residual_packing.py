@@ -1,15 +1,14 @@
 """Hierarchical residual packing of tokenised documents into sequences of fixed length.
 
 1. Each partition tokenises its documents, cuts those longer than a sequence, and packs its pieces
-   best-fit, longest first. Full and nearly full bins are finished there.
-2. Underfull bins go up a tree as items: eight neighbours meet in one task, which packs what they bring
-   best-fit again; what is still underfull goes on to the next level, up to one root. The emptiest
-   bins of a task (``LOOSE`` at most) are taken apart, so their contents can be laid anew; others go up whole.
+   best-fit, longest first. Nearly full bins are finished there; underfull ones are taken apart again.
+2. What was in underfull bins goes up a tree: eight neighbours meet in one task, which packs all they bring best-fit
+   again, finishes the nearly full bins and sends the rest on, up to one root, which finishes every bin.
 
-What goes up is small, whatever the input: the contents of ``LOOSE`` bins, at most one bin that is half full or
-less (two of them would share a bin), and of the bins above that eight of each fill, as a group has eight
-members. The other bins are finished. A task thus gets at most 8 x (LOOSE x capacity + 1 + 8 x capacity / 2) rows,
-and usually a few hundred.
+Pieces of equal length are interchangeable, so what goes up is counts by length: a task gets at most eight times
+``capacity`` numbers, whatever the input and however uneven it is, and no bin is left out for that. Pieces are numbered within
+their task and length; a task of the tree lays whole ranges of numbers into runs of bins. At the end each piece looks up
+the range that has its number.
 
 A document is its token ids and one end token. Null text counts as empty: one piece that holds only the
 end. Only documents longer than a sequence are cut; their first piece takes the remainder, all others
@@ -36,8 +35,7 @@ from goldleaf.llm.common import Workspace
 
 CAPACITY = 2048
 FAN_IN = 8
-# Bins of a task that are taken apart, and how full a bin must be to be left alone.
-LOOSE = 16
+# How full a bin must be to be finished before the root.
 NEARLY_FULL = 0.98
 # Text in which the two tokenizer libraries cannot differ: no special-token strings, and letters whose
 # classes are the same in every version of Unicode.
@@ -108,24 +106,6 @@ class Bins:
         return number, offset
 
 
-def taken_apart(fills: list[int], capacity: int) -> list[int]:
-    """The emptiest bins, unless they are nearly full."""
-    order = sorted(range(len(fills)), key=lambda number: (fills[number], number))[:LOOSE]
-    return [number for number in order if fills[number] < NEARLY_FULL * capacity]
-
-
-def going_up(fills: list[int], capacity: int, fan_in: int) -> list[int]:
-    """The bins that can still meet others: those at most half full, and ``fan_in`` of each larger fill."""
-    seen: dict[int, int] = defaultdict(int)
-    chosen = []
-    for number, fill in enumerate(fills):
-        if 0 < fill < capacity:
-            seen[fill] += 1
-            if 2 * fill <= capacity or seen[fill] <= fan_in:
-                chosen.append(number)
-    return chosen
-
-
 def packed_partition(
     batches: Iterator[pd.DataFrame], capacity: int, fan_in: int, tokenizer_path: str, ranks_path: str | None
 ) -> Iterator[pd.DataFrame]:
@@ -144,56 +124,95 @@ def packed_partition(
     place = np.zeros((len(rows), 2), np.int64)
     for row in np.argsort(-numbers[:, 2], kind="stable"):
         place[row] = bins.place(int(numbers[row, 2]))
-    # pieces of the emptiest bins become bins of their own again
-    loose = np.flatnonzero(np.isin(place[:, 0], taken_apart(bins.fills, capacity)))
-    fills = np.concatenate((bins.fills, numbers[loose, 2])).astype(np.int64)
-    fills[place[loose, 0]] = 0
-    place[loose, 0], place[loose, 1] = len(bins.fills) + np.arange(len(loose)), 0
-    up = np.zeros(len(fills), bool)
-    up[going_up(fills[: len(bins.fills)].tolist(), capacity, fan_in)] = True
-    up[len(bins.fills) :] = True
+    finished = np.array(bins.fills)[place[:, 0]] >= NEARLY_FULL * capacity
+    # pieces of other bins are numbered within their length
+    left = np.flatnonzero(~finished)
+    order = left[np.argsort(numbers[left, 2], kind="stable")]
+    starts = np.flatnonzero(np.diff(numbers[order, 2], prepend=-1))
+    number = np.zeros(len(rows), np.int64)
+    number[order] = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
     frame = pd.DataFrame({
         "id": pd.Series(ids, dtype="object"), "piece": numbers[:, 0].astype(np.int32), "start": numbers[:, 1],
-        "length": numbers[:, 2], "crc": numbers[:, 3], "bin": (np.int64(own) << 40) + place[:, 0], "offset": place[:, 1],
-        "task": np.full(len(rows), own, np.int64), "fill": fills[place[:, 0]],
-        "up": up[place[:, 0]] & (place[:, 1] == 0),
+        "length": numbers[:, 2], "crc": numbers[:, 3], "task": np.full(len(rows), own, np.int64), "finished": finished,
+        "sequence": np.where(finished, sequence_number(0, own, 0) + place[:, 0], 0), "offset": np.where(finished, place[:, 1], 0),
+        "number": number,
     })
     for start in range(0, len(frame), 20_000):
         yield frame.iloc[start : start + 20_000]
 
 
-def merged_group(items: pd.DataFrame, capacity: int, fan_in: int, root: bool) -> pd.DataFrame:
-    """One best-fit round over the bins that neighbouring tasks bring.
+def sequence_number(level: int, task: int, place: int) -> int:
+    return (level << 58) + (task << 36) + place
 
-    A bin that is laid into another gets a row with that bin as ``into`` and its place there as
-    ``shift``; a bin that others may still meet gets a row with its fill and ``up`` set.
-    """
-    items = items.sort_values(["fill", "bin"], ascending=[False, True])
-    names, sizes = items["bin"].tolist(), items["fill"].tolist()
-    bins, contents = Bins(capacity), []
-    for name, size in zip(names, sizes):
-        number, shift = bins.place(size)
-        if number == len(contents):
-            contents.append([])
-        contents[number].append((name, size, shift))
-    apart = set() if root else set(taken_apart(bins.fills, capacity))
-    rows = []
-    for number, content in enumerate(contents):
-        if number in apart:
-            rows += [(name, size, True, None, 0) for name, size, _ in content]
-        else:
-            rows += [(name, 0, False, content[0][0], shift) for name, _, shift in content[1:]]
-    whole = [0 if number in apart else fill for number, fill in enumerate(bins.fills)]
-    if not root:
-        rows += [(contents[number][0][0], whole[number], True, None, 0) for number in going_up(whole, capacity, fan_in)]
-    out = pd.DataFrame(rows, columns=["bin", "fill", "up", "into", "shift"])
-    out["task"] = np.int64(items["task"].iloc[0] // fan_in)
-    return out.astype({"bin": "int64", "fill": "int64", "shift": "int64", "into": "Int64", "up": "bool"})
 
+def packed_counts(counts: dict[int, int], capacity: int, root: bool) -> tuple[list[tuple[int, int, int, int, int]], int]:
+    """Best-fit, longest first, of so many pieces of each length. Gives the runs laid into finished bins (length, first
+    number, pieces, first bin, offset; piece k of a run lies in the k-th bin), and how many bins that are.
 
-def merging(capacity: int, fan_in: int, root: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    Equal bins are kept as groups: how many, and the runs they hold. Bins are numbered when all are packed.
+    """
+    groups: dict[int, list[tuple[int, tuple]]] = defaultdict(list)  # by free space
+    free_sizes = 0
+    for length in sorted(counts, reverse=True):
+        todo = counts[length]
+        while todo:
+            roomy = free_sizes >> length
+            if roomy:
+                free = length + (roomy & -roomy).bit_length() - 1
+                n, content = groups[free].pop()
+                taken, each = min(n, todo), 1
+                if n > taken:
+                    groups[free].append((n - taken, content))
+            else:
+                # as many new bins as are filled by pieces of this length alone; the last one may get fewer
+                free, content, each = capacity, (), min(todo, capacity // length)
+                taken = todo // each
+            todo -= taken * each
+            if free in groups and not groups[free]:
+                del groups[free]
+                free_sizes &= ~(1 << free)
+            rest = free - length * each
+            groups[rest].append((taken, content + (length,) * each))
+            free_sizes |= 1 << rest
+    runs, bins, used = [], 0, defaultdict(int)
+    for free in sorted(groups):
+        if not root and capacity - free < NEARLY_FULL * capacity:
+            break
+        for n, content in groups[free]:
+            offset = 0
+            for length in content:
+                runs.append((length, used[length], n, bins, offset))
+                used[length] += n
+                offset += length
+            bins += n
+    return runs, bins
+
+
+RUNS = "kind string, task long, child long, length long, first long, n long, sequence long, offset long"
+
+
+def merged_group(items: pd.DataFrame, capacity: int, fan_in: int, root: bool, level: int) -> pd.DataFrame:
+    """One best-fit round over what neighbouring tasks bring: rows of task, length and n.
+
+    ``child`` rows say from which number on a child's pieces of a length are counted here (``first``), ``run`` rows what
+    is laid where, ``rest`` rows how many pieces go on, after those from 0 to ``first`` were laid.
+    """
+    task, rows = int(items["task"].iloc[0] // fan_in), []
+    counts: dict[int, int] = defaultdict(int)
+    for child, length, n in sorted(zip(items["task"].tolist(), items["length"].tolist(), items["n"].tolist())):
+        rows.append(("child", task, child, length, counts[length], n, 0, 0))
+        counts[length] += n
+    used: dict[int, int] = defaultdict(int)
+    for length, first, n, place, offset in packed_counts(counts, capacity, root)[0]:
+        rows.append(("run", task, 0, length, first, n, sequence_number(level, task, place), offset))
+        used[length] += n
+    rows += [("rest", task, 0, length, used[length], n - used[length], 0, 0) for length, n in counts.items()]
+    return pd.DataFrame(rows, columns=[field.split()[0] for field in RUNS.split(", ")])
+
+
+def merging(capacity: int, fan_in: int, root: bool, level: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def merge(group: pd.DataFrame) -> pd.DataFrame:
-        return merged_group(group, capacity, fan_in, root)
+        return merged_group(group, capacity, fan_in, root, level)
 
     return merge
 
@@ -212,38 +231,46 @@ def pack(
     # identifiers travel as text, so that a missing one stays missing
     source = docs.select(F.col(id_column).cast("string").alias("id"), F.col(text_column).alias("text"))
     schema = (
-        "id string, piece int, start long, length long, crc long, bin long, offset long, task long, fill long, up boolean"
+        "id string, piece int, start long, length long, crc long, task long, finished boolean, sequence long, offset long, number long"
     )
     pieces = work.keep(source.mapInPandas(leaf, schema), "pieces")
-
-    items = pieces.where("up").select("bin", "fill", "task")
-    moves = None
+    left = pieces.where("NOT finished")
+    items = left.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n"))
     top = pieces.agg(F.max("task")).first()[0] or 0
-    root = False
+    # of a partition's pieces of a length: how many, from which number on they are still to be laid, the tree's task they
+    # have reached, and what is added to their numbers there
+    none = F.lit(0).cast("long")
+    reached = items.select(F.col("task").alias("leaf"), "length", F.col("n").alias("held"), none.alias("since"), "task", none.alias("shift"))
+    laid, root, level = None, False, 0
     while not root:
-        root = top < fan_in
-
-        merge = merging(capacity, fan_in, root)
-        merged = items.groupBy((F.col("task") / fan_in).cast("long")).applyInPandas(
-            merge, "bin long, fill long, up boolean, into long, shift long, task long"
+        root, level = top < fan_in, level + 1
+        merged = items.groupBy((F.col("task") / fan_in).cast("long")).applyInPandas(merging(capacity, fan_in, root, level), RUNS)
+        merged = work.keep(merged, "level")
+        child = merged.where("kind = 'child'").select(F.col("child").alias("task"), "length", F.col("task").alias("parent"), "first")
+        reached = reached.join(child, ["task", "length"]).select(
+            "leaf", "length", "held", "since", F.col("parent").alias("task"), (F.col("shift") + F.col("first")).alias("shift")
         )
-        level = work.keep(merged, "level")
-        items = level.where("up").select("bin", "fill", "task")
-        fresh = level.where("into IS NOT NULL").select("bin", "into", "shift")
-        if moves is None:
-            moves = fresh
-        else:
-            # what an earlier level laid into a bin moves on with that bin
-            onward = fresh.select(F.col("bin").alias("into"), F.col("into").alias("onto"), F.col("shift").alias("further"))
-            moves = moves.join(onward, "into", "left").select(
-                "bin", F.coalesce("onto", "into").alias("into"), (F.col("shift") + F.coalesce("further", F.lit(0))).alias("shift")
-            ).union(fresh)
+        reached = work.keep(reached, "reached")
+        runs = merged.where("kind = 'run'").select("task", "length", "first", "n", "sequence", "offset")
+        # the part of each run that a partition's own numbers fall into
+        low = F.greatest(F.col("since"), F.col("first") - F.col("shift"))
+        high = F.least(F.col("held"), F.col("first") + F.col("n") - F.col("shift"))
+        here = reached.join(runs, ["task", "length"]).where(low < high).select(
+            "leaf", "length", low.alias("low"), high.alias("high"),
+            (F.col("sequence") + F.col("shift") - F.col("first")).alias("sequence"), "offset",
+        )
+        laid = here if laid is None else laid.union(here)
+        rest = merged.where("kind = 'rest'")
+        items = rest.where("n > 0").select("task", "length", "n")
+        reached = reached.join(rest.select("task", "length", F.col("first").alias("used")), ["task", "length"]).select(
+            "leaf", "length", "held", F.greatest(F.col("since"), F.col("used") - F.col("shift")).alias("since"), "task",
+            (F.col("shift") - F.col("used")).alias("shift"),
+        )
         top //= fan_in
-    moves = work.keep(moves, "moves")
-    placed = pieces.join(moves, "bin", "left").select(
-        *pieces.columns, F.coalesce("into", "bin").alias("into"), F.coalesce("shift", F.lit(0)).alias("shift")
+    laid = work.keep(laid, "laid").select(F.col("leaf").alias("task"), "length", "low", "high", F.col("sequence").alias("base"), F.col("offset").alias("at"))
+    inside = (F.col("number") >= F.col("low")) & (F.col("number") < F.col("high"))
+    placed = left.join(laid, ["task", "length"]).where(inside).select(
+        "id", "piece", "start", "length", "crc", (F.col("base") + F.col("number")).alias("sequence"), F.col("at").alias("offset")
     )
-    return placed.select(
-        F.col("id").cast(kind).alias("id"), "piece", "start", "length", "crc", F.col("into").alias("sequence"),
-        (F.col("offset") + F.col("shift")).alias("offset"),
-    )
+    done = pieces.where("finished").select("id", "piece", "start", "length", "crc", "sequence", "offset")
+    return done.union(placed).withColumn("id", F.col("id").cast(kind))

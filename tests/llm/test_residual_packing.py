@@ -10,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from goldleaf.llm.query_residual_packing import RANKS, VOCABULARY, packed
-from goldleaf.llm.residual_packing import Bins, encode, going_up, merged_group, pack, pieces_of
+from goldleaf.llm.residual_packing import Bins, encode, merged_group, pack, packed_counts, pieces_of
 from tests.llm.helpers import documents, edge_rows, empty_documents, prose
 
 
@@ -66,22 +66,62 @@ def test_best_fit_takes_the_fullest_bin():
     assert bins.fills == [10, 9]
 
 
-def test_what_goes_up_is_bounded():
-    random.seed(3)
+@pytest.mark.parametrize("seed", range(5))
+def test_counts_are_packed_like_single_pieces(seed):
+    """Runs hold every piece once, bins are gapless, and there are as many as best-fit makes piece by piece."""
+    draw = random.Random(seed)
+    lengths = [draw.choice([draw.randint(1, 64), 40, 25, 9]) for _ in range(3000)]
+    counts = dict(zip(*np.unique(lengths, return_counts=True)))
+    counts = {int(length): int(n) for length, n in counts.items()}
     bins = Bins(64)
-    for length in sorted((random.randint(1, 64) for _ in range(5000)), reverse=True):
+    for length in sorted(lengths, reverse=True):
         bins.place(length)
-    up = going_up(bins.fills, 64, 8)
-    assert sum(2 * bins.fills[i] <= 64 for i in up) <= 1 and len(up) <= 8 * 32 + 1
-    # equal large bins cannot meet: only fan_in of them go on
-    assert len(going_up([40] * 1000, 64, 8)) == 8
+    runs, n_bins = packed_counts(counts, 64, True)
+    assert n_bins == len(bins.fills)
+    content = {}
+    for length, first, n, place, offset in runs:
+        for k in range(n):
+            content.setdefault(place + k, []).append((offset, length))
+    assert sorted(content) == list(range(n_bins))
+    for found in content.values():
+        found.sort()
+        assert [offset for offset, _ in found] == [sum(length for _, length in found[:k]) for k in range(len(found))]
+    for length, n in counts.items():
+        numbers = [first + k for run, first, many, _, _ in runs if run == length for k in range(many)]
+        assert sorted(numbers) == list(range(n))
+    nearly = packed_counts(counts, 64, False)[0]
+    filled = {}
+    for length, _, n, place, _ in nearly:
+        for k in range(n):
+            filled[place + k] = filled.get(place + k, 0) + length
+    assert all(fill >= 0.98 * 64 for fill in filled.values())
 
 
-def test_merge_moves_whole_bins():
-    items = pd.DataFrame({"bin": [1, 2, 3, 4], "fill": [40, 20, 30, 60], "task": [0, 1, 2, 3]})
-    out = merged_group(items, 64, 8, True)
-    moved = out[out["into"].notna()]
-    assert dict(zip(moved["bin"], moved["into"])) == {2: 1} and moved["shift"].tolist() == [40]
+def test_what_goes_up_is_bounded():
+    """However many pieces tasks bring, a task of the tree gives a few rows per length."""
+    rng = random.Random(3)
+    items = pd.DataFrame([(task, length, rng.randint(1, 10**6)) for task in range(8) for length in range(1, 65)], columns=["task", "length", "n"])
+    out = merged_group(items, 64, 8, False, 1)
+    assert len(out) < 40 * 64
+    brought = items.groupby("length")["n"].sum()
+    laid, rest = out[out["kind"] == "run"].groupby("length")["n"].sum(), out[out["kind"] == "rest"].set_index("length")["n"]
+    assert (laid.reindex(brought.index, fill_value=0) + rest == brought).all()
+
+
+def test_lengths_that_lie_apart_still_meet(spark):
+    """A partition of long texts and seven of texts that fit beside them: near the lower bound, as if dealt at random."""
+    long, short = "a " * 1099, "b " * 899
+    rows = [(i, long) for i in range(400)] + [(1000 + i, short) for i in range(400)]
+    parts = [spark.createDataFrame(rows[:400], "doc_id long, text string").coalesce(1)]
+    parts += [spark.createDataFrame(rows[400 + k::7], "doc_id long, text string").coalesce(1) for k in range(7)]
+    docs = parts[0]
+    for part in parts[1:]:
+        docs = docs.union(part)
+    found = pack(docs, VOCABULARY, RANKS).toPandas()
+    check(found, 2048)
+    assert len(found) == 800 and set(found["length"]) <= set(range(890, 1111))
+    least = -(-found["length"].sum() // 2048)
+    assert found["sequence"].nunique() <= 1.03 * least
 
 
 def test_edge_cases(spark):
