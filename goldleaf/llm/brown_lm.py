@@ -32,6 +32,7 @@ empty table gives an empty result. Only identifier and text are read, so other c
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -54,6 +55,8 @@ DISCOUNT = 0.75
 HALF = 0.5
 # How many texts of a batch are laid out as 64-bit numbers at a time.
 TEXTS_AT_ONCE = 1_000
+# Types whose counts travel together.
+TYPES_AT_ONCE = 256
 # Texts whose places travel together, as a power of two; rarer words (with repeats) in a part; words of a part at a time.
 GROUP_BITS = 7
 PART_WORDS = 1 << 20
@@ -179,14 +182,21 @@ def count_words(training: DataFrame, buckets: int) -> DataFrame:
     return rows.groupBy("w").agg(F.first("bucket").alias("bucket"), F.sum("c").alias("c"))
 
 
+def packed(values: np.ndarray, kind: str) -> bytes:
+    """Small numbers as few bytes, for a shuffle."""
+    return zlib.compress(values.astype(kind).tobytes(), 1)
+
+
+def unpacked(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), kind).astype(np.int64)
+
+
 def joined(columns: pd.Series, kind: str) -> np.ndarray:
     """Stored numbers of several rows, one after the other."""
     return np.frombuffer(b"".join(columns), kind).astype(np.int64)
 
 
-def class_contexts(
-    sequences: DataFrame, classes: np.ndarray, n_classes: int, kind: str, shards: int = 16
-) -> tuple[np.ndarray, ...]:
+def class_contexts(sequences: DataFrame, classes: np.ndarray, n_classes: int, kind: str) -> tuple[np.ndarray, ...]:
     """after, before (type by class) and own, summed over the corpus. Types and classes are bounded parameters."""
     n_types = len(classes)
 
@@ -204,21 +214,21 @@ def class_contexts(
             seen = True
         if seen:
             both = np.concatenate((after.reshape(n_types, -1), before.reshape(n_types, -1), own[:, None]), axis=1)
-            used = np.flatnonzero(both.any(axis=1))
-            yield pd.DataFrame({"t": used, "counts": [both[t].astype("<i8").tobytes() for t in used]})
+            for block, first in enumerate(range(0, n_types, TYPES_AT_ONCE)):
+                part = both[first : first + TYPES_AT_ONCE]
+                if part.any():
+                    yield pd.DataFrame({"block": [block], "counts": [packed(part, "<u4")]})
 
     def summed(group: pd.DataFrame) -> pd.DataFrame:
-        totals: dict[int, np.ndarray] = {}
-        for t, counts in zip(group["t"], group["counts"]):
-            row = np.frombuffer(counts, "<i8")
-            totals[t] = totals[t] + row if t in totals else row
-        return pd.DataFrame({"t": list(totals), "counts": [row.astype("<i8").tobytes() for row in totals.values()]})
-
-    parts = sequences.select("types").mapInPandas(counted, "t long, counts binary")
-    rows = parts.groupBy(F.pmod("t", F.lit(shards))).applyInPandas(summed, "t long, counts binary").collect()
+        total = sum(unpacked(counts, "<u4") for counts in group["counts"])
+        return pd.DataFrame({"block": group["block"].iloc[:1], "counts": [total.astype("<i8").tobytes()]})
+
+    parts = sequences.select("types").mapInPandas(counted, "block long, counts binary")
+    rows = parts.groupBy("block").applyInPandas(summed, "block long, counts binary").collect()
     table = np.zeros((n_types, 2 * n_classes + 1), np.int64)
-    for t, counts in rows:
-        table[t] = np.frombuffer(counts, "<i8")
+    for block, counts in rows:
+        first = block * TYPES_AT_ONCE
+        table[first : first + TYPES_AT_ONCE] = np.frombuffer(counts, "<i8").reshape(-1, table.shape[1])
     return table[:, :n_classes], table[:, n_classes : 2 * n_classes], table[:, -1]
 
 
@@ -358,7 +368,7 @@ def word_places(rows: DataFrame, model: Model, parts: int) -> DataFrame:
         order = np.lexsort((words, part))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        around = around[np.argsort(rank[listed], kind="stable")].astype("<u2")
+        around = around[np.argsort(rank[listed], kind="stable")]
         often = np.bincount(rank[listed], minlength=len(order))
         words, part, local, place = words[order], part[order], local[order], place[order]
         fresh = np.concatenate(([True], words[1:] != words[:-1]))
@@ -369,8 +379,8 @@ def word_places(rows: DataFrame, model: Model, parts: int) -> DataFrame:
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             x, y = np.searchsorted(heads, (a, b))
             yield (
-                int(part[a]), group, words[heads[x:y]].tobytes(), texts_of[x:y].astype("<u2").tobytes(), local[a:b].astype("u1").tobytes(),
-                place[a:b].astype("<u4").tobytes(), often[a:b].astype("<u4").tobytes(), around[upto[a] : upto[b]].tobytes(),
+                int(part[a]), group, words[heads[x:y]].tobytes(), packed(texts_of[x:y], "<u2"), packed(local[a:b], "u1"),
+                packed(place[a:b], "<u4"), packed(often[a:b], "<u4"), packed(around[upto[a] : upto[b]], "<u2"),
             )
 
     def gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -406,12 +416,16 @@ def told_places(places: DataFrame, matrix: np.ndarray, min_count: int) -> DataFr
 
     def told(rows: pd.DataFrame) -> pd.DataFrame:
         unique, word = np.unique(joined(rows["w"], "<i8"), return_inverse=True)
-        word = np.repeat(word, joined(rows["texts"], "<u2"))
-        local, place, often = joined(rows["local"], "u1"), joined(rows["place"], "<u4"), joined(rows["often"], "<u4")
-        c, best = part_classes(np.repeat(word, often), joined(rows["around"], "<u2"), len(unique), matrix, min_count)
+        texts, local, place, often, around = (
+            [unpacked(one, kind) for one in rows[name]]
+            for name, kind in (("texts", "<u2"), ("local", "u1"), ("place", "<u4"), ("often", "<u4"), ("around", "<u2"))
+        )
+        ends = np.cumsum([len(one) for one in local])
+        local, place, often = np.concatenate(local), np.concatenate(place), np.concatenate(often)
+        word = np.repeat(word, np.concatenate(texts))
+        c, best = part_classes(np.repeat(word, often), np.concatenate(around), len(unique), matrix, min_count)
         c, best = c[word], best[word]
         news = (best >= 0) | (c != (often > 0))
-        ends = np.cumsum([len(one) for one in rows["local"]])
         out = []
         for group, a, b in zip(rows["grp"], np.append(0, ends[:-1]), ends):
             keep = a + np.flatnonzero(news[a:b])
