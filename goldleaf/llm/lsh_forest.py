@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.common import Workspace
+from goldleaf.llm.common import Workspace, free_name
 from goldleaf.llm.words import mix, shingles
 
 TREES, DEPTH = 24, 8
@@ -186,7 +186,7 @@ def stored_rows(
     docs: DataFrame, columns: list[str], id_column: str, text_column: str, size: int, work: Workspace
 ) -> DataFrame:
     """uid, id, text, words, signature, and ``columns`` as ``rest``. Row numbers hold because the rows are stored."""
-    rest = F.struct(F.lit(None).alias("_"), *(F.col(f"`{name}`") for name in columns))
+    rest = F.struct(F.lit(None).alias(free_name(docs, "_")), *(F.col(f"`{name}`") for name in columns))
     rows = docs.select(
         F.monotonically_increasing_id().alias("uid"), F.col(id_column).alias("id"),
         F.col(text_column).alias("text"), rest.alias("rest"), sketch(F.col(text_column), size).alias("s"),
@@ -194,6 +194,22 @@ def stored_rows(
     return work.keep(rows.select("uid", "id", "text", "rest", "s.*"), "rows")
 
 
+def links_inside(firsts: DataFrame, classes: DataFrame, texts: DataFrame, similarity: float, block: int) -> DataFrame:
+    """uid and how many rows of its class it is linked with, not counting its own copies: all pairs, in blocks."""
+    sized = classes.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("label")
+    members = classes.join(sized, "label").join(firsts.select("uid", "copies"), "uid")
+
+    def counted(group: pd.DataFrame) -> pd.DataFrame:
+        left, right, group = linked_pairs(group, similarity)
+        copies = group["copies"].to_numpy()
+        links = np.bincount(left, copies[right], len(group)) + np.bincount(right, copies[left], len(group))
+        return pd.DataFrame({"uid": group["uid"], "links": links.astype(np.int64)})
+
+    in_blocks = block_tasks(members, "label", block).join(texts, "uid")
+    counts = in_blocks.groupBy("label", "i", "j").applyInPandas(counted, "uid long, links long")
+    return counts.groupBy("uid").agg(F.sum("links").alias("links"))
+
+
 def near_classes(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY,
     trees: int = TREES, depth: int = DEPTH, recall: float = RECALL, block: int = BLOCK,
@@ -206,8 +222,9 @@ def near_classes(
 
 def classes_of(
     rows: DataFrame, work: Workspace, similarity: float = SIMILARITY, trees: int = TREES, depth: int = DEPTH,
-    recall: float = RECALL, block: int = BLOCK,
+    recall: float = RECALL, block: int = BLOCK, count_links: bool = True,
 ) -> DataFrame:
+    """Without ``count_links`` the links inside classes are left uncounted, and ``n_links`` is null."""
     firsts = work.keep(
         rows.where("words IS NOT NULL").groupBy("words").agg(F.min("uid").alias("uid"), F.count(F.lit(1)).alias("copies")),
         "firsts",
@@ -289,26 +306,18 @@ def classes_of(
         classes = labels.join(merged, "label", "left").select("uid", F.coalesce("to", "label").alias("label"))
         classes = work.keep(classes, "classes")
 
-    # all links inside each class, counted in blocks
-    sized = classes.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("label")
-    members = classes.join(sized, "label").join(firsts.select("uid", "copies"), "uid")
-
-    def counted(group: pd.DataFrame) -> pd.DataFrame:
-        left, right, group = linked_pairs(group, similarity)
-        copies = group["copies"].to_numpy()
-        links = np.bincount(left, copies[right], len(group)) + np.bincount(right, copies[left], len(group))
-        return pd.DataFrame({"uid": group["uid"], "links": links.astype(np.int64)})
-
-    in_blocks = block_tasks(members, "label", block).join(texts, "uid")
-    counts = in_blocks.groupBy("label", "i", "j").applyInPandas(counted, "uid long, links long")
-    counts = counts.groupBy("uid").agg(F.sum("links").alias("links"))
+    if count_links:
+        counts = links_inside(firsts, classes, texts, similarity, block)
+        links = F.coalesce(F.col("links"), F.lit(0)) + F.col("copies") - 1
+    else:
+        counts, links = firsts.select("uid"), F.lit(None).cast("long")
     node_facts = firsts.join(classes, "uid", "left").join(counts, "uid", "left").select(
         "words", F.coalesce("label", "uid").alias("label"),
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        links.alias("n_links"),
     )
     node_facts = work.keep(node_facts, "facts")
     placed = rows.select("uid", "id", "words").join(node_facts, "words", "left").select(
-        "uid", "id", F.coalesce("label", "uid").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+        "uid", "id", F.coalesce("label", "uid").alias("label"), (F.coalesce("n_links", F.lit(0)) if count_links else F.col("n_links")).alias("n_links")
     )
     order = F.struct(F.col("id").isNull().alias("unnamed"), F.col("id").alias("id"), F.col("uid").alias("uid"))
     heads = placed.groupBy("label").agg(F.min(order).alias("head"), F.count(F.lit(1)).alias("class_size"))
@@ -322,6 +331,6 @@ def kept_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
     work = Workspace(docs.sparkSession, "lsh-forest")
     others = [name for name in docs.columns if name != text_column]
     rows = stored_rows(docs, others, id_column, text_column, TREES * DEPTH, work)
-    gone = classes_of(rows, work).where(~F.col("first")).select("uid")
+    gone = classes_of(rows, work, count_links=False).where(~F.col("first")).select("uid")
     kept = rows.join(gone, "uid", "left_anti")
     return kept.select(*(F.col("text").alias(name) if name == text_column else F.col("rest")[name].alias(name) for name in docs.columns))

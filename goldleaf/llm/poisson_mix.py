@@ -83,20 +83,20 @@ def replicate(
     work = Workspace(docs.sparkSession, "poisson-mix")
     rates = work.keep(source_rates(docs, weights, other_weight, rounds, source_column, text_column), "rates")
     columns = docs.columns if columns is None else columns
-    copy, key = free_name(docs, "copy"), free_name(docs, "shuffle_key")
+    copy, key, source, name, often = (free_name(docs, wanted) for wanted in ("copy", "shuffle_key", "_from", "_who", "_count"))
     who = F.coalesce(F.col(id_column).cast("string"), F.concat(F.lit("text "), F.md5(text_or_empty(text_column))))
-    ready = docs.select(*columns, F.col(source_column).alias("_from"), who.alias("_who"))
-    joined = ready.join(rates, ready["_from"].eqNullSafe(rates["source"])).select(
-        *(ready[name] for name in columns), "_who", rates["cdf"], rates["parts"]
+    ready = docs.select(*columns, F.col(source_column).alias(source), who.alias(name))
+    joined = ready.join(rates, ready[source].eqNullSafe(rates["source"])).select(
+        *(ready[column] for column in columns), name, rates["cdf"], rates["parts"]
     )
 
     def drawn(total: Column, part: Column) -> Column:
-        u = uniform(seed, part.cast("string"), F.col("_who"))
+        u = uniform(seed, part.cast("string"), F.col(name))
         return total + F.size(F.filter(rates["cdf"], lambda c: c <= u))
 
     count = F.aggregate(F.sequence(F.lit(1), rates["parts"]), F.lit(0), drawn)
-    counted = joined.select(*(ready[name] for name in columns), "_who", count.alias("_count")).where("_count > 0")
-    copies = counted.select(*columns, "_who", F.explode(F.sequence(F.lit(1), F.col("_count"))).alias(copy))
-    order = F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), F.col(copy).cast("string"), F.col("_who")))
+    counted = joined.select(*(ready[column] for column in columns), name, count.alias(often)).where(F.col(often) > 0)
+    copies = counted.select(*columns, name, F.explode(F.sequence(F.lit(1), F.col(often))).alias(copy))
+    order = F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), F.col(copy).cast("string"), F.col(name)))
     keyed = copies.select(*columns, copy, order.alias(key))
     return keyed.repartition(F.col(key)).sortWithinPartitions(key)

@@ -27,7 +27,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.common import Workspace
+from goldleaf.llm.common import Workspace, free_name
 
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -53,18 +53,25 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def located(docs: DataFrame, work: Workspace) -> DataFrame:
+def located(docs: DataFrame, work: Workspace, at: str = "_at") -> DataFrame:
     """The rows with a locator that stays the same: file and row. Rows not read from files are stored first."""
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        # not the column of that name, which the table may have too
+        file = rows.metadataColumn("_metadata")
+        return rows.select("*", F.struct(file["file_path"].alias("file"), file["row_index"].alias("row")).alias(at))
+
     try:
-        return docs.select("*", place.alias("_at"))
+        return placed(docs)
     except AnalysisException:
-        return work.keep(docs, "content").select("*", place.alias("_at"))
+        return placed(work.keep(docs, "content"))
 
 
-def fingerprints(content: DataFrame, id_column: str, text_column: str, digest: Callable[[Column], Column]) -> DataFrame:
+def fingerprints(
+    content: DataFrame, id_column: str, text_column: str, digest: Callable[[Column], Column], at: str = "_at"
+) -> DataFrame:
     text = normalised(F.col(text_column))
-    columns = [F.col(id_column).alias("id"), F.col("_at").alias("at"), digest(text).alias("digest")]
+    columns = [F.col(id_column).alias("id"), F.col(at).alias("at"), digest(text).alias("digest")]
     if digest is not sha256:
         columns.append(sha256(text).alias("sha"))
     return content.select(*columns)
@@ -118,16 +125,17 @@ def classes(
 ) -> DataFrame:
     """One row per input row: id, at (its locator), keep_id, group_size, kept, sha (of its text)."""
     work = Workspace(docs.sparkSession, "stream-dedup")
-    content = located(docs, work)
-    return classes_of(content, work, id_column, text_column, digest, state_folder, bytes_per_batch)
+    content = located(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")), work)
+    return classes_of(content, work, "id", "text", digest, state_folder, bytes_per_batch)
 
 
 def classes_of(
     content: DataFrame, work: Workspace, id_column: str = "doc_id", text_column: str = "text",
     digest: Callable[[Column], Column] = sha256, state_folder: str | None = None, bytes_per_batch: int = BYTES_PER_BATCH,
+    at: str = "_at",
 ) -> DataFrame:
-    """The same for rows that have their locator as ``_at``."""
-    prints = work.keep(fingerprints(content, id_column, text_column, digest), "fingerprints")
+    """The same for rows that have their locator as ``at``."""
+    prints = work.keep(fingerprints(content, id_column, text_column, digest, at), "fingerprints")
     state_folder = state_folder or work.path("state")
     advance_state(prints, state_folder, bytes_per_batch)
     state = read_state(prints, state_folder)
@@ -136,7 +144,7 @@ def classes_of(
     repeated = work.keep(repeated, "repeated")
     text = normalised(F.col(text_column))
     # the repeated rows grow with the input, so they are never broadcast
-    whole = content.select(F.col("_at").alias("at"), text.alias("text"))
+    whole = content.select(F.col(at).alias("at"), text.alias("text"))
     texts = work.keep(whole.join(repeated.hint("merge"), "at"), "texts")
     stays = texts.where("at = first_at").select("digest", F.col("text").alias("first_text"))
     strays = texts.where("at <> first_at").join(stays, "digest").where("text <> first_text").select("at", "digest", "text")
@@ -168,6 +176,7 @@ def classes_of(
 def kept_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
     work = Workspace(docs.sparkSession, "stream-dedup")
-    content = located(docs, work)
-    gone = classes_of(content, work, id_column, text_column).where(~F.col("kept")).select(F.col("at").alias("_at"))
-    return content.join(gone, "_at", "left_anti").select(*docs.columns)
+    at = free_name(docs, "_at")
+    content = located(docs, work, at)
+    gone = classes_of(content, work, id_column, text_column, at=at).where(~F.col("kept")).select(F.col("at").alias(at))
+    return content.join(gone, at, "left_anti").select(*docs.columns)

@@ -61,10 +61,13 @@ def month_number(at: Column) -> Column:
 def intervals(events: DataFrame) -> DataFrame:
     """list, verdict, key, valid_from, valid_to (exclusive, null while open)."""
     dated = events.where("list IS NOT NULL AND key IS NOT NULL AND day IS NOT NULL")
-    order = F.struct(F.coalesce("seq", F.lit(0)).alias("seq"), (F.col("action") == "remove").alias("gone"))
-    daily = dated.groupBy("list", "verdict", "key", "day").agg(F.max_by("action", order).alias("action"))
-    following = Window.partitionBy("list", "verdict", "key").orderBy("day")
-    spans = daily.withColumn("valid_to", F.lead("day").over(following)).where("action = 'add'")
+    order = F.struct(
+        F.coalesce("seq", F.lit(0)).alias("seq"), (F.col("action") == "remove").alias("gone"), F.col("verdict").alias("verdict")
+    )
+    daily = dated.groupBy("list", "key", "day").agg(F.max_by(F.struct("action", "verdict"), order).alias("event"))
+    # whatever it says, the next event of the same list and key ends an entry
+    following = Window.partitionBy("list", "key").orderBy("day")
+    spans = daily.select("list", "key", "day", "event.*").withColumn("valid_to", F.lead("day").over(following)).where("action = 'add'")
     return spans.select("list", "verdict", "key", F.col("day").alias("valid_from"), "valid_to")
 
 

@@ -9,7 +9,9 @@ SMALL = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 # The columns of documents, and columns whose names operators use inside.
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
-CLASHING = DOCUMENTS + ", uid long, copy string, shuffle_key string, rules string, digest string, at string, id string, _uid long, s int"
+CLASHING = DOCUMENTS + ", uid long, copy string, shuffle_key string, rules string, digest string, at string, id string, _uid long, s int, " + ", ".join(
+    f"`{name}` string" for name in ("_at", "_metadata", "_who", "_from", "_count", "_", "found", "n_bytes")
+)
 
 
 def words(text):
@@ -23,7 +25,7 @@ def documents(spark, rows, clashing=False):
         doc_id, text, lang, source = (*row, *("en", "src0")[len(row) - 2 :])[:4] if len(row) < 4 else row
         values = [doc_id, text, lang, source, None if text is None else len(text)]
         if clashing:
-            values += [7, "copy", "key", "rules", "digest", "at", "id", 8, 9]
+            values += [7, "copy", "key", "rules", "digest", "at", "id", 8, 9, *"abcdefgh"]
         full.append(tuple(values))
     return spark.createDataFrame(full, CLASHING if clashing else DOCUMENTS)
 

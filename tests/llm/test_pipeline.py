@@ -102,7 +102,7 @@ def test_stages_keep_columns_and_take_edge_cases(spark):
 def test_registered():
     assert [name for name in NAMES if name not in QUERIES] == []
     assert entry_points.queries().keys() >= {*NAMES, "pipeline"}
-    assert set(ORACLES) == {"op3_temporal_lists", "op5_poisson_mix", "op7_stream_dedup"}
+    assert set(ORACLES) == {"op3_temporal_lists", "op5_poisson_mix", "op7_stream_dedup", "op12_block_max_search"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -47,6 +47,18 @@ def test_entries_hold_from_addition_to_the_next_event(spark):
     assert blocked == {10, 19, 40, 400}
 
 
+def test_an_entry_ends_with_any_event_of_its_list_and_key(spark):
+    """Blocked, then allowed by the same list: from then on only the later verdict holds."""
+    events = spark.createDataFrame([
+        ("l", "block", "host:a.b", day(0), "add", 0), ("l", "allow", "host:a.b", day(31), "add", 0),
+        ("other", "block", "host:c.d", day(0), "add", 0), ("l", "allow", "host:c.d", day(31), "add", 0),
+    ], EVENTS)
+    rows = captures(spark, [(1, "http://a.b/", day(10)), (2, "http://a.b/", day(60)), (3, "http://c.d/", day(60))])
+    assert decisions(judged(rows, events, "page_id", "url", "at")) == {
+        1: ("block", "host:a.b", 1), 2: ("allow", "host:a.b", 1), 3: ("block", "host:c.d", 2)
+    }
+
+
 def test_the_most_specific_key_decides(spark):
     events = spark.createDataFrame([
         ("x", "block", "domain:b.example", day(0), "add", 0), ("y", "allow", "host:a.b.example", day(0), "add", 0),

@@ -72,8 +72,8 @@ def test_batches_hold_about_the_same_bytes():
 def test_edge_cases(spark):
     docs = documents(spark, edge_rows() + [(8, ODD * 3000), (9, "京" * 100_000)], clashing=True).withColumn("n_tokens", F.lit(5))
     out = op.with_token_counts(docs, VOCABULARY)
-    assert out.columns == [*docs.columns, "n_bytes", "_n_tokens"] and out.count() == docs.count()
+    assert out.columns == [*docs.columns, "_n_bytes", "_n_tokens"] and out.count() == docs.count()
     for row in out.collect():
         text = row["text"] or ""
-        assert (row["n_bytes"], row["_n_tokens"], row["n_tokens"]) == (len(text.encode()), plain(text), 5)
+        assert (row["_n_bytes"], row["_n_tokens"], row["n_tokens"]) == (len(text.encode()), plain(text), 5)
     assert op.with_token_counts(empty_documents(spark), VOCABULARY).count() == 0
