@@ -2,7 +2,7 @@
 
 Every table of ``refresh_monitoring`` is partitioned by day here. Beside them lie ``logged_days``, a line per day of the log
 with the number of its successful calls and a fingerprint of them (a sum of hashes, which does not hang on order), and
-``value_counts``, the counts that profiles and drift are computed from.
+``value_counts``, the counts that profiles and drift are computed from, and ``profile_sketches``, which merge into profiles of several days.
 
 A refresh compares the log's days with those lines. Touched days are unpacked, counted and profiled again; drift looks back at the
 model's previous day, so the next day of each touched model is computed again too, from stored counts. New or changed labels
@@ -25,18 +25,22 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from goldleaf.operators.changes import snapshot_changes
-from goldleaf.plans import inference_log, monitoring
+from goldleaf.plans import inference_log, monitoring, monitoring_windows
 from goldleaf.plans.fare_jobs import LAYOUTS, Place
 from goldleaf.schemas import FEATURE_COLUMNS, PAYLOAD_LOG, require_columns
 from goldleaf.sources.tables import Layout, create_schema, discarding, replace_partitions, stored
 
 DAY = "day"
 LOGGED_DAYS, COUNTS, LABELS = "logged_days", "value_counts", "known_labels"
+SKETCHES = "profile_sketches"
 BY_DAY = {
     name: replace(layout, partition_by=(DAY,), gather_by=(), properties={"quality": "metric"})
     for name, layout in LAYOUTS.items()
     if name.startswith("monitor_") or name in ("inferences", "inference_processed")
-} | {COUNTS: Layout("Values per day, model and column", partition_by=(DAY,))}
+} | {
+    COUNTS: Layout("Values per day, model and column", partition_by=(DAY,)),
+    SKETCHES: Layout("Mergeable profile per day, model and column", partition_by=(DAY,)),
+}
 
 
 def call_day() -> Column:
@@ -131,6 +135,7 @@ def refresh_days(
             write("inferences", unpacked, days, gone)
             new = on_days(place.read("inferences"), days)
             write(COUNTS, monitoring.counted_values(new), days, gone)
+            write(SKETCHES, monitoring_windows.daily_sketches(new), days, gone)
             write("monitor_volume", monitoring.volume(new), days, gone)
             counts = place.read(COUNTS)
             write("monitor_profile", monitoring.profiles_of(on_days(counts, days)), days, gone)
