@@ -2,6 +2,7 @@
 
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from goldleaf.llm.common import Workspace
@@ -55,6 +56,39 @@ def test_state_outlives_a_run(spark):
     assert sorted(map(tuple, state)) == [(0, 4), (1, 1), (2, 1), (4, 2), (6, 1), (7, 1), (50, 1)]
 
 
+def by_length(text):
+    """A digest that texts of one length share."""
+    return F.unhex(F.lpad(F.hex(F.length(text)), 8, "0"))
+
+
+def so_far(batches, upto):
+    """Of the rows of a batch, what all batches up to one say of them."""
+    groups = expected([row for batch in batches[: upto + 1] for row in batch])
+    return {i: (min(ids), len(ids), i == min(ids)) for ids in groups.values() for i in ids}
+
+
+@pytest.mark.parametrize("digest", [sha256, by_length])
+def test_batches_through_the_public_function(spark, digest):
+    """Later batches meet the texts of earlier ones; under a forged digest the texts decide, whichever batch they came in."""
+    batches = [
+        ROWS,
+        [(0, "b a"), (50, "new"), (51, "zz top"), (52, None), (53, "a b")],
+        [(54, "zz  top"), (-1, "xx"), (55, ""), (56, "yy"), (57, "b a")],
+        [(58, "xx"), (59, "ab")],
+    ]
+    folder = Workspace(spark, "test-state").path("state")
+    for number, rows in enumerate(batches):
+        found = classes(documents(spark, rows), digest=digest, state_folder=folder, batch=f"day-{number}")
+        want = so_far(batches, number)
+        got = {row["id"]: (row["keep_id"], row["group_size"], row["kept"]) for row in found.collect()}
+        assert got == {row[0]: want[row[0]] for row in rows}
+    # given again: not counted twice, and told what all batches say by now
+    again = classes(documents(spark, batches[1]), digest=digest, state_folder=folder, batch="day-1")
+    want = so_far(batches, len(batches))
+    assert {r["id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in again.collect()} == {r[0]: want[r[0]] for r in batches[1]}
+    assert classes(empty_documents(spark), digest=digest, state_folder=folder).count() == 0
+
+
 def test_edge_cases(spark):
     docs = documents(spark, edge_rows(), clashing=True)
     kept = kept_documents(docs)
