@@ -7,10 +7,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from goldleaf.operators.changes import snapshot_changes, versions_from_changes
-from goldleaf.plans import bronze, gold_changes, refresh, silver, tracked
+from goldleaf.plans import bronze, gold_changes, history, refresh, silver, tracked
 from goldleaf.queries.common import (
     CUSTOMERS,
     FRANCHISES,
+    ORACLES,
     SILVER_CUSTOMERS,
     SILVER_FRANCHISES,
     SILVER_TRANSACTIONS,
@@ -321,3 +322,19 @@ def _(spark, folder):
         )
     )
     return naive_times(files.read_parquet(spark, f"{place}/silver_transactions").drop("_ingested_at"))
+
+
+@query("history_from_batches", ORACLES["scd2_from_changes"])
+def _(spark, folder):
+    """The same history, kept up by three batches: late orders come second, and the third brings some of them again."""
+    changes = sample.table(spark, folder, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority")
+    name = f"history_{uuid.uuid4().hex[:12]}"
+    place = run_folder(spark, "history")
+    tables.create_schema(spark, name, place)
+    kept = history.History(
+        f"{name}.orders", f"{place}/orders", ["o_custkey"], ["o_orderdate", "o_orderkey"], F.to_date("o_orderdate"), parts=8
+    )
+    year = F.coalesce(F.year("o_orderdate"), F.lit(0))
+    for batch in (year >= 1996, year < 1994, (year < 1993) | year.isin(1994, 1995)):
+        history.apply_batch(changes.where(batch), kept)
+    return naive_times(history.read_history(spark, kept))
