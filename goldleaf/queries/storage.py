@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from goldleaf.operators.changes import snapshot_changes, versions_from_changes
+from goldleaf.operators.expectations import TRANSACTION_RULES
 from goldleaf.plans import bronze, gold_changes, history, refresh, silver, tracked
 from goldleaf.queries.common import (
     CUSTOMERS,
@@ -26,7 +27,7 @@ from goldleaf.queries.common import (
 from goldleaf.session import run_folder
 from goldleaf.sources import files, tables
 from goldleaf.sources import sample_tables as sample
-from goldleaf.streaming import ingest
+from goldleaf.streaming import ingest, quarantine
 
 
 def _new_schema(spark, label):
@@ -338,3 +339,56 @@ def _(spark, folder):
     for batch in (year >= 1996, year < 1994, (year < 1993) | year.isin(1994, 1995)):
         history.apply_batch(changes.where(batch), kept)
     return naive_times(history.read_history(spark, kept))
+
+
+# The rules as SQL conditions, by name.
+_VIOLATED = {
+    "valid_transaction_id": '"transactionID" IS NULL',
+    "valid_customer_id": '"customerID" IS NULL',
+    "valid_franchise_id": '"franchiseID" IS NULL',
+    "positive_quantity": "NOT coalesce(quantity > 0, false)",
+    "positive_total": 'NOT coalesce("totalPrice" > 0, false)',
+}
+
+
+def _checked_stream(spark, folder):
+    """Sales lines taken in as a stream and held against the rules: where they are stored, and their schema."""
+    orders, part = sample.table(spark, folder, "orders"), sample.table(spark, folder, "part")
+    schema = sample.table(spark, folder, "lineitem").schema
+    lines = files.stream_files(spark, folder, schema, "parquet", name_pattern="lineitem.parquet")
+    sales, place = sample.sales_lines(lines, orders, part), run_folder(spark, "stream")
+    kept = ["transactionID", "customerID", "franchiseID", "quantity", "totalPrice"]
+    ingest.run_to_end(
+        quarantine.append_checked(sales, lambda df: df.select(*kept), TRANSACTION_RULES, f"{place}/sales", f"{place}/checkpoint")
+    )
+    return f"{place}/sales", sales.select(*kept).schema
+
+
+@query(
+    "stream_quarantine",
+    with_tables(
+        f"""SELECT * FROM (SELECT "transactionID", "customerID", "franchiseID", quantity, "totalPrice",
+                   concat_ws(',', {", ".join(f"CASE WHEN {bad} THEN '{name}' END" for name, bad in _VIOLATED.items())}) AS violated
+            FROM transactions) WHERE violated <> ''""",
+        TRANSACTIONS,
+    ),
+)
+def _(spark, folder):
+    bad = quarantine.quarantined_rows(spark, *_checked_stream(spark, folder))
+    return bad.withColumn("violated", F.array_join(quarantine.VIOLATED, ",")).drop(quarantine.VIOLATED, quarantine.BATCH)
+
+
+@query(
+    "stream_rule_counts",
+    with_tables(
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS rule, count(*) - count(CASE WHEN {bad} THEN 1 END) AS passed,
+                       count(CASE WHEN {bad} THEN 1 END) AS failed FROM transactions"""
+            for name, bad in _VIOLATED.items()
+        ),
+        TRANSACTIONS,
+    ),
+)
+def _(spark, folder):
+    counts = quarantine.rule_counts(spark, _checked_stream(spark, folder)[0])
+    return counts.groupBy("rule").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))

@@ -16,7 +16,8 @@ ROWS_ONLY: set[str] = set()
 EAGER = {
     "train_fare_model", "materialize_roundtrip", "clustered_write_scan", "overwrite_new_schema", "run_row_counts", "refresh_change_feed",
     "json_source_roundtrip", "stream_ingest_silver", "monitoring_row_counts", "publish_after_failed_write", "gold_from_changes",
-    "payment_from_changes", "monitor_drift_of_touched_days", "monitor_profile_window", "history_from_batches",
+    "payment_from_changes", "monitor_drift_of_touched_days", "monitor_profile_window", "history_from_batches", "stream_quarantine",
+    "stream_rule_counts",
 }
 
 
