@@ -9,8 +9,8 @@ probability s^d.
    the longest one for which 1 - (1 - s^d)^trees still reaches the target recall at the threshold.
 3. Prefixes are matched from the longest to that shortest one. All nodes below one trie node (one shared
    prefix in one tree) are compared with a hub chosen among them, so a trie node gives as many pairs as it
-   has members, however many share it. Verified links give members their hub's label, and members of one
-   label are not compared again.
+   has members, however many share it. In the first turns a node is compared with one of its hubs, not
+   with one per tree. Verified links join the labels of hub and member, and members of one label are not compared again.
 4. Trie nodes that still hold different labels at the shortest prefix are compared exhaustively, in blocks:
    each task gets two blocks of members and returns links alone. Nothing is capped.
 5. Connected components of all links are the classes. Inside each class all pairs of nodes are counted
@@ -43,6 +43,8 @@ TREES, DEPTH = 24, 8
 RECALL = 0.9999
 SIMILARITY = 0.8
 BLOCK = 256
+# Turns in which each node is compared with one hub only; what they leave apart is compared with all its hubs.
+ONE_EACH = 2
 
 
 def shortest_prefix(trees: int, depth: int, similarity: float, recall: float) -> int:
@@ -194,6 +196,34 @@ def stored_rows(
     return work.keep(rows.select("uid", "id", "text", "rest", "s.*"), "rows")
 
 
+def hub_pairs(matched: DataFrame, turn: int, one_each: bool) -> DataFrame:
+    """a, of, b, label: each member b of a trie node beside the hub a chosen among its members, where their labels differ.
+
+    A member is below up to one trie node per tree, and has as many hubs. With ``one_each`` it gets only that hub among
+    them that comes first in the order hubs are chosen by, so a group gives as many pairs as it has members.
+    """
+    # another member is the hub each turn; minimum of a hash is a choice that spreads over tasks
+    pick = F.struct(F.xxhash64(F.lit(turn), F.col("uid")).alias("_"), F.col("uid").alias("a"), F.col("label").alias("of"))
+    hubs = matched.groupBy("key").agg(
+        F.min(pick).alias("hub"), F.min("label").alias("low"), F.max("label").alias("high")
+    ).where("low < high").select("key", "hub")
+    pairs = matched.join(hubs, "key").where("label <> hub.of").select("hub", F.col("uid").alias("b"), "label")
+    pairs = pairs.groupBy("b", "label").agg(F.min("hub").alias("hub")) if one_each else pairs.distinct()
+    return pairs.select("hub.a", "hub.of", "b", "label")
+
+
+def joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after each hub's label and those linked to it have become the smallest of them.
+
+    All nodes of an old label move, so equal labels always mean a chain of links.
+    """
+    edges = links.select("of", "label").distinct()
+    lowest = edges.groupBy("of").agg(F.min("label").alias("low")).select("of", F.least("of", "low").alias("new"))
+    moved = edges.join(lowest, "of").select(F.explode(F.array("of", "label")).alias("label"), "new")
+    moved = moved.groupBy("label").agg(F.min("new").alias("new"))
+    return labels.join(moved, "label", "left").select("uid", F.coalesce("new", "label").alias("label"))
+
+
 def links_inside(firsts: DataFrame, classes: DataFrame, texts: DataFrame, similarity: float, block: int) -> DataFrame:
     """uid and how many rows of its class it is linked with, not counting its own copies: all pairs, in blocks."""
     sized = classes.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("label")
@@ -244,29 +274,18 @@ def classes_of(
         left = texts.select(F.col("uid").alias("a"), F.col("text").alias("text_a"))
         right = texts.select(F.col("uid").alias("b"), F.col("text").alias("text_b"))
         joined = pairs.join(left, "a").join(right, "b")
-        return work.keep(joined.where(similar(F.col("text_a"), F.col("text_b"), similarity)).select("a", "b"), "links")
+        return work.keep(joined.where(similar(F.col("text_a"), F.col("text_b"), similarity)).select("a", "of", "b", "label"), "links")
 
     def labelled() -> DataFrame:
         return nodes.select("uid", "signature").join(labels, "uid")
 
     turns = [(depth, 0), (depth, 1)] if depth > shortest else []
     turns += [(length, 2) for length in range(depth - 1, shortest, -2)] + [(shortest, turn) for turn in (3, 4, 5)]
-    for length, turn in turns:
-        matched = prefixes(labelled(), trees, depth, length)
-        # another member is the hub each turn; minimum of a hash is a choice that spreads over tasks
-        pick = F.struct(F.xxhash64(F.lit(turn), F.col("uid")).alias("_"), F.col("uid").alias("a"), F.col("label").alias("of"))
-        hubs = matched.groupBy("key").agg(
-            F.min(pick).alias("hub"), F.min("label").alias("low"), F.max("label").alias("high")
-        ).where("low < high").select("key", "hub.a", "hub.of")
-        pairs = matched.join(hubs, "key").where("label <> of").select("a", F.col("uid").alias("b")).distinct()
+    for place, (length, turn) in enumerate(turns):
+        pairs = hub_pairs(prefixes(labelled(), trees, depth, length), turn, one_each=place < ONE_EACH)
         links = verified(pairs)
-        found.append(links)
-        # a linked member takes its hub's label: equal labels always mean a chain of links
-        hub_labels = links.join(labels.select(F.col("uid").alias("a"), F.col("label").alias("new")), "a")
-        newest = hub_labels.groupBy(F.col("b").alias("uid")).agg(F.min("new").alias("new"))
-        labels = work.keep(
-            labels.join(newest, "uid", "left").select("uid", F.least("label", "new").alias("label")), "labels"
-        )
+        found.append(links.select("a", "b"))
+        labels = work.keep(joined_labels(labels, links), "labels")
 
     # classes so far, then what still shares a shortest prefix under different labels
     so_far = found[0]

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from goldleaf.llm.lsh_forest import common_counts, enough, kept_documents, near_classes, shortest_prefix, signature
+from goldleaf.llm.lsh_forest import common_counts, enough, hub_pairs, joined_labels, kept_documents, near_classes, shortest_prefix, signature
 from goldleaf.llm.words import shingles
 from tests.llm.helpers import documents, edge_rows, empty_documents, prose
 
@@ -97,6 +97,22 @@ def test_common_counts_and_threshold():
     assert enough(4, 5, 0.8) and not enough(79, 100, 0.8)
 
 
+def test_a_group_gives_as_many_first_pairs_as_it_has_members(spark):
+    # 40 members, dealt anew over five trie nodes by each of 24 trees
+    rows = [(uid, uid, tree * 10 + (uid * (tree + 7) + tree) % 5) for uid in range(40) for tree in range(24)]
+    matched = spark.createDataFrame(rows, "uid long, label long, key long")
+    pairs = hub_pairs(matched, 0, one_each=True).collect()
+    assert len(pairs) == len({row["b"] for row in pairs}) <= 40
+    assert all(row["a"] == row["of"] != row["b"] == row["label"] for row in pairs)
+    assert len(pairs) < hub_pairs(matched, 0, one_each=False).count()
+
+
+def test_a_hub_and_its_members_get_one_label(spark):
+    labels = spark.createDataFrame([(1, 1), (2, 2), (3, 3), (4, 3), (5, 5), (9, 9)], "uid long, label long")
+    links = spark.createDataFrame([(9, 9, 2, 2), (9, 9, 3, 3)], "a long, of long, b long, label long")
+    assert {row["uid"]: row["label"] for row in joined_labels(labels, links).collect()} == {1: 1, 2: 2, 3: 2, 4: 2, 5: 5, 9: 2}
+
+
 def test_edge_cases(spark):
     docs = documents(spark, edge_rows(), clashing=True)
     kept = kept_documents(docs)
