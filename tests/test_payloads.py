@@ -205,3 +205,17 @@ def test_match_rate(spark, repeated):
     row = log.match_rate(predicted(spark, asked), known(spark, truth)).first()
     assert (row.matched, row.total) == (sum(hits), sum(max(h, 1) for h in hits))
     assert row.match_rate == pytest.approx(row.matched / row.total)
+
+
+def test_each_body_is_read_once_for_its_records_and_once_for_its_names(spark):
+    calls = spark.createDataFrame(
+        [(1, '{"inputs":[{"pickup_hour":3},{"pickup_hour":4}]}', '{"predictions":[1.5]}'), (2, None, "{}"), (3, "[1]", "{")],
+        "k int, request string, response string",
+    )
+    parsed = log.normalize_payloads(calls)
+    rows = log.each_record(parsed, F.col("request"), "position", "r", "k")
+    assert [tuple(row) for row in rows.orderBy("position").select("k", "position", "r.pickup_hour").collect()] == [(1, 0, 3), (1, 1, 4)]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 2 and plan.count("json_object_keys(") <= 1
+    answers = {row["k"]: row["response"] for row in parsed.collect()}
+    assert [len(answers[1]), answers[2], answers[3]] == [1, [], None]
