@@ -304,7 +304,7 @@ def _(spark, folder):
 @query("json_source_roundtrip", with_tables("SELECT * FROM transactions", TRANSACTIONS))
 def _(spark, folder):
     sales, place = sample.sales_transactions(spark, folder), run_folder(spark, "json")
-    sales.write.json(place)
+    files.write_json(sales, place)
     return naive_times(files.read_json(spark, place, sales.schema))
 
 

@@ -1,4 +1,4 @@
-"""File readers with explicit schemas."""
+"""File readers with explicit schemas, and a JSON writer."""
 
 from __future__ import annotations
 
@@ -11,6 +11,11 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
     return spark.read.schema(schema).json(path)
 
 
+def write_json(df: DataFrame, path: str) -> None:
+    """JSON lines, compressed: names are repeated in every line, and files are as many as the tasks that write."""
+    df.write.option("compression", "gzip").json(path)
+
+
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 

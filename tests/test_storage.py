@@ -125,3 +125,11 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert streamed.count() == 20
     assert streamed.select(columns).exceptAll(batch.select(columns)).count() == 0
     assert batch.select(columns).exceptAll(streamed.select(columns)).count() == 0
+
+
+def test_json_lines_are_stored_compressed(spark, place):
+    path = f"{place[1]}/lines"
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id long, name string")
+    files.write_json(df, path)
+    assert sorted(map(tuple, files.read_json(spark, path, df.schema).collect())) == [(1, "a"), (2, None)]
+    assert all(name.endswith(".gz") for name in tables.folders(spark, path) if name.startswith("part-"))
