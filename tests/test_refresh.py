@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from goldleaf import session as sessions
-from goldleaf.plans import fare_jobs, refresh, trip_features
+from goldleaf.plans import fare_jobs, gold_changes, refresh, tracked, trip_features
+from goldleaf.queries import QUERIES
 from goldleaf.session import run_folder, shared_folder
 from goldleaf.sources import sample_tables as sample
+from goldleaf.sources import tables
 from goldleaf.sources.tables import discarding, stored
 
 SMALL = "/root/testdata/sf0.001"
@@ -98,3 +100,21 @@ def test_the_shared_folder(tmp_path):
             shared_folder(Session(master))
     alone = Session("local[2]")
     assert shared_folder(alone) == shared_folder(alone) and os.path.isdir(shared_folder(alone))
+
+
+@pytest.mark.parametrize("name", ["gold_from_changes", "payment_from_changes"])
+def test_versions_of_the_sales_are_made_of_stored_rows(spark, monkeypatch, name):
+    """The joins behind today's sales run once, not in each plan that reads them."""
+    plans = []
+
+    def overwritten(df, *place):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+
+    def updated(spark, schema, folder, names):
+        tables.overwrite_table(spark.range(3), f"{schema}.{names[0]}", f"{folder}/{names[0]}")
+
+    monkeypatch.setattr(tracked, "overwrite_tracked", overwritten)
+    monkeypatch.setattr(gold_changes, "build", lambda *place: None)
+    monkeypatch.setattr(gold_changes, "apply_changes", updated)
+    assert QUERIES[name](spark, SMALL).count() == 3
+    assert len(plans) == 2 and not any("Join" in plan for plan in plans)
