@@ -118,3 +118,17 @@ def test_versions_of_the_sales_are_made_of_stored_rows(spark, monkeypatch, name)
     monkeypatch.setattr(gold_changes, "apply_changes", updated)
     assert QUERIES[name](spark, SMALL).count() == 3
     assert len(plans) == 2 and not any("Join" in plan for plan in plans)
+
+
+def test_both_refreshes_read_stored_sales(spark, monkeypatch):
+    plans = []
+
+    def refreshed(spark, sources, schema, folder):
+        plans.append(sources.transactions._jdf.queryExecution().optimizedPlan().toString())
+        tables.create_schema(spark, schema, folder)
+        changes = spark.createDataFrame([(1, "X", "insert", 1)], "customerID long, state_clean string, change_type string, copies long")
+        tables.overwrite_table(changes, f"{schema}.silver_customers_changes", f"{folder}/changes")
+
+    monkeypatch.setattr(refresh, "refresh_sales", refreshed)
+    assert QUERIES["refresh_change_feed"](spark, SMALL).count() == 1
+    assert len(plans) == 2 and not any("Join" in plan for plan in plans)
