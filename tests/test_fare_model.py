@@ -102,6 +102,63 @@ def test_staged_search_is_the_plain_search(spark):
     assert staged.model.stages[-1].getNumTrees == staged.best["maxIter"]
 
 
+def varied_rides(spark, number):
+    """Rides of all hours, weekdays and months; distances hardly repeat, and fares hang on distance and hour."""
+    d, hour, day = F.col("id"), F.col("id") * 7 % 24, F.col("id") * 5 % 7 + 1
+    distance = (d * 7919 % 10_007) / 331
+    fare = 3 + 2.5 * distance + hour / 5 + (d * 6151 % 101) / 17
+    columns = [distance, hour, day, d * 11 % 12 + 1, as_flag(is_weekend_day(day)), as_flag(is_rush_hour(hour)), fare]
+    return spark.range(1, number + 1).select(*(c.alias(name) for c, name in zip(columns, [*FEATURE_COLUMNS, LABEL])))
+
+
+def test_fits_do_not_grow_with_the_rows(spark, monkeypatch):
+    """However many rows there are, a fit goes over the combinations of bins, each row in one of them."""
+    seen, fit = [], GBTRegressor.fit
+
+    def watched(self, dataset, *rest):
+        seen.append(dataset)
+        assert dataset.count() <= 32 * 2
+        return fit(self, dataset, *rest)
+
+    monkeypatch.setattr(GBTRegressor, "fit", watched)
+    rows = varied_rides(spark, 4000).withColumns({
+        "pickup_hour": F.col("pickup_hour") % 2, "pickup_dayofweek": F.lit(1), "pickup_month": F.lit(1),
+        "is_weekend": F.lit(1), "is_rush_hour": F.lit(0),
+    })
+    grid = {**SMALL_GRID, "maxIter": (1,)}
+    training.search_fare_model(rows, grid, folds=2)
+    weights = [dataset.agg(F.sum(training.WEIGHT)).first()[0] for dataset in seen]
+    assert len(weights) == 3 and weights[0] + weights[1] == weights[2] == 4000
+
+
+def test_cells_give_the_fit_of_their_rows(spark):
+    """A grid that tells the rows of a cell apart is fitted row by row; with values that change nothing it is the same search."""
+    rows = varied_rides(spark, 1500).unionAll(varied_rides(spark, 300))
+    grid = {"maxIter": (2, 4), "maxDepth": (3,), "stepSize": (0.1, 0.3)}
+    by_cells = training.search_fare_model(rows, grid, folds=2)
+    by_rows = training.search_fare_model(rows, {**grid, "minInstancesPerNode": (1,)}, folds=2)
+    assert [error for _, error in by_cells.scores] == pytest.approx([error for _, error in by_rows.scores], abs=1e-9)
+    assert {**by_cells.best, "minInstancesPerNode": 1} == by_rows.best
+    both = training.apply_model(by_rows.model, training.apply_model(by_cells.model, rows, "a"), "b")
+    assert both.where("a IS NULL OR b IS NULL OR abs(a - b) > 1e-9").isEmpty()
+
+
+def test_bins_of_a_feature_with_many_values(spark, monkeypatch):
+    rows = varied_rides(spark, 2000)
+    grid = {"maxIter": (4,), "maxDepth": (5,), "stepSize": (0.3,)}
+    (_, exact), = training.search_fare_model(rows, grid, folds=2).scores
+    monkeypatch.setattr(training, "MANY_VALUES", 100)
+    found = training.search_fare_model(rows, grid, folds=2)
+    assert found.scores[0][1] == pytest.approx(exact, rel=0.05)
+    assert training.regression_metrics(training.apply_model(found.model, rows)).first().test_r2 > 0.95
+
+
+def test_bin_edges():
+    assert training.bin_edges([(1.0, 5), (2.0, 1), (4.0, 1)], 3) == [1.5, 3.0]
+    assert training.bin_edges([(float(k), 1) for k in range(8)], 4) == [1.5, 3.5, 5.5]
+    assert training.bin_edges([(1.0, 9)], 32) == training.bin_edges([], 32) == []
+
+
 def test_model_behaves(spark, found):
     asked = rides(spark, [(1, 0), (2, 0), (5, 0), (12, 0), (15, 0)])
     scored = scoring.score_table(asked, found.model, "3")
