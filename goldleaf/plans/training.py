@@ -99,11 +99,12 @@ def bin_edges(counts: Sequence[tuple[float, int]], bins: int) -> list[float]:
 
 
 def fold_edges(rows: DataFrame, bins: int, folds: int) -> list[list[list[float]]]:
-    """Bin edges of every feature: for the rows outside of fold 0, 1, ..., and last for all rows."""
+    """Bin edges of every feature: for the rows outside of fold 0, 1, ..., and last for all rows. NaN has no edge: it
+    has a bin of its own above the others."""
     different = rows.agg(*(F.approx_count_distinct(name).alias(name) for name in FEATURE_COLUMNS)).first()
     few = [name for name in FEATURE_COLUMNS if different[name] <= MANY_VALUES]
-    cells = rows.select(FOLD, F.posexplode(F.array(*few)).alias("_place", "_value")) if few else None
-    counted = cells.groupBy(FOLD, "_place", "_value").count().collect() if few else []
+    values = rows.select(FOLD, F.posexplode(F.array(*few)).alias("_place", "_value")).where(~F.isnan("_value"))
+    counted = values.groupBy(FOLD, "_place", "_value").count().collect()
     edges = []
     for fold in [*range(folds), None]:
         numbers = [Counter() for _ in few]

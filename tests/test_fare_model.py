@@ -153,6 +153,17 @@ def test_bins_of_a_feature_with_many_values(spark, monkeypatch):
     assert training.regression_metrics(training.apply_model(found.model, rows)).first().test_r2 > 0.95
 
 
+def test_a_distance_that_is_no_number_moves_no_bin(spark):
+    rows = varied_rides(spark, 400).withColumn("_fold", (F.col("pickup_hour") % 2).cast("int"))
+    rows = rows.select(*(F.col(name).cast("double").alias(name) for name in FEATURE_COLUMNS), "_fold")
+    odd = rows.unionAll(rows.withColumn("trip_distance", F.lit(float("nan"))))
+    edges = [found[0] for found in training.fold_edges(rows, 8, 2)]
+    assert [found[0] for found in training.fold_edges(odd, 8, 2)] == edges
+    bucketizer, _ = training.binned_vector([edges[-1], *[[]] * 5])
+    bins = {r[0] for r in bucketizer.transform(odd).select(training.BIN + "trip_distance").distinct().collect()}
+    assert bins == set(range(9))
+
+
 def test_bin_edges():
     assert training.bin_edges([(1.0, 5), (2.0, 1), (4.0, 1)], 3) == [1.5, 3.0]
     assert training.bin_edges([(float(k), 1) for k in range(8)], 4) == [1.5, 3.5, 5.5]
