@@ -43,6 +43,8 @@ FOLDABLE = {TREES, "maxDepth", "stepSize", "minInfoGain"}
 MANY_VALUES = 10_000
 QUANTILE_ERROR = 0.001
 CELLS_PER_TASK = 20_000
+# Fits over cells are many stages of few short tasks: this many run side by side, so that the cores are not idle between.
+FITS_AT_ONCE = 18
 
 
 @dataclass(frozen=True)
@@ -166,7 +168,7 @@ def search_fare_model(
     grid: Mapping[str, Sequence[float]] = PARAMETER_GRID,
     folds: int = FOLDS,
     seed: int = SEED,
-    parallelism: int = 4,
+    parallelism: int = FITS_AT_ONCE,
     row_id: Sequence[str] = (*FEATURE_COLUMNS, LABEL),
 ) -> SearchResult:
     """Gradient-boosted trees over the grid, chosen by cross-validated mean absolute error and

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from goldleaf.functions.calendar import as_flag, is_rush_hour, is_weekend_day
 from goldleaf.operators.splitting import split_rows
 from goldleaf.plans import champion, fare_jobs, inference_log, scoring, training, trip_features
+from goldleaf.queries import QUERIES
 from goldleaf.queries.fare_model import fixed_model
 from goldleaf.schemas import FEATURE_COLUMNS, LABEL
 from goldleaf.session import run_folder
@@ -211,6 +212,19 @@ def test_one_point_of_the_default_grid(spark):
     assert row.test_mae < 1.0 and row.test_r2 > 0.95
 
 
+def test_the_query_searches_the_whole_grid(spark, monkeypatch):
+    searched = []
+
+    def search(train, grid=training.PARAMETER_GRID, **rest):
+        searched.append(grid)
+        points = [({"maxIter": trees}, float(place)) for place, trees in enumerate(grid["maxIter"])]
+        return training.SearchResult(fixed_model(3.0, 2.5), points[0][0], points)
+
+    monkeypatch.setattr(training, "search_fare_model", search)
+    assert QUERIES["train_fare_model"](spark, "/root/testdata/sf0.001").count() == 1
+    assert searched == [{"maxIter": (100, 200), "maxDepth": (3, 5, 7), "stepSize": (0.05, 0.1)}]
+
+
 def test_model_survives_saving(spark, found, tmp_path):
     found.model.write().save(str(tmp_path / "model"))
     again = PipelineModel.load(str(tmp_path / "model"))
