@@ -132,3 +132,46 @@ def test_both_refreshes_read_stored_sales(spark, monkeypatch):
     monkeypatch.setattr(refresh, "refresh_sales", refreshed)
     assert QUERIES["refresh_change_feed"](spark, SMALL).count() == 1
     assert len(plans) == 2 and not any("Join" in plan for plan in plans)
+
+
+@pytest.mark.parametrize("gathered", [False, True])
+def test_gathered_sales_are_not_dealt_again(spark, monkeypatch, gathered):
+    plans = []
+
+    def written(df, table, path, layout, keys):
+        if table.endswith(".silver_transactions"):
+            plans.append((df._jdf.queryExecution().optimizedPlan().toString(), layout.as_it_comes))
+        raise RuntimeError("seen")
+
+    monkeypatch.setattr(refresh, "overwrite_tracked", written)
+    sales = stored(refresh.by_day(sample.sales_transactions(spark, SMALL)), "test")
+    others = (sample.sales_customers(spark, SMALL), sample.sales_franchises(spark, SMALL), sample.sales_suppliers(spark, SMALL))
+    with pytest.raises(RuntimeError, match="seen"):
+        refresh.refresh_sales(
+            spark, refresh.SalesSources(sales, *others, gathered=gathered), f"t_{uuid.uuid4().hex[:10]}", run_folder(spark, "test")
+        )
+    ((plan, as_it_comes),) = plans
+    assert as_it_comes and ("RebalancePartitions" in plan) is not gathered
+
+
+def test_the_change_feed_gathers_its_sales_once(spark, monkeypatch):
+    seen = []
+
+    def refreshed(spark, sources, schema, folder):
+        seen.append(sources.gathered)
+        tables.create_schema(spark, schema, folder)
+        changes = spark.createDataFrame([(1, "X", "insert", 1)], "customerID long, state_clean string, change_type string, copies long")
+        tables.overwrite_table(changes, f"{schema}.silver_customers_changes", f"{folder}/changes")
+
+    monkeypatch.setattr(refresh, "refresh_sales", refreshed)
+    assert QUERIES["refresh_change_feed"](spark, SMALL).count() == 1
+    assert seen == [True, True]
+
+
+def test_sales_by_day_keep_every_sale(spark):
+    at = "timestamp'2024-05-11 08:00:00'"
+    sales = spark.range(40).select("id", F.expr(f"CASE WHEN id % 9 <> 4 THEN {at} + make_interval(0, 0, 0, id % 5) END").alias("dateTime"))
+    dealt = refresh.by_day(sales)
+    assert dealt.columns == sales.columns and dealt.exceptAll(sales).isEmpty() and dealt.count() == 40
+    days = [row[0] and row[0].date() for row in dealt.select("dateTime").coalesce(1).collect()]
+    assert len([day for day, before in zip(days[1:], days) if day != before]) == len(set(days)) - 1
