@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from goldleaf.functions.measures import ratio
 from goldleaf.operators.changes import CHANGE_TYPE, COPIES
 from goldleaf.plans import gold
-from goldleaf.plans.refresh import LAYOUTS
+from goldleaf.plans.refresh import ARRANGED, LAYOUTS
 from goldleaf.plans.tracked import pending_changes
 from goldleaf.sources.tables import (
     finish_publishing,
@@ -112,10 +112,12 @@ def build(spark: SparkSession, schema: str, folder: str, names: Sequence[str] =
     """Compute the tables whole from the sales as they are now, partitioned by day."""
     out = {}
     for name in names:
-        figures = TABLES[name]
         version = table_version(spark, f"{schema}.{SALES}")
-        layout = replace(_layout(name), properties={**LAYOUTS[name].properties, REFLECTS: version})
-        out[name] = overwrite_table(figures.whole(spark.read.table(f"{schema}.{SALES}")), f"{schema}.{name}", f"{folder}/{name}", layout)
+        properties = {**LAYOUTS[name].properties, REFLECTS: version}
+        # what comes in order of its days is not dealt by day once more
+        layout = replace(_layout(name), properties=properties, as_it_comes=name in ARRANGED)
+        whole = ARRANGED.get(name, TABLES[name].whole)
+        out[name] = overwrite_table(whole(spark.read.table(f"{schema}.{SALES}")), f"{schema}.{name}", f"{folder}/{name}", layout)
     return out
 
 

@@ -2,12 +2,13 @@
 
 import os
 import uuid
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from goldleaf.plans import bronze, gold, gold_changes, refresh, silver, tracked
+from goldleaf.queries import QUERIES
 from goldleaf.session import run_folder
 from goldleaf.sources import sample_tables as sample
 from goldleaf.sources import tables
@@ -232,3 +233,64 @@ def test_a_null_group_is_kept_up_too(spark):
     figures = gold_changes.TABLES["gold_daily_sales_summary"]
     found = gold_changes.updated_days(gold.daily_sales_summary(before), changes, after, figures, [day])
     assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, gold.daily_sales_summary(after).collect()), key=str)
+
+
+def test_only_days_with_changes_are_compared_row_by_row(spark, monkeypatch, rows):
+    schema = "k long, day date, a int, b int, _ingested_at timestamp"
+    one, two, three, none = date(2024, 5, 1), date(2024, 5, 2), date(2024, 5, 3), None
+    now = datetime(2024, 6, 1)
+    same = [(k, day, k, None, now) for k, day in enumerate([one, one, two, three, none, none])] + [(9, one, 1, 1, now)] * 2
+    # a value in the other column, a row that comes twice for another that came twice, and a day that goes
+    gone = [(20, two, 5, None), (21, three, 7, 7), (21, three, 7, 7), (22, date(2024, 5, 4), 1, 1)]
+    come = [(20, two, None, 5), (21, three, 8, 8), (21, three, 8, 8)]
+    before = spark.createDataFrame(same + [(*row, now) for row in gone], schema)
+    after = spark.createDataFrame([(*row[:4], datetime(2024, 7, 1)) for row in same] + [(*row, now) for row in come], schema)
+    expected = rows(tracked.table_changes(before, after, ["k"]))
+    assert len(expected) == 5
+    compared, plain = [], tracked.snapshot_changes
+
+    def watched(before, after, keys):
+        compared.append({row[0] for side in (before, after) for row in side.select("day").collect()})
+        return plain(before, after, keys)
+
+    monkeypatch.setattr(tracked, "snapshot_changes", watched)
+    assert rows(tracked.table_changes(before, after, ["k"], "day")) == expected
+    assert rows(tracked.table_changes(after, after.withColumn("_ingested_at", F.lit(None)), ["k"], "day")) == []
+    assert compared == [{two, three, date(2024, 5, 4)}, set()]
+    without_day = spark.createDataFrame([(30, none, 1, 1, now)], schema)
+    assert rows(tracked.table_changes(before, before.unionAll(without_day), ["k"], "day"), "k", "change_type") == [(30, "insert")]
+    assert compared[-1] == {none}
+    monkeypatch.setattr(tracked, "MANY_VALUES", 2)
+    assert rows(tracked.table_changes(before, after, ["k"], "day")) == expected
+    assert compared[-1] == {one, two, three, none, date(2024, 5, 4)}
+
+
+def test_the_daily_summary_is_dealt_once(spark, place, monkeypatch):
+    schema, folder = place
+    sales = silver.silver_transactions(bronze.bronze_transactions(sample.sales_transactions(spark, "/root/testdata/sf0.001")))
+    tables.overwrite_table(sales, f"{schema}.silver_transactions", f"{folder}/silver_transactions")
+    dealt = {}
+
+    def written(df, table, path, layout):
+        dealt[table.split(".")[1]] = tables.arranged(df, layout)._jdf.queryExecution().optimizedPlan().toString()
+
+    monkeypatch.setattr(gold_changes, "overwrite_table", written)
+    gold_changes.build(spark, schema, folder)
+    daily, payment = dealt["gold_daily_sales_summary"], dealt["gold_payment_analysis"]
+    assert daily.count("RepartitionByExpression") == 1 and "RebalancePartitions" not in daily
+    assert "RebalancePartitions" in payment
+
+
+@pytest.mark.parametrize("name", ["gold_from_changes", "payment_from_changes"])
+def test_versions_of_the_sales_are_written_as_they_come(spark, monkeypatch, name):
+    layouts = []
+    monkeypatch.setattr(tracked, "overwrite_tracked", lambda df, table, path, layout, keys: layouts.append(layout))
+    monkeypatch.setattr(gold_changes, "build", lambda *place: None)
+
+    def updated(spark, schema, folder, names):
+        tables.overwrite_table(spark.range(3), f"{schema}.{names[0]}", f"{folder}/{names[0]}")
+
+    monkeypatch.setattr(gold_changes, "apply_changes", updated)
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() == 3
+    assert [layout.as_it_comes for layout in layouts] == [True, True]
+    assert all(layout.gather_by == ("transaction_date",) for layout in layouts)
